@@ -6,9 +6,10 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sellerlens.plans.pipeline import Run
+from sellerlens.plans.pipeline import PUBLISHED, Run
 from sellerlens.session import pin_utc
-from sellerlens.sources.files import Lake
+from sellerlens.sources.catalog import Catalog
+from sellerlens.sources.files import Lake, export_json
 from sellerlens.sources.scratch import scratch_path
 from sellerlens.sources.starschema import AS_OF, RAW
 
@@ -33,6 +34,32 @@ class Marts:
             self._build(name)
         return self.run.read(name)
 
+    def landed(self) -> Lake:
+        """The four raw tables as JSON lines."""
+        with _lock:
+            for name in RAW:
+                if f"raw.{name}" not in self._done:
+                    export_json(self.raw(name), self.run.lake.path("raw", name))
+                    self._done.add(f"raw.{name}")
+        return self.run.lake
+
+    def published(self) -> Catalog:
+        """Refined and curated tables in a catalog of their own."""
+        catalog = self.catalog("m")
+        with _lock:
+            if "published" not in self._done:
+                for name in PUBLISHED:
+                    self._build(name)
+                self.run.publish(catalog)
+                self._done.add("published")
+        return catalog
+
+    def catalog(self, prefix: str) -> Catalog:
+        """Database names and folder that no other source folder shares."""
+        owner = self.run.lake.base.rsplit("-", 1)[-1][:8]
+        folder = f"{self.run.lake.base}/{prefix}-warehouse"
+        return Catalog(self.spark, prefix=f"{prefix}{owner}_", location=folder)
+
     def _build(self, name: str) -> None:
         if name in self._done:
             return

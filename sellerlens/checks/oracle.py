@@ -22,7 +22,7 @@ raw_orders AS (
 raw_returns AS (
   SELECT 'R' || l_orderkey || '-' || l_linenumber AS return_id,
          'O' || l_orderkey || '-' || l_linenumber AS order_id,
-         'S' || (l_suppkey - CASE WHEN l_linestatus = 'O' AND l_suppkey % 4 IN (1, 2)
+         'S' || (l_suppkey - CASE WHEN l_linestatus = 'O' AND l_suppkey % 4 IN (2, 3)
                                   THEN l_suppkey % 4 ELSE 0 END) AS seller_id,
          strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS "timestamp",
          CASE l_linenumber % 5 WHEN 0 THEN 'DAMAGED_ITEM' WHEN 1 THEN 'WRONG_ITEM'
@@ -32,8 +32,8 @@ raw_returns AS (
   FROM lineitem WHERE l_returnflag = 'R'),
 raw_complaints AS (
   SELECT 'CMP' || event_id AS complaint_id,
-         'S' || ((user_id - CASE WHEN user_id % 4 = 3 AND event_id % 50 <> 0
-                                 THEN user_id % 4 ELSE 0 END)
+         'S' || ((user_id - CASE WHEN user_id % 2 = 1 AND event_id % 50 <> 0
+                                 THEN 1 ELSE 0 END)
                  % (SELECT count(*) FROM supplier)) AS seller_id,
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
          CASE WHEN value >= CASE WHEN user_id % 5 = 0 THEN 15 ELSE 70 END THEN 'HIGH'

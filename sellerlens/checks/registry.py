@@ -7,8 +7,8 @@ are rounded to four places, because their last bits depend on the order of addit
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,29 +68,13 @@ def _fraud(m: Marts) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------------------
 
 
-def _landed_lake(m: Marts) -> Lake:
-    """The four raw tables as JSON lines in a new lake."""
-    lake = Lake(scratch_path(m.spark, "lake"))
-    for table in RAW_TABLES:
-        export_json(m.raw(table), lake.path("raw", table))
-    return lake
-
-
-def _catalog(m: Marts) -> Catalog:
-    """A catalog of its own per source folder, managed tables in the scratch folder."""
-    owner = hashlib.sha256(m.run.lake.base.encode()).hexdigest()[:8]
-    return Catalog(m.spark, prefix=f"s{owner}_", location=f"{m.run.lake.base}/warehouse")
-
-
 def _typed_amount(raw: DataFrame) -> DataFrame:
     return raw.withColumn("amount", F.col("amount").cast("double")).drop("_corrupt_record")
 
 
 @query
 def scan_raw_json(m: Marts) -> DataFrame:
-    path = scratch_path(m.spark, "raw-json")
-    export_json(m.raw("orders"), path)
-    return _typed_amount(read_json_lines(m.spark, path, "orders"))
+    return _typed_amount(read_json_lines(m.spark, m.landed().path("raw", "orders"), "orders"))
 
 
 @query
@@ -102,23 +86,19 @@ def parquet_roundtrip(m: Marts) -> DataFrame:
 
 @query
 def raw_tables_by_name(m: Marts) -> DataFrame:
-    lake = _landed_lake(m)
-    catalog = Catalog(m.spark, prefix=f"{lake.base.rsplit('-', 1)[-1][:9]}_", location=lake.base)
-    catalog.register_raw(lake)
-    counts = [
-        activity.count_of(catalog.table(f"raw.{t}"), f"raw.{t}").withColumnsRenamed(
-            {"label": "table_name", "n": "row_count"}
-        )
-        for t in RAW_TABLES
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    catalog = m.catalog("r")
+    catalog.register_raw(m.landed())
+    counts = [activity.count_of(catalog.table(f"raw.{t}"), f"raw.{t}") for t in RAW_TABLES]
+    return reduce(DataFrame.unionByName, counts).withColumnsRenamed(
+        {"label": "table_name", "n": "row_count"}
+    )
 
 
 @query
 def tables_by_name(m: Marts) -> DataFrame:
     for name in pipeline.PUBLISHED:
         m.table(name)
-    catalog = Catalog(m.spark, prefix=f"x{_catalog(m).prefix}", location=f"{m.run.lake.base}/db")
+    catalog = m.catalog("t")
     catalog.register_refined(m.run.lake)
     catalog.register_curated(m.run.lake)
     return pipeline.published_counts(catalog)
@@ -126,28 +106,23 @@ def tables_by_name(m: Marts) -> DataFrame:
 
 @query
 def publish_tables(m: Marts) -> DataFrame:
-    for name in pipeline.PUBLISHED:
-        m.table(name)
-    return m.run.publish(_catalog(m))
+    return pipeline.published_counts(m.published())
 
 
 @query
 def catalog_listing(m: Marts) -> DataFrame:
-    publish_tables(m)
-    return _catalog(m).list_tables()
+    return m.published().list_tables()
 
 
 @query
 def sellers_by_name(m: Marts) -> DataFrame:
-    publish_tables(m)
-    return _catalog(m).sellers_by_risk()
+    return m.published().sellers_by_risk()
 
 
 @query
 def land_files_query(m: Marts) -> DataFrame:
-    source, target = scratch_path(m.spark, "incoming"), scratch_path(m.spark, "landed")
-    export_json(m.raw("complaints"), source)
-    land_files(m.spark, source, target)
+    target = scratch_path(m.spark, "landed")
+    land_files(m.spark, m.landed().path("raw", "complaints"), target)
     return read_json_lines(m.spark, target, "complaints").drop("_corrupt_record")
 
 
@@ -509,11 +484,10 @@ def access_report(m: Marts) -> DataFrame:
 @query
 def pipeline_run(m: Marts) -> DataFrame:
     """JSON landing to curated tables, checked, published and exported."""
-    lake = _landed_lake(m)
-    owner = lake.base.rsplit("-", 1)[-1][:8]
-    catalog = Catalog(m.spark, prefix=f"p{owner}_", location=f"{lake.base}/warehouse")
+    base = scratch_path(m.spark, "pipeline")
+    for table in RAW_TABLES:
+        land_files(m.spark, m.landed().path("raw", table), f"{base}/raw/{table}/{table}.json")
+    catalog = Catalog(m.spark, f"p{base.rsplit('-', 1)[-1][:8]}_", f"{base}/warehouse")
     return pipeline.run_pipeline(
-        m.spark, lake.base, AS_OF, catalog=catalog, export_path=f"{lake.base}/export"
+        m.spark, base, AS_OF, catalog=catalog, export_path=f"{base}/export"
     )
-
-

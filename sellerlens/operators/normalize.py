@@ -48,13 +48,18 @@ def typed_orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def valid_orders(raw: DataFrame, policy: RiskPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Typed orders with both keys and an amount inside the open interval.
+def order_is_valid(policy: RiskPolicy = DEFAULT_POLICY) -> Column:
+    """Both keys present and the amount inside the open interval; never null.
 
-    A missing or unreadable amount is rejected; an unreadable timestamp is kept as null.
+    A missing or unreadable amount is invalid; an unreadable timestamp is not.
     """
-    typed = require(typed_orders(raw), "order_id", "seller_id")
-    return typed.where(open_interval("amount", policy.amount_above, policy.amount_below))
+    amount_ok = open_interval(parsed_number("amount"), policy.amount_above, policy.amount_below)
+    keys_ok = F.col("order_id").isNotNull() & F.col("seller_id").isNotNull()
+    return keys_ok & F.coalesce(amount_ok, F.lit(False))
+
+
+def valid_orders(raw: DataFrame, policy: RiskPolicy = DEFAULT_POLICY) -> DataFrame:
+    return typed_orders(raw).where(order_is_valid(policy))
 
 
 def normalize_orders(raw: DataFrame, policy: RiskPolicy = DEFAULT_POLICY) -> DataFrame:

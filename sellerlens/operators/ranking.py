@@ -29,16 +29,18 @@ def ranked(
     ).withColumn("_part", F.shiftright("_at", _ROW_BITS))
 
     # One row per (partition, group): a group has at most one run per sort partition, so this
-    # window never sees more rows of a group than there are partitions.
+    # window never sees more rows of a group than there are partitions. The runs are written
+    # too: with their size known, Spark broadcasts them below its threshold and shuffles
+    # beyond it, on keys no fuller than one sort partition.
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = placed.groupBy("_part", *by).agg(
         F.count("*").alias("_rows"), F.min("_at").alias("_first")
     )
-    starts = runs.select(
+    starts = materialize(runs.select(
         F.col("_part").alias("_run_part"),
         *[F.col(c).alias(f"_run_{c}") for c in by],
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-    )
+    ), "ranking-runs")
     same_run = F.col("_part") == F.col("_run_part")
     for c in by:
         same_run = same_run & F.col(c).eqNullSafe(F.col(f"_run_{c}"))

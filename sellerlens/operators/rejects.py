@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sellerlens.functions import open_interval, parsed_number, parsed_timestamp
+from sellerlens.operators.normalize import order_is_valid
 from sellerlens.policy import DEFAULT_POLICY, RiskPolicy
 from sellerlens.schemas import CORRUPT
 
@@ -40,15 +41,9 @@ def order_issues(raw: DataFrame, policy: RiskPolicy = DEFAULT_POLICY) -> DataFra
     and amount; with those present the row passes the normaliser's rules.
     """
     flagged = raw.withColumn("issue", order_issue(raw, policy))
-    survives = (
-        F.col("order_id").isNotNull()
-        & F.col("seller_id").isNotNull()
-        & F.coalesce(
-            open_interval(parsed_number("amount"), policy.amount_above, policy.amount_below),
-            F.lit(False),
-        )
+    return flagged.where(F.col("issue").isNotNull()).withColumn(
+        "rejected", ~order_is_valid(policy)
     )
-    return flagged.where(F.col("issue").isNotNull()).withColumn("rejected", ~survives)
 
 
 def rejected_orders(raw: DataFrame, policy: RiskPolicy = DEFAULT_POLICY) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sellerlens.functions import masked_prefix
-from sellerlens.operators.normalize import valid_orders
+from sellerlens.operators.normalize import order_is_valid
 from sellerlens.plans.investigate import of_seller
 from sellerlens.policy import DEFAULT_POLICY, RiskPolicy
 
@@ -75,23 +75,27 @@ def layer_counts(
     ``duplicates_removed`` is everything lost between raw and refined; ``rejected`` and
     ``true_duplicates`` split it.
     """
+    columns = ("raw", "valid", "refined", "curated")
+
+    def counted(df: DataFrame, **counts: Column) -> DataFrame:
+        known = df.agg(*[c.alias(name) for name, c in counts.items()])
+        return known.select(
+            *[F.col(c) if c in counts else F.lit(0).cast("bigint").alias(c) for c in columns]
+        )
+
+    every_row = F.count("*")
     parts = []
     if raw_orders is not None:
-        parts.append(count_of(raw_orders, "raw"))
-        parts.append(count_of(valid_orders(raw_orders, policy), "valid"))
+        parts.append(counted(raw_orders, raw=every_row, valid=F.count_if(order_is_valid(policy))))
     if refined_orders is not None:
-        parts.append(count_of(refined_orders, "refined"))
+        parts.append(counted(refined_orders, refined=every_row))
     if seller_risk is not None:
-        parts.append(count_of(seller_risk, "curated"))
+        parts.append(counted(seller_risk, curated=every_row))
     if not parts:
         raise ValueError("no layer given")
-
-    def rows(layer: str):
-        return F.coalesce(F.sum(F.when(F.col("label") == layer, F.col("n"))), F.lit(0))
-
     return (
         reduce(DataFrame.unionByName, parts)
-        .agg(*[rows(layer).alias(layer) for layer in ("raw", "valid", "refined", "curated")])
+        .agg(*[F.sum(c).alias(c) for c in columns])
         .select(
             "raw",
             "refined",

@@ -18,25 +18,29 @@ def quality_report(orders: DataFrame, returns: DataFrame, complaints: DataFrame)
 
 
 def access_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """For each role and each given table: access level, visible columns and visible rows."""
+    """For each role and each given table: access level, visible columns and visible rows.
+
+    Tables nobody may see are not read.
+    """
     spark = next(iter(tables.values())).sparkSession
-    grants = []
+    grants, granted = [], {}
     for role in (TRUST_SAFETY, BUSINESS):
         for name, df in tables.items():
             level = access_level(role, name)
-            visible = [] if level == DENIED else role_view(role, name, df).columns
+            visible = []
+            if level != DENIED:
+                visible, granted[name] = role_view(role, name, df).columns, df
             grants.append((role, name, level, ",".join(visible)))
-    counted = reduce(
-        DataFrame.unionByName,
-        [count_of(df, name).withColumnRenamed("label", "table_name") for name, df in tables.items()],
-    )
     matrix = spark.createDataFrame(
         grants, "role STRING, table_name STRING, access STRING, visible_columns STRING"
     )
-    return matrix.join(counted, "table_name").select(
-        "role",
-        "table_name",
-        "access",
-        "visible_columns",
-        F.when(F.col("access") == DENIED, F.lit(0)).otherwise(F.col("n")).alias("visible_rows"),
+    if not granted:
+        return matrix.withColumn("visible_rows", F.lit(0).cast("bigint"))
+    counted = reduce(
+        DataFrame.unionByName,
+        [count_of(df, name).withColumnRenamed("label", "table_name") for name, df in granted.items()],
+    )
+    rows = F.when(F.col("access") == DENIED, F.lit(0)).otherwise(F.col("n"))
+    return matrix.join(counted, "table_name", "left").select(
+        "role", "table_name", "access", "visible_columns", rows.alias("visible_rows")
     )

@@ -13,6 +13,19 @@ _DEFAULTS = {
 }
 
 
+_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Shuffle settings for a run over ``input_bytes`` of raw data, for ``build_session``.
+
+    Adaptive execution merges small shuffle partitions but never splits large ones outside
+    skewed joins, so the number to start from has to fit the data: about 128 MB each.
+    """
+    partitions = max(200, -(-input_bytes // _PARTITION_BYTES))
+    return {"spark.sql.shuffle.partitions": str(partitions)}
+
+
 def build_session(app: str = "sellerlens", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC, ANSI and adaptive execution on; ``conf`` overrides win."""
     builder = SparkSession.builder.appName(app)

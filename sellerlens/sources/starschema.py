@@ -77,7 +77,7 @@ def raw_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One return per line flagged R. Open lines of two sellers in four are booked on a
     neighbour, which spreads the return rates and leaves returns of unknown orders."""
     group = F.col("l_suppkey") % 4
-    rebooked = (F.col("l_linestatus") == "O") & group.isin(1, 2)
+    rebooked = (F.col("l_linestatus") == "O") & group.isin(2, 3)
     seller = F.col("l_suppkey") - F.when(rebooked, group).otherwise(0)
     return (
         _read(spark, sf_dir, "lineitem")
@@ -94,10 +94,10 @@ def raw_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One complaint per event; one user in four complains mostly about a neighbour."""
+    """One complaint per event; every other user complains mostly about a neighbour."""
     sellers = _read(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
-    group = F.col("user_id") % 4
-    rebooked = (group == 3) & (F.col("event_id") % 50 != 0)
+    group = F.col("user_id") % 2
+    rebooked = (group == 1) & (F.col("event_id") % 50 != 0)
     target = F.col("user_id") - F.when(rebooked, group).otherwise(0)
     high_from = F.when(F.col("user_id") % 5 == 0, 15.0).otherwise(70.0)
     severity = (
