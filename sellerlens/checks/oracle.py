@@ -144,7 +144,7 @@ scored AS (
 risk AS (
   SELECT seller_id, seller_name, region, verification_status, total_orders, total_returns,
          return_rate, total_complaints, high_severity_complaints,
-         round(avg_order_amount, 4) AS avg_order_amount, risk_score, risk_index, risk_label
+         round(avg_order_amount, 2) AS avg_order_amount, risk_score, risk_index, risk_label
   FROM scored),
 fraud AS (
   SELECT seller_id,
@@ -344,12 +344,12 @@ def all_sql() -> dict[str, str]:
         ),
         # metrics and joins
         "order_metrics": _aggregated(
-            "SELECT seller_id, total_orders, round(avg_order_amount, 4) AS avg_order_amount FROM om"
+            "SELECT seller_id, total_orders, round(avg_order_amount, 2) AS avg_order_amount FROM om"
         ),
         "return_metrics": _aggregated("SELECT * FROM rm"),
         "complaint_metrics": _aggregated("SELECT * FROM cm"),
         "seller_aggregates": _aggregated(
-            "SELECT * REPLACE (round(avg_order_amount, 4) AS avg_order_amount) FROM aggregates"
+            "SELECT * REPLACE (round(avg_order_amount, 2) AS avg_order_amount) FROM aggregates"
         ),
         "orders_with_returns": _refined(
             """SELECT o.* FROM ref_orders o WHERE EXISTS (SELECT 1 FROM ref_returns r

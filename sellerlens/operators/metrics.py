@@ -1,5 +1,9 @@
-"""Per-seller metrics. Facts are aggregated before any join, so partial aggregation
-absorbs hot sellers and every join works on one row per seller."""
+"""Per-seller metrics of refined facts.
+
+Facts are aggregated before any join, so partial aggregation absorbs hot sellers and
+every join works on one row per seller. Refined keys are never null, so events are counted
+by row: the scans leave out the id columns, the widest of each table.
+"""
 
 from __future__ import annotations
 
@@ -15,19 +19,19 @@ COUNTS = ("total_orders", "total_returns", "total_complaints", "high_severity_co
 def order_metrics(orders: DataFrame) -> DataFrame:
     """Every order counts, whatever its status."""
     return orders.groupBy("seller_id").agg(
-        F.count("order_id").alias("total_orders"),
+        F.count("*").alias("total_orders"),
         F.avg("amount").alias("avg_order_amount"),
     )
 
 
 def return_metrics(returns: DataFrame) -> DataFrame:
     """Returns count even if their order is unknown."""
-    return returns.groupBy("seller_id").agg(F.count("return_id").alias("total_returns"))
+    return returns.groupBy("seller_id").agg(F.count("*").alias("total_returns"))
 
 
 def complaint_metrics(complaints: DataFrame) -> DataFrame:
     return complaints.groupBy("seller_id").agg(
-        F.count("complaint_id").alias("total_complaints"),
+        F.count("*").alias("total_complaints"),
         F.count_if(F.col("severity") == "high").alias("high_severity_complaints"),
     )
 

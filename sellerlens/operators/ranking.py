@@ -36,11 +36,15 @@ def ranked(
     runs = placed.groupBy("_part", *by).agg(
         F.count("*").alias("_rows"), F.min("_at").alias("_first")
     )
-    starts = materialize(runs.select(
-        F.col("_part").alias("_run_part"),
-        *[F.col(c).alias(f"_run_{c}") for c in by],
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-    ), "ranking-runs")
+    shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1
+    starts = materialize(
+        runs.select(
+            F.col("_part").alias("_run_part"),
+            *[F.col(c).alias(f"_run_{c}") for c in by],
+            shift.alias("_shift"),
+        ),
+        "ranking-runs",
+    )
     same_run = F.col("_part") == F.col("_run_part")
     for c in by:
         same_run = same_run & F.col(c).eqNullSafe(F.col(f"_run_{c}"))

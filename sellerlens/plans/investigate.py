@@ -74,7 +74,7 @@ def complaint_breakdown(complaints: DataFrame) -> DataFrame:
 def daily_volume(orders: DataFrame) -> DataFrame:
     """Orders and revenue per seller and day, busiest days first."""
     counted = orders.groupBy("seller_id", F.to_date("event_ts").alias("order_date")).agg(
-        F.count("order_id").alias("daily_orders"),
+        F.count("*").alias("daily_orders"),
         F.sum("amount").alias("daily_revenue"),
     )
     return _top_down(counted, "daily_orders", "seller_id", "order_date")

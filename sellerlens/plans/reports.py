@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sellerlens.functions import (
@@ -17,7 +17,7 @@ from sellerlens.operators.ranking import ranked
 from sellerlens.policy import DEFAULT_POLICY, HIGH, LOW, MEDIUM, RiskPolicy
 
 
-def _riskiest_first():
+def _riskiest_first() -> list[Column]:
     return [F.col("risk_score").desc(), F.col("seller_id")]
 
 
@@ -43,8 +43,8 @@ def region_risk(
     needs (``page`` 1, 2, ...), ``names_per_row`` names each, so no task ever holds all sellers
     of a region and none is left out; the region's numbers repeat on each row.
     """
-    placed = ranked(risk.select("region", "seller_id", "seller_name", "risk_score", "risk_index"),
-                    _riskiest_first(), by=["region"], name="place")
+    named = risk.select("region", "seller_id", "seller_name", "risk_score")
+    placed = ranked(named, _riskiest_first(), by=["region"], name="place")
     page = F.floor((F.col("place") - 1) / names_per_row) + 1
     in_order = F.array_sort(F.collect_list(F.struct("place", "seller_name")))
     pages = placed.groupBy("region", page.alias("page")).agg(
@@ -73,10 +73,8 @@ def region_risk(
 
 def priority_list(risk: DataFrame, top: int | None = None) -> DataFrame:
     """Sellers numbered by risk, riskiest first; all of them unless ``top`` asks for fewer."""
-    if top is None:
-        numbered = ranked(risk, _riskiest_first(), name="priority")
-    else:
-        numbered = ranked(risk.orderBy(*_riskiest_first()).limit(top), _riskiest_first(), name="priority")
+    listed = risk if top is None else risk.orderBy(*_riskiest_first()).limit(top)
+    numbered = ranked(listed, _riskiest_first(), name="priority")
     percent = F.col("return_rate") * 100
     return numbered.select(
         "priority",

@@ -30,3 +30,10 @@ def encode_events(df: DataFrame, kind: str, key: str | None = None) -> DataFrame
         fields.append(field.alias(name))
     message = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value")
     return df.select(message) if key is None else df.select(F.col(key).alias("key"), message)
+
+
+def send_events(messages: DataFrame, servers: str, topic: str) -> None:
+    """Write encoded events to a topic; needs the Kafka connector on the class path."""
+    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option(
+        "topic", topic
+    ).save()

@@ -51,6 +51,21 @@ def test_seller_lookup_reaches_the_scan_with_few_columns(spark, tmp_path, table)
     assert "ReadSchema: struct<order_id:string,seller_id:string>" in text
 
 
+def test_metrics_scan_no_id_columns(spark, tmp_path, table):
+    lake = Lake(str(tmp_path))
+    facts = []
+    for name in ("sellers", "orders", "returns", "complaints"):
+        write_table(table(f"refined.{name}"), lake, "refined", name)
+        facts.append(read_table(spark, lake, "refined", name))
+    text = plan(seller_aggregates(*facts))
+    for read in (
+        "struct<seller_id:string,amount:double>",
+        "struct<seller_id:string>",
+        "struct<seller_id:string,severity:string>",
+    ):
+        assert f"ReadSchema: {read}" in text
+
+
 def test_top_sellers_is_a_top_k(table):
     assert "TakeOrderedAndProject" in plan(investigate.top_sellers(table("curated.seller_risk")))
 
