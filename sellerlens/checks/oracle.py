@@ -7,6 +7,7 @@ curated tables in CTEs and reads the one it needs.
 from __future__ import annotations
 
 from sellerlens.checks.registry import SELLER
+from sellerlens.schemas import RAW_TABLES
 
 _RAW = """
 raw_orders AS (
@@ -299,7 +300,7 @@ def all_sql() -> dict[str, str]:
         "scan_raw_json": _raw(f"SELECT {_RAW_ORDERS} FROM raw_orders"),
         "parquet_roundtrip": _refined("SELECT * FROM ref_returns"),
         "raw_tables_by_name": _raw(
-            _counts({f"raw.{t}": f"raw_{t}" for t in ("orders", "returns", "complaints", "sellers")})
+            _counts({f"raw.{table}": f"raw_{table}" for table in RAW_TABLES})
         ),
         "tables_by_name": _curated(_counts(_PUBLISHED)),
         "publish_tables": _curated(_counts(_PUBLISHED)),

@@ -14,23 +14,17 @@ from sellerlens.schemas import CORRUPT
 def order_issue(df: DataFrame, policy: RiskPolicy = DEFAULT_POLICY) -> Column:
     """First matching issue of a raw order, null for a clean row."""
     amount = parsed_number("amount")
-    issue = F.when(F.col("order_id").isNull(), "null_order_id")
+    unreadable_time = F.col("timestamp").isNotNull() & parsed_timestamp("timestamp").isNull()
+    issues = {
+        "null_order_id": F.col("order_id").isNull(),
+        "null_seller_id": F.col("seller_id").isNull(),
+        "bad_amount": amount.isNull(),
+        "amount_out_of_range": ~open_interval(amount, policy.amount_above, policy.amount_below),
+        "bad_timestamp": unreadable_time,
+    }
     if CORRUPT in df.columns:
-        issue = F.when(F.col(CORRUPT).isNotNull(), "corrupt_record").when(
-            F.col("order_id").isNull(), "null_order_id"
-        )
-    return (
-        issue.when(F.col("seller_id").isNull(), "null_seller_id")
-        .when(amount.isNull(), "bad_amount")
-        .when(
-            ~open_interval(amount, policy.amount_above, policy.amount_below),
-            "amount_out_of_range",
-        )
-        .when(
-            F.col("timestamp").isNotNull() & parsed_timestamp("timestamp").isNull(),
-            "bad_timestamp",
-        )
-    )
+        issues = {"corrupt_record": F.col(CORRUPT).isNotNull(), **issues}
+    return F.coalesce(*[F.when(found, name) for name, found in issues.items()])
 
 
 def order_issues(raw: DataFrame, policy: RiskPolicy = DEFAULT_POLICY) -> DataFrame:

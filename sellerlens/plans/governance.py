@@ -38,8 +38,8 @@ def access_report(tables: dict[str, DataFrame]) -> DataFrame:
         return matrix.withColumn("visible_rows", F.lit(0).cast("bigint"))
     counted = reduce(
         DataFrame.unionByName,
-        [count_of(df, name).withColumnRenamed("label", "table_name") for name, df in granted.items()],
-    )
+        [count_of(df, name) for name, df in granted.items()],
+    ).withColumnRenamed("label", "table_name")
     rows = F.when(F.col("access") == DENIED, F.lit(0)).otherwise(F.col("n"))
     return matrix.join(counted, "table_name", "left").select(
         "role", "table_name", "access", "visible_columns", rows.alias("visible_rows")

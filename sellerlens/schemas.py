@@ -19,16 +19,16 @@ _DDL = {
         reason STRING, status STRING""",
     "raw.complaints": """complaint_id STRING, seller_id STRING, timestamp STRING,
         severity STRING, category STRING""",
-    "raw.sellers": """seller_id STRING, seller_name STRING, registration_date STRING, region STRING,
-        category STRING, verification_status STRING, support_tier STRING""",
+    "raw.sellers": """seller_id STRING, seller_name STRING, registration_date STRING,
+        region STRING, category STRING, verification_status STRING, support_tier STRING""",
     "refined.orders": """order_id STRING, seller_id STRING, customer_id STRING, amount DOUBLE,
         event_ts TIMESTAMP, status STRING, category STRING""",
     "refined.returns": """return_id STRING, order_id STRING, seller_id STRING, event_ts TIMESTAMP,
         reason STRING, status STRING""",
     "refined.complaints": """complaint_id STRING, seller_id STRING, event_ts TIMESTAMP,
         severity STRING, category STRING""",
-    "refined.sellers": """seller_id STRING, seller_name STRING, registration_date DATE, region STRING,
-        category STRING, verification_status STRING, support_tier STRING""",
+    "refined.sellers": """seller_id STRING, seller_name STRING, registration_date DATE,
+        region STRING, category STRING, verification_status STRING, support_tier STRING""",
     "refined.seller_aggregates": """seller_id STRING, seller_name STRING, registration_date DATE,
         region STRING, category STRING, verification_status STRING, support_tier STRING,
         total_orders BIGINT, avg_order_amount DOUBLE, total_returns BIGINT, total_complaints BIGINT,

@@ -13,17 +13,23 @@ _DEFAULTS = {
 }
 
 
-_PARTITION_BYTES = 128 * 1024 * 1024
+_MB = 1024 * 1024
 
 
 def sized_for(input_bytes: int) -> dict[str, str]:
-    """Shuffle settings for a run over ``input_bytes`` of raw data, for ``build_session``.
+    """Scan and shuffle sizes for a run over ``input_bytes`` of raw data, for ``build_session``.
 
-    Adaptive execution merges small shuffle partitions but never splits large ones outside
-    skewed joins, so the number to start from has to fit the data: about 128 MB each.
+    Adaptive execution merges small shuffle partitions but splits large ones only in skewed
+    joins, so the number to start from has to fit the data. It is bounded, as is the number
+    of scan tasks: the driver keeps track of every (map task, reduce task) pair, and 100 TB in
+    128 MB pieces on both sides would be too many. Larger partitions sort with spills instead.
     """
-    partitions = max(200, -(-input_bytes // _PARTITION_BYTES))
-    return {"spark.sql.shuffle.partitions": str(partitions)}
+    split = min(max(128 * _MB, input_bytes // 100_000), 1024 * _MB)
+    partitions = min(max(200, input_bytes // (256 * _MB)), 40_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
 
 
 def build_session(app: str = "sellerlens", master: str | None = None, **conf: str) -> SparkSession:

@@ -26,7 +26,9 @@ def kafka_topic(
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
-def file_topic(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def file_topic(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """Messages from text files dropped into a folder, one per line."""
     reader = spark.readStream.option("lineSep", "\n")
     if max_files_per_trigger is not None:

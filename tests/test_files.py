@@ -59,8 +59,8 @@ def lake(tmp_path):
     )
     write(
         lake.path("raw", "returns") + "/returns.json",
-        json.dumps({"return_id": "R1", "order_id": "O1", "seller_id": "S58",
-                    "timestamp": "2026-04-28T10:00:00", "reason": "Counterfeit", "status": "approved"}),
+        json.dumps({"return_id": "R1", "order_id": "O1", "seller_id": "S58", "status": "approved",
+                    "timestamp": "2026-04-28T10:00:00", "reason": "Counterfeit"}),
     )
     write(
         lake.path("raw", "complaints") + "/complaints.json",
@@ -191,6 +191,11 @@ def test_scratch_is_the_sessions_checkpoint_folder(spark):
     assert kept.count() == 5 and "ExistingRDD" not in kept._jdf.queryExecution().toString()
 
 
-def test_partitions_follow_the_input():
-    assert sized_for(0)["spark.sql.shuffle.partitions"] == "200"
-    assert int(sized_for(100 * 2**40)["spark.sql.shuffle.partitions"]) == 819200
+@pytest.mark.parametrize(
+    ("size", "split", "partitions"),
+    [(0, 2**27, 200), (2**40, 2**27, 4096), (100 * 2**40, 2**30, 40_000)],
+)
+def test_sizes_follow_the_input_within_bounds(size, split, partitions):
+    conf = sized_for(size)
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == split
+    assert int(conf["spark.sql.shuffle.partitions"]) == partitions

@@ -47,8 +47,9 @@ def test_seller_lookup_reaches_the_scan_with_few_columns(spark, tmp_path, table)
     text = plan(activity.customer_activity(orders, returns, "S1"))
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", text)
     assert len(pushed) == 2 and all("EqualTo(seller_id,S1)" in p for p in pushed)
-    assert "ReadSchema: struct<order_id:string,seller_id:string,customer_id:string,amount:double>" in text
-    assert "ReadSchema: struct<order_id:string,seller_id:string>" in text
+    keys = "order_id:string,seller_id:string"
+    assert f"ReadSchema: struct<{keys},customer_id:string,amount:double>" in text
+    assert f"ReadSchema: struct<{keys}>" in text
 
 
 def test_metrics_scan_no_id_columns(spark, tmp_path, table):

@@ -140,7 +140,8 @@ def test_investigations(risk, fraud):
     assert ids(investigate.top_sellers(risk)) == RANKED
     assert ids(investigate.top_sellers(risk, 2)) == RANKED[:2]
     assert len(investigate.high_risk_brief(risk).columns) == 7
-    assert by(investigate.score_distribution(risk), "seller_name")["QuickDeals"]["colour"] == "orange"
+    bars = by(investigate.score_distribution(risk), "seller_name")
+    assert bars["QuickDeals"]["colour"] == "orange"
     assert investigate.return_complaint_scatter(risk).columns == [
         "seller_name", "return_rate", "total_complaints", "risk_label", "colour",
     ]
