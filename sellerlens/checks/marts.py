@@ -24,10 +24,14 @@ class Marts:
         self.spark = spark
         self.sf_dir = sf_dir
         self.run = Run(spark, Lake(scratch_path(spark, "marts")), AS_OF)
+        self._raw: dict[str, DataFrame] = {}
         self._done: set[str] = set()
 
     def raw(self, table: str) -> DataFrame:
-        return RAW[table](self.spark, self.sf_dir)
+        """The raw table's plan; kept, because each new one reads the files' footers again."""
+        if table not in self._raw:
+            self._raw[table] = RAW[table](self.spark, self.sf_dir)
+        return self._raw[table]
 
     def table(self, name: str) -> DataFrame:
         with _lock:

@@ -39,6 +39,7 @@ PUBLISHED = (
     "refined.complaints",
     "refined.sellers",
 )
+FACTS = ("refined.orders", "refined.returns", "refined.complaints")
 
 
 @dataclass(frozen=True)
@@ -93,11 +94,19 @@ class Run:
         self.curate()
         return self.gate()
 
-    def publish(self, catalog: Catalog) -> DataFrame:
-        """Copy refined and curated tables into the catalog; one row per table with its rows."""
+    def publish(self, catalog: Catalog, copy_facts: bool = False) -> DataFrame:
+        """Make refined and curated tables known by name; one row per table with its rows.
+
+        Tables of one row per seller are copied into managed tables. The facts are as large
+        as the raw data, so their names point at the refined files unless ``copy_facts`` asks
+        for a copy that later runs leave alone until they publish again.
+        """
         catalog.ensure_layers()
         for name in PUBLISHED:
-            catalog.publish(self.read(name), name)
+            if name in FACTS and not copy_facts:
+                catalog.link(self.lake, name)
+            else:
+                catalog.publish(self.read(name), name)
         return published_counts(catalog)
 
     def export(self, path: str) -> str:

@@ -65,6 +65,15 @@ class Catalog:
         """Replace the managed table ``table`` with the rows of ``df``."""
         df.write.mode("overwrite").saveAsTable(self.name(table))
 
+    def link(self, lake: Lake, table: str) -> None:
+        """(Re)point the table ``table`` at its files in the lake, without copying them."""
+        layer, short = table.split(".")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        self.spark.sql(
+            f"CREATE TABLE {self.name(table)} ({ddl(table)}) "
+            f"USING parquet LOCATION '{lake.path(layer, short)}'"
+        )
+
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 

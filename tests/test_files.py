@@ -161,9 +161,17 @@ def test_pipeline_end_to_end(spark, lake, tmp_path):
     listed = {f"{r.layer}.{r.table_name}" for r in catalog.list_tables().collect()}
     assert listed == set(PUBLISHED)
     assert spark.read.json(str(tmp_path / "out")).count() == 2
-    # A second run replaces, it does not add.
+    # A second run replaces, it does not add, and names show the new files.
+    write(lake.path("raw", "orders") + "/new.json", json.dumps({**ORDER, "order_id": "O9"}))
     run_pipeline(spark, lake.base, AS_OF, catalog=catalog)
     assert catalog.table("curated.seller_risk").count() == 2
+    assert catalog.table("refined.orders").count() == 4
+    # A copy stays as it was when the files change.
+    run.publish(catalog, copy_facts=True)
+    write(lake.path("raw", "orders") + "/newer.json", json.dumps({**ORDER, "order_id": "O10"}))
+    run.refine("orders")
+    assert run.read("refined.orders").count() == 5
+    assert catalog.table("refined.orders").count() == 4
 
 
 def test_tables_by_name(spark, lake):
