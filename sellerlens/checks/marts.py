@@ -6,7 +6,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sellerlens.plans.pipeline import PUBLISHED, Run
+from sellerlens.plans.pipeline import PUBLISHED, Run, side_by_side
 from sellerlens.session import pin_utc
 from sellerlens.sources.catalog import Catalog
 from sellerlens.sources.files import Lake, export_json
@@ -41,12 +41,14 @@ class Marts:
     def landed(self) -> Lake:
         """The four raw tables as JSON lines."""
         with _lock:
-            for name in RAW:
-                if f"raw.{name}" not in self._done:
-                    export_json(self.raw(name), self.run.lake.path("raw", name))
-                    self._done.add(f"raw.{name}")
+            if "landed" not in self._done:
+                side_by_side(self.spark, self._land, RAW)
+                self._done.add("landed")
         return self.run.lake
 
+    def _land(self, name: str) -> None:
+        export_json(self.raw(name), self.run.lake.path("raw", name))
+
     def published(self) -> Catalog:
         """Refined and curated tables in a catalog of their own."""
         catalog = self.catalog("m")
@@ -64,6 +66,9 @@ class Marts:
         folder = f"{self.run.lake.base}/{prefix}-warehouse"
         return Catalog(self.spark, prefix=f"{prefix}{owner}_", location=folder)
 
+    def _refine(self, table: str) -> None:
+        self.run.refine(table, self.raw(table))
+
     def _build(self, name: str) -> None:
         if name in self._done:
             return
@@ -73,11 +78,12 @@ class Marts:
             self.run.curate()
             self._done.update({"curated.seller_risk", "curated.fraud_patterns"})
         elif table == "seller_aggregates":
-            for fact in RAW:
-                self._build(f"refined.{fact}")
+            missing = [t for t in RAW if f"refined.{t}" not in self._done]
+            side_by_side(self.spark, self._refine, missing)
+            self._done.update(f"refined.{t}" for t in missing)
             self.run.aggregate()
         else:
-            self.run.refine(table, self.raw(table))
+            self._refine(table)
         self._done.add(name)
 
 
