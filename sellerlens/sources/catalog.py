@@ -11,6 +11,12 @@ from sellerlens.schemas import LAYERS, ddl, tables
 from sellerlens.sources.files import Lake
 
 
+def _quoted(path: str) -> str:
+    """A path as a SQL string literal."""
+    escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 class Catalog:
     """One database per layer.
 
@@ -33,7 +39,7 @@ class Catalog:
 
     def ensure_layers(self) -> None:
         for layer in LAYERS:
-            place = f" LOCATION '{self.location}/{layer}.db'" if self.location else ""
+            place = f" LOCATION {_quoted(f'{self.location}/{layer}.db')}" if self.location else ""
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database(layer)}`{place}")
 
     def register_raw(self, lake: Lake) -> None:
@@ -43,7 +49,7 @@ class Catalog:
             path = lake.path("raw", table)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(f'raw.{table}')} ({ddl(f'raw.{table}')}) "
-                f"USING json OPTIONS (path '{path}', recursiveFileLookup 'true')"
+                f"USING json OPTIONS (path {_quoted(path)}, recursiveFileLookup 'true')"
             )
 
     def _register_parquet(self, lake: Lake, layer: str) -> None:
@@ -52,7 +58,7 @@ class Catalog:
             full = f"{layer}.{table}"
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(full)} ({ddl(full)}) "
-                f"USING parquet LOCATION '{lake.path(layer, table)}'"
+                f"USING parquet LOCATION {_quoted(lake.path(layer, table))}"
             )
 
     def register_refined(self, lake: Lake) -> None:
@@ -71,7 +77,7 @@ class Catalog:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
         self.spark.sql(
             f"CREATE TABLE {self.name(table)} ({ddl(table)}) "
-            f"USING parquet LOCATION '{lake.path(layer, short)}'"
+            f"USING parquet LOCATION {_quoted(lake.path(layer, short))}"
         )
 
     def table(self, table: str) -> DataFrame:

@@ -176,7 +176,7 @@ def test_pipeline_end_to_end(spark, lake, tmp_path):
 
 def test_tables_by_name(spark, lake):
     run_pipeline(spark, lake.base, AS_OF)
-    catalog = Catalog(spark, prefix="named_", location=f"{lake.base}/db")
+    catalog = Catalog(spark, prefix="named_", location=f"{lake.base}/it's db")
     for _ in range(2):
         catalog.register_raw(lake)
         catalog.register_refined(lake)
