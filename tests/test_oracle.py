@@ -7,7 +7,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from sellerlens.checks.oracle import all_sql
+from sellerlens.checks.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
 KNOWN = {
@@ -32,13 +34,13 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(all_sql()) == set(all_queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_equals_sql(spark, duck, name):
-    df = queries()[name](spark, SF)
-    result = duck.execute(oracle_sql()[name])
+    df = all_queries()[name](spark, SF)
+    result = duck.execute(all_sql()[name])
     types = {c[0]: str(c[1]) for c in result.description}
     assert {f.name: KNOWN[f.dataType.simpleString()] for f in df.schema} == types
     names = sorted(types)
