@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Everything that lower-casing may change outside A-Z: upper-case and title-case characters.
 _OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
@@ -29,3 +33,25 @@ def ascii_lower(text: Column) -> Column:
 def reducers(spark: SparkSession) -> int:
     """How many partitions a shuffle gets here; the session's sizing, not a number of ours."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def map_texts(docs: DataFrame, schema: str, fn: Callable[[str], tuple]) -> DataFrame:
+    """``doc_id`` and the columns of ``schema`` that ``fn`` gives for each whole text; null is empty.
+
+    Texts come in Arrow batches, where they lie: no shuffle. ``doc_id`` does not pass through
+    Python, so nulls and large values stay as they are.
+    """
+    out = StructType.fromDDL("doc_id long, " + schema)
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [fn(text) for text in batch.column(1).to_pylist()]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * (len(arrow) - 1)
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], schema=arrow)
+
+    slim = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    return slim.mapInArrow(run, out)

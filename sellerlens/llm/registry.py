@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sellerlens.llm.bpe import op5_bpe_codec
 from sellerlens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from sellerlens.llm.lang_id import op7_language_id
+from sellerlens.llm.secret_scan import op1_secret_scan
+from sellerlens.llm.url_filter import op2_url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_secret_scan": op1_secret_scan,
+        "op2_url_filter": op2_url_filter,
+        "op5_bpe_codec": op5_bpe_codec,
+        "op7_language_id": op7_language_id,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
