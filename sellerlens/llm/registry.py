@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sellerlens.llm.bpe import op5_bpe_codec
 from sellerlens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from sellerlens.llm.fingerprint import op10_fingerprints
 from sellerlens.llm.lang_id import op7_language_id
 from sellerlens.llm.packing import op4_best_fit_packing
 from sellerlens.llm.secret_scan import op1_secret_scan
@@ -24,6 +25,7 @@ def llm_queries() -> dict[str, Query]:
         "op5_bpe_codec": op5_bpe_codec,
         "op7_language_id": op7_language_id,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_fingerprints": op10_fingerprints,
     }
 
 
