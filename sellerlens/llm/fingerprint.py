@@ -27,13 +27,25 @@ _DIGITS = 4  # hexadecimal digits kept of each sample
 _KEPT_TERMS, _BLOCK = 50_000, 8_192
 
 
-def _uniform(seeds: np.ndarray) -> np.ndarray:
-    """Numbers in (0, 1) from 64-bit seeds by a mixing function (splitmix64)."""
+def _mixed(seeds: np.ndarray) -> np.ndarray:
+    """64 random bits from each 64-bit seed, by a mixing function (splitmix64)."""
     x = seeds + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    return x
+
+
+def _gamma_table() -> np.ndarray:
+    """Quantiles of Gamma(2, 1) at the middles of 2^16 equal steps, by Newton's method on its
+    distribution function 1 - (1 + x) * exp(-x)."""
+    p = (np.arange(1 << 16) + 0.5) / (1 << 16)
+    x = np.sqrt(2 * p) - np.log1p(-p)
+    for _ in range(60):
+        x = np.maximum(x - (1 - (1 + x) * np.exp(-x) - p) / (x * np.exp(-x)), x / 4)
+    return x
 
 
 class Sampler:
@@ -47,6 +59,8 @@ class Sampler:
         self.shift = np.zeros(shape, np.float32)  # beta
         self.cost = np.zeros(shape, np.float32)  # ln c - r
         self.hash = np.zeros(_KEPT_TERMS, np.uint64)
+        gamma = _gamma_table()
+        self.gamma, self.log_gamma = gamma.astype(np.float32), np.log(gamma).astype(np.float32)
 
     def _learn(self, terms: list[str]) -> None:
         """Draws the variables of at most _BLOCK terms; all kept ones go when there would be too many."""
@@ -59,14 +73,15 @@ class Sampler:
         hashes = np.array(
             [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in new], np.uint64
         )
-        step = np.uint64(0xD1342543DE82EF95)
-        seeds = hashes[:, None] + np.arange(5 * self.samples, dtype=np.uint64) * step
-        u = _uniform(seeds).reshape(len(new), 5, self.samples)
-        r = -np.log(u[:, 0] * u[:, 1])  # Gamma(2, 1), like c below
-        c = -np.log(u[:, 2] * u[:, 3])
+        places = np.arange(self.samples, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+        bits = _mixed(hashes[:, None] + places)
+        # 16 bits each choose r and c, both Gamma(2, 1); the other 32 are the uniform beta.
+        r = self.gamma[bits & np.uint64(0xFFFF)]
+        log_c = self.log_gamma[(bits >> np.uint64(16)) & np.uint64(0xFFFF)]
+        beta = (bits >> np.uint64(32)).astype(np.float32) * np.float32(2.0**-32)
         first = len(self.place)
         to = slice(first, first + len(new))
-        self.rate[to], self.shift[to], self.cost[to], self.hash[to] = r, u[:, 4], np.log(c) - r, hashes
+        self.rate[to], self.shift[to], self.cost[to], self.hash[to] = r, beta, log_c - r, hashes
         self.place.update(zip(new, range(first, first + len(new)), strict=True))
 
     def fingerprint(self, counts: Counter[str]) -> str:
@@ -93,7 +108,7 @@ class Sampler:
             least = np.where(better, rank[best, columns], least)
             chosen = np.where(better, code, chosen)
         # Never zero, which stands for no sample.
-        digits = (_uniform(chosen) * (16**_DIGITS - 1)).astype(np.int64) + 1
+        digits = _mixed(chosen) % np.uint64(16**_DIGITS - 1) + np.uint64(1)
         return "".join([f"{d:0{_DIGITS}x}" for d in digits.tolist()])
 
 
