@@ -10,8 +10,10 @@ from sellerlens.llm.bpe import op5_bpe_codec
 from sellerlens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from sellerlens.llm.fingerprint import op10_fingerprints
 from sellerlens.llm.lang_id import op7_language_id
+from sellerlens.llm.license_scan import op6_license_scan
 from sellerlens.llm.packing import op4_best_fit_packing
 from sellerlens.llm.secret_scan import op1_secret_scan
+from sellerlens.llm.surrogates import op3_pii_surrogates
 from sellerlens.llm.url_filter import op2_url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +23,10 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_url_filter": op2_url_filter,
+        "op3_pii_surrogates": op3_pii_surrogates,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_bpe_codec": op5_bpe_codec,
+        "op6_license_scan": op6_license_scan,
         "op7_language_id": op7_language_id,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_fingerprints": op10_fingerprints,
