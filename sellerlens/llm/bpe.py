@@ -10,6 +10,7 @@ vocabulary's rules say.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from functools import lru_cache
@@ -27,9 +28,13 @@ from sellerlens.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-# Words kept per worker; they are forgotten together when there are more, and only cost time then.
-KEPT_WORDS = 200_000
-KEPT_PAIRS = 2_000_000
+# Words whose encodings a worker keeps, in each of two generations; forgetting only costs time.
+KEPT_WORDS = 250_000
+KEPT_PAIRS = 1_000_000
+# From so many bytes on, a word is merged over a heap.
+LONG_WORD = 200
+
+_NEVER = 1 << 60
 
 
 def _byte_letters() -> list[str]:
@@ -62,7 +67,7 @@ class WordBpe:
         right = np.array([self.ids[b] for _, b in merges], np.int64)
         made = np.array([self.ids[a + b] for a, b in merges], np.int64)
         self.size = size
-        self.rank = {(a, b): i for i, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True))}
+        self.rank = dict(zip((left * size + right).tolist(), range(len(merges)), strict=True))
         self.made = made.tolist()
         # Each merged token by the merge that makes it; single characters have none.
         self.born = np.full(size, -1, np.int64)
@@ -74,8 +79,12 @@ class WordBpe:
         self.keys = keys[self.key_order]
         self.longest = max(map(len, self.ids))
         self.known: dict[str, tuple[str, int, str]] = {}
-        self.pairs: dict[int, bool] = {}
-        self.sound: dict[int, bool] = {}
+        self.aged: dict[str, tuple[str, int, str]] = {}
+        # Pairs that were tested, those that stay apart; tokens that were tested, those that are sound.
+        self.judged: set[int] = set()
+        self.apart: set[int] = set()
+        self.weighed: set[int] = set()
+        self.sound: set[int] = set()
 
     # --- words to tokens --------------------------------------------------------------
 
@@ -105,7 +114,7 @@ class WordBpe:
         """Place of the merge of a and b among the rules; very large if there is none."""
         key = a * self.size + b
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.key_order[at], np.int64(1) << 60)
+        return np.where(self.keys[at] == key, self.key_order[at], np.int64(_NEVER))
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether tokens a and b, written next to each other, encode to a and b again.
@@ -118,7 +127,7 @@ class WordBpe:
         a, b = a.copy(), b.copy()
         good = np.ones(len(a), bool)
         # The rule applied just after this state; ``inner``: it was applied on the right side.
-        until = np.full(len(a), np.int64(1) << 60)
+        until = np.full(len(a), np.int64(_NEVER))
         inner = np.zeros(len(a), bool)
         live = np.arange(len(a))
         while len(live):
@@ -140,55 +149,77 @@ class WordBpe:
     def merge(self, symbols: list[str]) -> list[int]:
         """Exact merging: the lowest rule present, leftmost first, until none applies."""
         ids = [self.ids[s] for s in symbols if s in self.ids]
-        rank = self.rank
-        while len(ids) > 1:
-            best = min((rank.get(p, 1 << 60) for p in zip(ids, ids[1:])), default=1 << 60)
-            if best == 1 << 60:
+        get, size, made = self.rank.get, self.size, self.made
+        if len(ids) > LONG_WORD:
+            return self._merge_long(ids)
+        ranks = [get(a * size + b, _NEVER) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == _NEVER:
                 break
-            pair_made, out, i = self.made[best], [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and rank.get((ids[i], ids[i + 1])) == best:
-                    out.append(pair_made)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = ranks.index(best)
+            new = made[best]
+            ids[i : i + 2] = [new]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] * size + new, _NEVER)
+            if i < len(ranks):
+                ranks[i] = get(new * size + ids[i + 1], _NEVER)
         return ids
 
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same for a very long word: a heap of the pairs over a linked list."""
+        get, size = self.rank.get, self.size
+        after = [*range(1, len(ids)), -1]
+        prior = list(range(-1, len(ids) - 1))
+        heap = [(r, i) for i in range(len(ids) - 1) if (r := get(ids[i] * size + ids[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rule, i = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j < 0 or get(ids[i] * size + ids[j]) != rule:
+                continue  # one of the two was merged meanwhile
+            ids[i], ids[j] = self.made[rule], -1
+            after[i] = after[j]
+            if after[i] >= 0:
+                prior[after[i]] = i
+                if (r := get(ids[i] * size + ids[after[i]])) is not None:
+                    heapq.heappush(heap, (r, i))
+            if prior[i] >= 0 and (r := get(ids[prior[i]] * size + ids[i])) is not None:
+                heapq.heappush(heap, (r, prior[i]))
+        return [x for x in ids if x >= 0]
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Token ids of each word."""
+        size = self.size
         symbols = [self.symbols(w) for w in words]
         guesses = [self.greedy(s) for s in symbols]
-        asked = {
-            a * self.size + b for g in guesses if g for a, b in zip(g, g[1:])
-        } - self.pairs.keys()
+        joints = [[a * size + b for a, b in zip(g, g[1:])] if g else [] for g in guesses]
+        if len(self.judged) > KEPT_PAIRS:
+            self.judged.clear()
+            self.apart.clear()
+        asked = {k for j in joints for k in j} - self.judged
         if asked:
-            if len(self.pairs) > KEPT_PAIRS:
-                self.pairs.clear()
-                asked = {a * self.size + b for g in guesses if g for a, b in zip(g, g[1:])}
             keys = np.fromiter(asked, np.int64, len(asked))
-            answers = self.compatible(keys // self.size, keys % self.size)
-            self.pairs.update(zip(keys.tolist(), answers.tolist(), strict=True))
-        pairs, size = self.pairs, self.size
+            self.judged |= asked
+            self.apart.update(keys[self.compatible(keys // size, keys % size)].tolist())
+        for token in {t for g in guesses if g for t in g} - self.weighed:
+            self.weighed.add(token)
+            if self.is_sound(token):
+                self.sound.add(token)
+        apart, sound = self.apart.issuperset, self.sound.issuperset
         return [
-            g
-            if g
-            and all(pairs[a * size + b] for a, b in zip(g, g[1:]))
-            and all(self.is_sound(t) for t in g)
-            else self.merge(s)
-            for g, s in zip(guesses, symbols, strict=True)
+            g if g and apart(j) and sound(g) else self.merge(s)
+            for g, j, s in zip(guesses, joints, symbols, strict=True)
         ]
 
     def is_sound(self, token: int) -> bool:
         """Whether the token's own characters merge to it; a vocabulary may hold some that do not."""
-        if token not in self.sound:
-            name = self.names[token]
-            letters = list(name.removesuffix(self.end))
-            if name.endswith(self.end) and letters:
-                letters[-1] += self.end
-            self.sound[token] = self.merge(letters) == [token]
-        return self.sound[token]
+        name = self.names[token]
+        letters = list(name.removesuffix(self.end))
+        if name.endswith(self.end) and letters:
+            letters[-1] += self.end
+        return self.merge(letters) == [token]
 
     # --- texts ------------------------------------------------------------------------
 
@@ -211,16 +242,21 @@ class WordBpe:
         return " ".join(self.names[i] for i in ids)
 
     def learn(self, words: set[str]) -> None:
-        """Encodings of words not known yet, as text: ids, number of ids, tokens."""
-        new = sorted(words - self.known.keys())
-        if len(self.known) + len(new) > KEPT_WORDS:
-            self.known.clear()
-            new = sorted(words)
-        plain = [w for w in new if w not in self.special]
-        for word, ids in zip(plain, self.encode_words(plain), strict=True):
+        """Encodings of words, as text: ids, number of ids, tokens. Words not seen for long are forgotten."""
+        missing = words - self.known.keys()
+        if len(self.known) + len(missing) > KEPT_WORDS:
+            self.aged, self.known = self.known, {}
+            missing = words
+        new = []
+        for word in missing:
+            if word in self.aged:
+                self.known[word] = self.aged[word]
+            elif word in self.special:
+                self.known[word] = (str(self.special[word]), 1, word)
+            else:
+                new.append(word)
+        for word, ids in zip(new, self.encode_words(new), strict=True):
             self.known[word] = (" ".join(map(str, ids)), len(ids), self.decode(ids))
-        for word in set(new) - set(plain):
-            self.known[word] = (str(self.special[word]), 1, word)
 
     def digest_batch(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(number of tokens, digest of the ids, digest of the decoded text) of each text."""
@@ -230,13 +266,11 @@ class WordBpe:
             self.learn({w for words in split for w in words})
             for words in split:
                 known = [self.known[w] for w in words]
-                known = [k for k in known if k[1]]
-                ids = " ".join([k[0] for k in known])
-                decoded = " ".join([k[2] for k in known])
+                ids, counts, tokens = zip(*known) if known else ((), (), ())
                 out.append((
-                    sum(k[1] for k in known),
-                    hashlib.sha256(ids.encode()).hexdigest(),
-                    hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest(),
+                    sum(counts),
+                    hashlib.sha256(" ".join(ids).encode()).hexdigest(),
+                    hashlib.sha256(" ".join(tokens).encode("utf-8", "surrogatepass")).hexdigest(),
                 ))
         return out
 

@@ -11,6 +11,7 @@ from sellerlens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from sellerlens.llm.fingerprint import op10_fingerprints
 from sellerlens.llm.lang_id import op7_language_id
 from sellerlens.llm.license_scan import op6_license_scan
+from sellerlens.llm.ngram_join import op8_ngram_jaccard
 from sellerlens.llm.packing import op4_best_fit_packing
 from sellerlens.llm.secret_scan import op1_secret_scan
 from sellerlens.llm.surrogates import op3_pii_surrogates
@@ -28,6 +29,7 @@ def llm_queries() -> dict[str, Query]:
         "op5_bpe_codec": op5_bpe_codec,
         "op6_license_scan": op6_license_scan,
         "op7_language_id": op7_language_id,
+        "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_fingerprints": op10_fingerprints,
     }
