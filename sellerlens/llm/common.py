@@ -35,23 +35,25 @@ def reducers(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def map_texts(docs: DataFrame, schema: str, fn: Callable[[str], tuple]) -> DataFrame:
-    """``doc_id`` and the columns of ``schema`` that ``fn`` gives for each whole text; null is empty.
+def map_texts(
+    docs: DataFrame, schema: str, fn: Callable[[str], tuple], keep: Column | None = None
+) -> DataFrame:
+    """``keep`` (doc_id, if not given) and the columns of ``schema`` that ``fn`` gives for each whole text.
 
-    Texts come in Arrow batches, where they lie: no shuffle. ``doc_id`` does not pass through
-    Python, so nulls and large values stay as they are.
+    Null texts count as empty. Texts come in Arrow batches, where they lie: no shuffle. What is kept
+    is not converted on its way through Python, so nulls and large values stay as they are.
     """
-    out = StructType.fromDDL("doc_id long, " + schema)
-    arrow = to_arrow_schema(out)
+    first = F.col("doc_id").cast("long").alias("doc_id") if keep is None else keep
+    slim = docs.select(first, F.coalesce("text", F.lit("")).alias("_text"))
+    out = StructType([slim.schema[0], *StructType.fromDDL(schema)])
+    types = list(to_arrow_schema(StructType.fromDDL(schema)))
+    names = out.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [fn(text) for text in batch.column(1).to_pylist()]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * (len(arrow) - 1)
-            arrays = [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], schema=arrow)
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
 
-    slim = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    )
     return slim.mapInArrow(run, out)

@@ -155,14 +155,14 @@ def learn_profiles(docs: DataFrame, learn_docs: int = LEARN_DOCS) -> Profiles:
     return Profiles({x: np.array(c, np.int64).view(np.uint64) for x, c in ranked.items() if c})
 
 
-def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """doc_id, lang_pred, score for every row, from its whole text alone, where it lies (no shuffle).
+def identify(docs: DataFrame, profiles: Profiles, keep: Column | None = None) -> DataFrame:
+    """doc_id (or ``keep``), lang_pred, score for every row, from its whole text alone, where it lies.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything when nothing
     was learned. Equal distances go to the language first in alphabetical order. Repeated rows get
     repeated results; an empty table gives an empty result; other columns are not looked at.
     """
-    return map_texts(docs, "lang_pred string, score double", profiles.predict)
+    return map_texts(docs, "lang_pred string, score double", profiles.predict, keep)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

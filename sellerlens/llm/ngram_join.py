@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sellerlens.llm.common import map_texts, read
@@ -325,21 +325,24 @@ def _links(sets: DataFrame) -> DataFrame:
 # --- documents --------------------------------------------------------------------------------
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``.
+def jaccard_components(docs: DataFrame, mark: Column | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs``, and ``mark`` as column mark, if given.
 
     ``component_id`` is the smallest ``doc_id`` that can be reached by links. Null texts and texts without
     words have no n-grams and are alone. Equal rows are in one component; a null ``doc_id`` counts as no
     number, so a component of such rows alone has none. An empty table gives an empty result;
     other columns are not looked at.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marks = [] if mark is None else [mark.alias("mark")]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *marks)
+    keep = F.struct("doc_id", *(["mark"] if marks else [])).alias("of")
 
     def measure(text: str) -> tuple[int, int]:
         grams = ngram_set(text)
         return len(grams), set_id(grams)
 
-    sets = materialize(map_texts(docs, "n long, set long", measure), "ngram-documents")
+    measured = map_texts(docs, "n long, set long", measure, keep)
+    sets = materialize(measured.select("of.*", "n", "set"), "ngram-documents")
     classes = materialize(
         sets.filter("n > 0").groupBy("set", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")),
         "ngram-classes",
@@ -374,11 +377,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
     least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = materialize(joined.join(least, "root").select("set", "n", "component_id"), "ngram-components")
+    shown = ["mark"] if marks else []
     found = sets.filter("n > 0").join(of_class, ["set", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id"
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", *shown
     )
     alone = sets.filter("n = 0").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *shown
     )
     return found.unionAll(alone)
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from sellerlens.llm.bpe import op5_bpe_codec
 from sellerlens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from sellerlens.llm.fingerprint import op10_fingerprints
@@ -32,6 +33,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_fingerprints": op10_fingerprints,
+        "pipeline": corpus_pipeline.run,
     }
 
 
