@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# Everything that lower-casing may change outside A-Z: upper-case and title-case characters.
-_OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
+# Whatever is not known to have no upper case: outside ASCII, Latin-1's small letters and signs, general
+# punctuation, kana, CJK ideographs and Hangul.
+_OTHER = (
+    r"[^\x00-\x7F\u00A0-\u00BF\u00D7\u00DF-\u00FF\u2010-\u205E\u3000-\u30FF\u4E00-\u9FFF\uAC00-\uD7A3]"
+)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,10 +25,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z lower-cased and nothing else changed.
 
-    ``lower`` is much faster than ``translate`` and does the same for texts without other
-    upper-case letters.
+    ``lower`` is much faster than ``translate`` and does the same for texts in which nothing else
+    can have an upper case.
     """
-    return F.when(text.rlike(_OTHER_UPPER), F.translate(
+    return F.when(text.rlike(_OTHER), F.translate(
         text, string.ascii_uppercase, string.ascii_lowercase
     )).otherwise(F.lower(text))
 
