@@ -41,8 +41,9 @@ VIEWS: dict[str, Callable[[Run, str | None], DataFrame]] = {
     "returns-and-complaints": _risk(investigate.returns_and_complaints),
     "top10": _risk(investigate.top_sellers),
     "headlines": _risk(reports.headline_kpis),
-    "regions": _risk(reports.region_risk),
-    "priorities": _risk(reports.priority_list),
+    "regions": _risk(reports.region_cards),
+    "region-members": _risk(lambda risk: reports.region_members(risk).orderBy("region", "place")),
+    "priorities": _risk(lambda risk: reports.priority_list(risk).orderBy("priority")),
     "fraud": lambda run, _: reports.fraud_table(run.read("curated.fraud_patterns")),
     "complaints": lambda run, _: investigate.complaint_breakdown(run.read("refined.complaints")),
     "daily-volume": lambda run, _: investigate.daily_volume(run.read("refined.orders")),

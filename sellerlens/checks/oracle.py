@@ -284,6 +284,7 @@ def _access() -> str:
 
 _ACTIVITY = """
   SELECT o.seller_id, left(sha256(customer_id), 8) AS customer,
+         sha256(customer_id) AS customer_id_masked,
          count(o.order_id) AS total_orders, round(sum(amount), 4) AS total_amount,
          count(CASE WHEN EXISTS (SELECT 1 FROM ref_returns r WHERE r.order_id = o.order_id
                                  AND r.seller_id = o.seller_id) THEN 1 END) AS total_returns
@@ -319,7 +320,8 @@ def all_sql() -> dict[str, str]:
         "encode_order_events": _raw(
             """SELECT '{"order_id":"' || order_id || '","seller_id":"' || seller_id
             || '","customer_id":"' || customer_id || '","amount":'
-            || CASE WHEN amount >= 1000 THEN CAST(floor(amount) AS VARCHAR) ELSE '0.0' END
+            || CASE WHEN amount >= 9000 THEN '"' || CAST(CAST(amount AS DOUBLE) AS VARCHAR) || ' EUR"'
+                    WHEN amount >= 1000 THEN CAST(CAST(amount AS DOUBLE) AS VARCHAR) ELSE '0.0' END
             || ',"timestamp":"' || "timestamp" || '","status":"'
             || CASE WHEN trim(status) = 'PENDING' THEN 'completed' ELSE trim(status) END
             || '","category":"' || category || '"}' AS value FROM raw_orders"""
@@ -435,23 +437,22 @@ def all_sql() -> dict[str, str]:
             round(avg(risk_score), 4) AS avg_risk_score,
             CAST(sum(total_orders) AS BIGINT) AS total_orders FROM risk"""
         ),
-        "region_risk": _curated(
-            f"""SELECT region, page, sellers, seller_names,
-              round(total, 4) AS total_risk_index, round(mean, 4) AS mean_risk_index,
-              region_label, {_LABEL_COLOUR.format("region_label")} AS region_colour
+        "region_cards": _curated(
+            f"""SELECT region, sellers, riskiest_seller, round(total, 4) AS total_risk_index,
+              round(mean, 4) AS mean_risk_index, region_label,
+              {_LABEL_COLOUR.format("region_label")} AS region_colour
             FROM (
-              SELECT region, page, string_agg(seller_name, ', ' ORDER BY place) AS seller_names
-              FROM (SELECT region, seller_name, place, (place - 1) // 100 + 1 AS page
-                    FROM (SELECT region, seller_name,
-                                 row_number() OVER (PARTITION BY region
-                                   ORDER BY risk_score DESC, seller_id) AS place FROM risk))
-              GROUP BY region, page)
-            JOIN (
               SELECT *, CASE WHEN mean >= 70 THEN 'HIGH' WHEN mean >= 40 THEN 'MEDIUM'
                              ELSE 'LOW' END AS region_label
               FROM (SELECT region, count(*) AS sellers, sum(risk_index) AS total,
-                           sum(risk_index) / count(*) AS mean FROM risk GROUP BY region))
-            USING (region) ORDER BY mean DESC, region, page"""
+                           sum(risk_index) / count(*) AS mean,
+                           first(seller_name ORDER BY risk_score DESC, seller_id) AS riskiest_seller
+                    FROM risk GROUP BY region))
+            ORDER BY mean DESC, region"""
+        ),
+        "region_members": _curated(
+            """SELECT region, row_number() OVER (PARTITION BY region
+                 ORDER BY risk_score DESC, seller_id) AS place, seller_id, seller_name FROM risk"""
         ),
         "priority_list": _curated(
             f"""SELECT row_number() OVER (ORDER BY risk_score DESC, seller_id) AS priority,
@@ -528,8 +529,9 @@ def all_sql() -> dict[str, str]:
         "access_report": _curated(_access()),
         "catalog_listing": _curated(
             " UNION ALL ".join(
-                f"SELECT '{n.split('.')[0]}' AS layer, '{n.split('.')[1]}' AS table_name"
-                for n in _PUBLISHED
+                f"SELECT '{n.split('.')[0]}' AS layer, '{n.split('.')[1]}' AS table_name, "
+                f"count(*) AS row_count, true AS schema_ok FROM {cte}"
+                for n, cte in _PUBLISHED.items()
             )
         ),
         # pipelines

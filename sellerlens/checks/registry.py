@@ -114,7 +114,7 @@ def publish_tables(m: Marts) -> DataFrame:
 
 @query
 def catalog_listing(m: Marts) -> DataFrame:
-    return m.published().list_tables()
+    return m.published().describe_tables()
 
 
 @query
@@ -164,11 +164,14 @@ _registry["encode_events"] = _registry.pop("encode_events_query")
 
 @query
 def encode_order_events(m: Marts) -> DataFrame:
-    """Orders whose status and amount were left out, so the defaults show."""
+    """Orders whose status and amount were left out, so the defaults show, or are no number."""
+    amount = F.col("amount").cast("string")
     sparse = m.raw("orders").withColumns(
         {
             "status": F.nullif(F.trim("status"), F.lit("PENDING")),
-            "amount": F.when(F.col("amount") >= 1000, F.floor("amount").cast("double")),
+            "amount": F.when(F.col("amount") >= 9000, F.concat(amount, F.lit(" EUR"))).when(
+                F.col("amount") >= 1000, amount
+            ),
         }
     )
     return encode_events(sparse, "orders")
@@ -380,8 +383,13 @@ def headline_kpis(m: Marts) -> DataFrame:
 
 
 @query
-def region_risk(m: Marts) -> DataFrame:
-    return rounded(reports.region_risk(_risk(m)), "total_risk_index", "mean_risk_index")
+def region_cards(m: Marts) -> DataFrame:
+    return rounded(reports.region_cards(_risk(m)), "total_risk_index", "mean_risk_index")
+
+
+@query
+def region_members(m: Marts) -> DataFrame:
+    return reports.region_members(_risk(m))
 
 
 @query

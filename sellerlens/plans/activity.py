@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerlens.functions import masked_prefix
+from sellerlens.functions import masked, masked_prefix
 from sellerlens.operators.normalize import order_is_valid
 from sellerlens.plans.investigate import of_seller
 from sellerlens.policy import DEFAULT_POLICY, RiskPolicy
@@ -30,10 +30,9 @@ def customer_activity(
     orders: DataFrame, returns: DataFrame, seller_id: str | None = None, salt: str | None = None
 ) -> DataFrame:
     """Orders, amount and returned orders of each customer of a seller (of every seller
-    without an id), customers shown by the first 8 hex digits of their masked id.
+    without an id), customers known by their masked id and shown by its first 8 hex digits.
 
-    Customers are grouped by the id itself, so two of them never merge when their
-    prefixes agree. Orders are read once: each is marked as returned or not and one
+    ``customer`` is for display: two customers may share it, ``customer_id_masked`` they do not. Orders are read once: each is marked as returned or not and one
     aggregation counts both. Orders without a customer form one row and count no returns.
     """
     if seller_id is not None:
@@ -53,6 +52,7 @@ def customer_activity(
     return per_customer.select(
         "seller_id",
         masked_prefix("customer_id", salt=salt).alias("customer"),
+        masked("customer_id", salt).alias("customer_id_masked"),
         "total_orders",
         "total_amount",
         "total_returns",

@@ -34,49 +34,51 @@ def headline_kpis(risk: DataFrame) -> DataFrame:
     )
 
 
-def region_risk(
-    risk: DataFrame, names_per_row: int = 100, policy: RiskPolicy = DEFAULT_POLICY
-) -> DataFrame:
-    """Region cards, highest mean index first.
-
-    A card lists its sellers, riskiest first. The list goes on over as many rows as it
-    needs (``page`` 1, 2, ...), ``names_per_row`` names each, so no task ever holds all sellers
-    of a region and none is left out; the region's numbers repeat on each row.
-    """
-    named = risk.select("region", "seller_id", "seller_name", "risk_score")
-    placed = ranked(named, _riskiest_first(), by=["region"], name="place")
-    page = F.floor((F.col("place") - 1) / names_per_row) + 1
-    in_order = F.array_sort(F.collect_list(F.struct("place", "seller_name")))
-    pages = placed.groupBy("region", page.alias("page")).agg(
-        F.array_join(F.transform(in_order, lambda s: s["seller_name"]), ", ").alias("seller_names")
-    )
+def region_cards(risk: DataFrame, policy: RiskPolicy = DEFAULT_POLICY) -> DataFrame:
+    """One row per region, highest mean index first: its sellers, index, band and riskiest seller."""
     mean = F.col("total_risk_index") / F.col("sellers")
-    totals = risk.groupBy(F.col("region").alias("card_region")).agg(
-        F.count("*").alias("sellers"), F.sum("risk_index").alias("total_risk_index")
+    first = F.struct((-F.col("risk_score")).alias("order"), "seller_id", "seller_name")
+    cards = risk.groupBy("region").agg(
+        F.count("*").alias("sellers"),
+        F.sum("risk_index").alias("total_risk_index"),
+        F.min(first)["seller_name"].alias("riskiest_seller"),
     )
-    cards = pages.join(totals, F.col("region").eqNullSafe(F.col("card_region"))).select(
-        "region",
-        "page",
-        "sellers",
-        "seller_names",
-        "total_risk_index",
-        mean.alias("mean_risk_index"),
+    label = (
         F.when(mean >= policy.region_high, HIGH)
         .when(mean >= policy.region_medium, MEDIUM)
         .otherwise(LOW)
-        .alias("region_label"),
-    )
-    return cards.withColumn("region_colour", label_colour("region_label")).orderBy(
-        F.col("mean_risk_index").desc(), "region", "page"
     )
+    return cards.select(
+        "region",
+        "sellers",
+        "riskiest_seller",
+        "total_risk_index",
+        mean.alias("mean_risk_index"),
+        label.alias("region_label"),
+        label_colour(label).alias("region_colour"),
+    ).orderBy(F.col("mean_risk_index").desc(), "region")
+
+
+def region_members(risk: DataFrame) -> DataFrame:
+    """The sellers of each region's card, numbered from the riskiest; a row a seller.
+
+    Unordered; ``ranked`` sorts and writes the sellers while the DataFrame is being built.
+    """
+    named = risk.select("region", "seller_id", "seller_name", "risk_score")
+    placed = ranked(named, _riskiest_first(), by=["region"], name="place")
+    return placed.select("region", "place", "seller_id", "seller_name")
 
 
 def priority_list(risk: DataFrame, top: int | None = None) -> DataFrame:
-    """Sellers numbered by risk, riskiest first; all of them unless ``top`` asks for fewer."""
+    """Sellers numbered by risk; all of them unless ``top`` asks for fewer.
+
+    The whole list comes unordered: it has been sorted once for its numbers, by ``ranked``, which
+    writes the sellers while the DataFrame is being built. With ``top`` the few rows are in order.
+    """
     listed = risk if top is None else risk.orderBy(*_riskiest_first()).limit(top)
     numbered = ranked(listed, _riskiest_first(), name="priority")
     percent = F.col("return_rate") * 100
-    return numbered.select(
+    listed = numbered.select(
         "priority",
         "seller_id",
         "seller_name",
@@ -93,7 +95,8 @@ def priority_list(risk: DataFrame, top: int | None = None) -> DataFrame:
         label_colour("risk_label").alias("label_colour"),
         label_background("risk_label").alias("label_background"),
         label_text_colour("risk_label").alias("label_text_colour"),
-    ).orderBy("priority")
+    )
+    return listed if top is None else listed.orderBy("priority")
 
 
 def fraud_table(fraud: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerlens.schemas import LAYERS, ddl, tables
+from sellerlens.schemas import LAYERS, ddl, same_shape, tables
 from sellerlens.sources.files import Lake
 
 
@@ -93,6 +93,24 @@ class Catalog:
         ]
         return reduce(DataFrame.union, shown).orderBy("layer", "table_name")
 
+    def describe_tables(self) -> DataFrame:
+        """Every registered table with the rows it holds and whether its columns are the right ones."""
+        rows = []
+        for found in self.list_tables().collect():
+            full = f"{found.layer}.{found.table_name}"
+            known = found.table_name in tables(found.layer)
+            df = self.table(full)
+            rows.append(
+                df.agg(F.count("*").alias("row_count")).select(
+                    F.lit(found.layer).alias("layer"),
+                    F.lit(found.table_name).alias("table_name"),
+                    "row_count",
+                    F.lit(known and same_shape(df.schema, full)).alias("schema_ok"),
+                )
+            )
+        empty = "layer string, table_name string, row_count bigint, schema_ok boolean"
+        return reduce(DataFrame.union, rows) if rows else self.spark.createDataFrame([], empty)
+
     def sellers_by_risk(self) -> DataFrame:
         """The published sellers by name, riskiest first."""
         return self.spark.sql(

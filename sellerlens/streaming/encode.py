@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sellerlens.functions.columns import parsed_number
 from sellerlens.schemas import columns
 
 # What an event carries when its sender left the field out.
@@ -20,15 +21,27 @@ def encode_events(df: DataFrame, kind: str, key: str | None = None) -> DataFrame
 
     ``key`` names a column to send along as the message key, for a keyed topic. Works on
     batch and streaming input, and the result fits ``format("kafka")`` and text sinks.
+    An amount that is no number is sent as the text it is, for the rejects to report.
     """
     defaults = DEFAULTS[kind]
-    fields = []
-    for name in columns(f"raw.{kind}"):
-        field = F.col(name).cast("double") if name == "amount" else F.col(name)
-        if name in defaults:
-            field = F.coalesce(field, F.lit(defaults[name]))
-        fields.append(field.alias(name))
-    message = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value")
+
+    def encoded(amount: Column) -> Column:
+        fields = []
+        for name in columns(f"raw.{kind}"):
+            field = amount if name == "amount" else F.col(name)
+            if name in defaults and field is not amount:
+                field = F.coalesce(field, F.lit(defaults[name]))
+            fields.append(field.alias(name))
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+    message = encoded(F.lit(None))
+    if "amount" in defaults:
+        number = parsed_number("amount")
+        unreadable = F.col("amount").isNotNull() & number.isNull()
+        message = F.when(unreadable, encoded(F.col("amount").cast("string"))).otherwise(
+            encoded(F.coalesce(number, F.lit(defaults["amount"])))
+        )
+    message = message.alias("value")
     return df.select(message) if key is None else df.select(F.col(key).alias("key"), message)
 
 

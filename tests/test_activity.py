@@ -59,6 +59,7 @@ def test_customer_activity_of_a_seller(orders, returns):
     assert rows[digest("C1", 8)] == {
         "seller_id": "A",
         "customer": digest("C1", 8),
+        "customer_id_masked": digest("C1"),
         "total_orders": 2,
         "total_amount": 30.0,
         "total_returns": 1,
@@ -76,6 +77,22 @@ def test_customer_activity_of_all_sellers(orders, returns):
     assert salted[0]["customer"] == digest("pepperC1", 8)
 
 
+def test_customers_of_one_prefix_can_be_told_apart(table, returns):
+    seen, pair = {}, None
+    for i in range(1_000_000):
+        other = seen.setdefault(digest(f"C{i}", 8), i)
+        if other != i:
+            pair = (f"C{other}", f"C{i}")
+            break
+    orders = table(
+        "refined.orders",
+        *[{"order_id": c, "seller_id": "A", "customer_id": c, "amount": 1.0} for c in pair],
+    )
+    rows = dicts(customer_activity(orders, returns, "A"))
+    assert len({r["customer"] for r in rows}) == 1
+    assert {r["customer_id_masked"] for r in rows} == {digest(c) for c in pair}
+
+
 def test_orders_with_returns(orders, returns):
     back = orders_with_returns(orders, returns)
     assert back.columns == orders.columns

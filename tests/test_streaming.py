@@ -114,6 +114,15 @@ def test_encoding_keeps_what_is_there_and_can_be_keyed(table):
     assert (message["amount"], message["status"]) == (12.0, "x")
 
 
+def test_an_unreadable_amount_is_sent_as_it_is(table):
+    rows = [
+        {"order_id": i, "seller_id": "S1", "amount": a}
+        for i, a in (("1", "abc"), ("2", None), ("3", " 7.25 "), ("4", ""))
+    ]
+    sent = [json.loads(r.value) for r in encode_events(table("raw.orders", *rows), "orders").collect()]
+    assert {m["order_id"]: m["amount"] for m in sent} == {"1": "abc", "2": 0.0, "3": 7.25, "4": ""}
+
+
 def test_encoded_events_read_back_as_the_same_rows(spark, table, tmp_path):
     raw = table(
         "raw.complaints",
