@@ -300,6 +300,7 @@ def all_sql() -> dict[str, str]:
         # sources and sinks
         "scan_raw_json": _raw(f"SELECT {_RAW_ORDERS} FROM raw_orders"),
         "parquet_roundtrip": _refined("SELECT * FROM ref_returns"),
+        "raw_orders_by_name": _raw(f"SELECT {_RAW_ORDERS} FROM raw_orders"),
         "raw_tables_by_name": _raw(
             _counts({f"raw.{table}": f"raw_{table}" for table in RAW_TABLES})
         ),

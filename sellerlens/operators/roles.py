@@ -41,10 +41,10 @@ def business_view(seller_risk: DataFrame) -> DataFrame:
     return seller_risk.select(*BUSINESS_COLUMNS)
 
 
-_VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    FULL: lambda df: df,
+_VIEWS: dict[str, Callable[[DataFrame, str | None], DataFrame]] = {
+    FULL: lambda df, _salt: df,
     MASKED: mask_customers,
-    LIMITED: business_view,
+    LIMITED: lambda df, _salt: business_view(df),
 }
 
 
@@ -57,12 +57,12 @@ def access_level(role: str, table: str) -> str:
     return DENIED
 
 
-def role_view(role: str, table: str, df: DataFrame) -> DataFrame:
-    """What ``role`` sees of ``df``, the content of ``layer.table``."""
+def role_view(role: str, table: str, df: DataFrame, salt: str | None = None) -> DataFrame:
+    """What ``role`` sees of ``df``, the content of ``layer.table``; ids masked with ``salt``."""
     level = access_level(role, table)
     if level == DENIED:
         raise PermissionError(f"{role} has no access to {table}")
-    return _VIEWS[level](df)
+    return _VIEWS[level](df, salt)
 
 
 def access_matrix(spark: SparkSession) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -20,7 +22,10 @@ from sellerlens.schemas import RAW_TABLES
 from sellerlens.sources.catalog import Catalog
 from sellerlens.sources.files import (
     Lake,
+    current,
     export_json,
+    finish_run,
+    forget_runs,
     publish_gate,
     read_raw,
     read_table,
@@ -61,16 +66,23 @@ def side_by_side(
 
 @dataclass(frozen=True)
 class Run:
-    """One pipeline run: where, as of when, under which policy."""
+    """One pipeline run: where, as of when, under which policy.
+
+    Over a lake that names no run, refined and curated tables are those of the last finished one.
+    """
 
     spark: SparkSession
     lake: Lake
     as_of: AsOf = None
     policy: RiskPolicy = DEFAULT_POLICY
 
+    @property
+    def place(self) -> Lake:
+        return current(self.spark, self.lake)
+
     def read(self, name: str) -> DataFrame:
         layer, table = name.split(".")
-        return read_table(self.spark, self.lake, layer, table)
+        return read_table(self.spark, self.place, layer, table)
 
     def refine(self, table: str, raw: DataFrame | None = None) -> None:
         raw = read_raw(self.spark, self.lake, table) if raw is None else raw
@@ -78,18 +90,18 @@ class Run:
             clean = normalize_orders(raw, self.policy)
         else:
             clean = NORMALIZERS[table](raw)
-        write_table(clean, self.lake, "refined", table, CLUSTER_BY.get(table, ()))
+        write_table(clean, self.place, "refined", table, CLUSTER_BY.get(table, ()))
 
     def aggregate(self) -> None:
         facts = [self.read(f"refined.{t}") for t in ("sellers", "orders", "returns", "complaints")]
-        write_table(seller_aggregates(*facts), self.lake, "refined", "seller_aggregates")
+        write_table(seller_aggregates(*facts), self.place, "refined", "seller_aggregates")
 
     def curate(self) -> None:
         """Both curated tables from the aggregates, which hold one row per seller."""
         scored = score(self.read("refined.seller_aggregates"), self.as_of, self.policy)
-        write_table(seller_risk(scored), self.lake, "curated", "seller_risk")
+        write_table(seller_risk(scored), self.place, "curated", "seller_risk")
         write_table(
-            fraud_patterns(scored, self.as_of, self.policy), self.lake, "curated", "fraud_patterns"
+            fraud_patterns(scored, self.as_of, self.policy), self.place, "curated", "fraud_patterns"
         )
 
     def gate(self) -> DataFrame:
@@ -97,9 +109,9 @@ class Run:
 
         An empty fraud table is a good result, so only its shape is checked.
         """
-        risk = publish_gate(self.spark, self.lake, "curated", "seller_risk")
+        risk = publish_gate(self.spark, self.place, "curated", "seller_risk")
         fraud = publish_gate(
-            self.spark, self.lake, "curated", "fraud_patterns", rows_required=False
+            self.spark, self.place, "curated", "fraud_patterns", rows_required=False
         )
         return risk.unionByName(fraud)
 
@@ -113,16 +125,16 @@ class Run:
     def publish(self, catalog: Catalog, copy_facts: bool = False) -> DataFrame:
         """Make refined and curated tables known by name; one row per table with its rows.
 
-        Tables of one row per seller are copied into managed tables. The facts are as large
-        as the raw data, so their names point at the refined files unless ``copy_facts`` asks
-        for a copy that later runs leave alone until they publish again.
+        Names point at the files of the run, which later runs leave alone. ``copy_facts`` asks
+        for a copy of the facts in managed tables instead.
         """
         catalog.ensure_layers()
+        place = self.place
         for name in PUBLISHED:
-            if name in FACTS and not copy_facts:
-                catalog.link(self.lake, name)
-            else:
+            if name in FACTS and copy_facts:
                 catalog.publish(self.read(name), name)
+            else:
+                catalog.link(place, name)
         return published_counts(catalog)
 
     def export(self, path: str) -> str:
@@ -143,12 +155,23 @@ def run_pipeline(
     policy: RiskPolicy = DEFAULT_POLICY,
     catalog: Catalog | None = None,
     export_path: str | None = None,
+    keep_runs: int | None = None,
 ) -> DataFrame:
-    """The nightly run over ``base``: transform and check, then publish and export if asked."""
-    run = Run(spark, Lake(base), as_of, policy)
+    """The nightly run over ``base``: transform and check, then publish and export if asked.
+
+    The run writes to a folder of its own. Only when its gate has passed does it become the current
+    one and do names move to it; until then, and if it fails, everything answers with the run
+    before. ``keep_runs`` deletes all but that many of the last runs; off by default.
+    """
+    started = datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f")
+    lake = replace(Lake(base), run=f"{started}-{uuid.uuid4().hex[:8]}")
+    run = Run(spark, lake, as_of, policy)
     checked = run.transform()
+    finish_run(spark, lake)
     if catalog is not None:
         run.publish(catalog)
     if export_path is not None:
         run.export(export_path)
+    if keep_runs is not None:
+        forget_runs(spark, lake, keep_runs)
     return checked

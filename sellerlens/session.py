@@ -32,6 +32,13 @@ def sized_for(input_bytes: int) -> dict[str, str]:
     }
 
 
+def size_session(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Set a running session's scan and shuffle sizes for so much input, before its first plan."""
+    for key, value in sized_for(input_bytes).items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "sellerlens", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC, ANSI and adaptive execution on; ``conf`` overrides win."""
     builder = SparkSession.builder.appName(app)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sellerlens.schemas import LAYERS, ddl, same_shape, tables
-from sellerlens.sources.files import Lake
+from sellerlens.sources.files import Lake, current
 
 
 def _quoted(path: str) -> str:
@@ -39,27 +39,54 @@ class Catalog:
 
     def ensure_layers(self) -> None:
         for layer in LAYERS:
-            place = f" LOCATION {_quoted(f'{self.location}/{layer}.db')}" if self.location else ""
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database(layer)}`{place}")
+            self._ensure_database(layer)
 
     def register_raw(self, lake: Lake) -> None:
-        """External tables over the landed JSON folders, which stay untouched."""
+        """Each raw table by name: a view over the landed files and the ingested stream together.
+
+        The files stay untouched. Either part is an external table in a database of its own; the
+        stream's is read from its root, so that its commit log is honoured.
+        """
         self.ensure_layers()
+        parts = self.database("raw_parts")
+        self._ensure_database("raw_parts")
         for table in tables("raw"):
-            path = lake.path("raw", table)
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(f'raw.{table}')} ({ddl(f'raw.{table}')}) "
-                f"USING json OPTIONS (path {_quoted(path)}, recursiveFileLookup 'true')"
+            shape = ddl(f"raw.{table}")
+            for part, path, options in (
+                ("landed", lake.path("raw", table), ", recursiveFileLookup 'true'"),
+                ("stream", lake.stream_path(table), ""),
+            ):
+                name = f"`{parts}`.`{table}_{part}`"
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+                self.spark.sql(
+                    f"CREATE TABLE {name} ({shape}) USING json OPTIONS (path {_quoted(path)}{options})"
+                )
+            both = " UNION ALL ".join(
+                f"SELECT * FROM `{parts}`.`{table}_{part}`" for part in ("landed", "stream")
             )
+            self._drop_if_table(f"raw.{table}")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(f'raw.{table}')} AS {both}")
+
+    def _ensure_database(self, layer: str) -> None:
+        place = f" LOCATION {_quoted(f'{self.location}/{layer}.db')}" if self.location else ""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database(layer)}`{place}")
+
+    def _described(self, table: str) -> dict[str, str]:
+        """What the catalog knows about a table: Type, Location and so on; empty if it has none."""
+        if not self.spark.catalog.tableExists(self.name(table)):
+            return {}
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()
+        return {r.col_name: r.data_type for r in rows}
+
+    def _drop_if_table(self, table: str) -> None:
+        if self._described(table).get("Type") in ("EXTERNAL", "MANAGED"):
+            self.spark.sql(f"DROP TABLE {self.name(table)}")
 
     def _register_parquet(self, lake: Lake, layer: str) -> None:
         self.ensure_layers()
+        place = current(self.spark, lake)
         for table in tables(layer):
-            full = f"{layer}.{table}"
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(full)} ({ddl(full)}) "
-                f"USING parquet LOCATION {_quoted(lake.path(layer, table))}"
-            )
+            self.link(place, f"{layer}.{table}")
 
     def register_refined(self, lake: Lake) -> None:
         self._register_parquet(lake, "refined")
@@ -72,15 +99,29 @@ class Catalog:
         df.write.mode("overwrite").saveAsTable(self.name(table))
 
     def link(self, lake: Lake, table: str) -> None:
-        """(Re)point the table ``table`` at its files in the lake, without copying them."""
+        """(Re)point the table ``table`` at its files in the lake, without copying them.
+
+        A name that exists moves in one step. One with other columns is an error, not replaced
+        unseen; a managed copy gives way to the link.
+        """
         layer, short = table.split(".")
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
-        self.spark.sql(
-            f"CREATE TABLE {self.name(table)} ({ddl(table)}) "
-            f"USING parquet LOCATION {_quoted(lake.path(layer, short))}"
-        )
+        path = _quoted(lake.path(layer, short))
+        known = self._described(table)
+        if known.get("Type") == "EXTERNAL":
+            if not same_shape(self.spark.table(self.name(table)).schema, table):
+                raise ValueError(f"{self.name(table)} exists with other columns")
+            self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION {path}")
+            self.spark.catalog.refreshTable(self.name(table))
+            return
+        self._drop_if_table(table)
+        self.spark.sql(f"CREATE TABLE {self.name(table)} ({ddl(table)}) USING parquet LOCATION {path}")
 
     def table(self, table: str) -> DataFrame:
+        if table.startswith("raw."):
+            # Files may have landed, or a stream may have begun, since the name was last used.
+            for part in ("landed", "stream"):
+                name = f"`{self.database('raw_parts')}`.`{table.removeprefix('raw.')}_{part}`"
+                self.spark.catalog.refreshTable(name)
         return self.spark.table(self.name(table))
 
     def list_tables(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,19 +12,85 @@ from pyspark.sql.types import StringType, StructType
 from sellerlens.schemas import CORRUPT, same_shape, schema
 
 
+RUN_LAYERS = ("refined", "curated")
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the layers live. Streams land beside the landed files, not among them: a stream's
-    folder has a commit log, and only a reader that starts at that folder honours it."""
+    folder has a commit log, and only a reader that starts at that folder honours it.
+
+    With ``run``, refined and curated tables are those of one pipeline run, in a folder of its own."""
 
     base: str
+    run: str | None = None
+
+    @property
+    def root(self) -> str:
+        return self.base.rstrip("/")
+
+    def run_path(self, run: str) -> str:
+        return f"{self.root}/runs/{run}"
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.base.rstrip('/')}/{layer}/{table}"
+        if self.run and layer in RUN_LAYERS:
+            return f"{self.run_path(self.run)}/{layer}/{table}"
+        return f"{self.root}/{layer}/{table}"
 
     def stream_path(self, table: str) -> str:
         return self.path("raw_stream", table)
 
+    @property
+    def log_path(self) -> str:
+        return f"{self.root}/runs_done"
+
+
+def finished_runs(spark: SparkSession, lake: Lake) -> list[str]:
+    """Runs that passed their gate, oldest first: one line each, a handful a day."""
+    try:
+        lines = spark.read.text(lake.log_path).collect()
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        return []
+    return sorted(line.value for line in lines)
+
+
+def current(spark: SparkSession, lake: Lake) -> Lake:
+    """The lake as its last finished run left it; a lake that names a run, or has none, as it is."""
+    if lake.run:
+        return lake
+    done = finished_runs(spark, lake)
+    return replace(lake, run=done[-1]) if done else lake
+
+
+def finish_run(spark: SparkSession, lake: Lake) -> None:
+    """Make the lake's run the current one. A line is added to a log, so readers see the old run or
+    the new one and never neither."""
+    row = spark.createDataFrame([(lake.run,)], "value string")
+    row.coalesce(1).write.mode("append").text(lake.log_path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below ``path``, 0 where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(target).getLength() if files.exists(target) else 0
+
+
+def forget_runs(spark: SparkSession, lake: Lake, keep: int) -> list[str]:
+    """Delete the folders of all finished runs but the last ``keep``; returns the deleted runs."""
+    old = finished_runs(spark, lake)[:-keep] if keep > 0 else []
+    for run in old:
+        remove_folder(spark, lake.run_path(run))
+    return old
+
 
 def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"

@@ -13,6 +13,7 @@ from sellerlens.sources.files import (
     Lake,
     PublishGateError,
     export_json,
+    finished_runs,
     land_files,
     publish_gate,
     read_json_lines,
@@ -20,6 +21,7 @@ from sellerlens.sources.files import (
     read_table,
     write_table,
 )
+from sellerlens.streaming.ingest import file_topic, ingest_stream
 from sellerlens.sources.scratch import materialize, scratch_path, scratch_root
 from tests.conftest import AS_OF, by, dicts
 
@@ -192,6 +194,68 @@ def test_tables_by_name(spark, lake):
     assert high.count() == 1
 
 
+def test_a_failed_run_changes_nothing_and_a_good_one_everything(spark, lake, tmp_path):
+    catalog = Catalog(spark, prefix="gate_", location=str(tmp_path / "warehouse"))
+    run_pipeline(spark, lake.base, AS_OF, catalog=catalog)
+
+    def answers():
+        by_path = {n: sorted(map(str, Run(spark, lake).read(n).collect())) for n in PUBLISHED}
+        by_name = {n: sorted(map(str, catalog.table(n).collect())) for n in PUBLISHED}
+        assert by_path == by_name
+        return by_path
+
+    first = answers()
+    folder = lake.path("raw", "sellers")
+    files = {f: open(f"{folder}/{f}").read() for f in os.listdir(folder) if not f.startswith((".", "_"))}
+    for f in files:
+        write(f"{folder}/{f}", "")
+    write(lake.path("raw", "orders") + "/more.json", json.dumps({**ORDER, "order_id": "O98"}))
+    with pytest.raises(PublishGateError):
+        run_pipeline(spark, lake.base, AS_OF, catalog=catalog)
+    assert answers() == first
+    for f, text in files.items():
+        write(f"{folder}/{f}", text)
+    run_pipeline(spark, lake.base, AS_OF, catalog=catalog)
+    second = answers()
+    assert len(second["refined.orders"]) == len(first["refined.orders"]) + 1
+    assert second["curated.seller_risk"] != first["curated.seller_risk"]
+    assert len(finished_runs(spark, lake)) == 2
+    run_pipeline(spark, lake.base, AS_OF, catalog=catalog, keep_runs=1)
+    assert answers() == second
+    done = finished_runs(spark, lake)
+    left = [r for r in done if os.path.isdir(lake.run_path(r))]
+    assert left == done[-1:]
+
+
+def test_a_name_with_other_columns_is_not_replaced(spark, lake, tmp_path):
+    run_pipeline(spark, lake.base, AS_OF)
+    catalog = Catalog(spark, prefix="other_", location=str(tmp_path / "warehouse"))
+    catalog.ensure_layers()
+    spark.range(1).write.option("path", str(tmp_path / "x")).saveAsTable(catalog.name("refined.orders"))
+    with pytest.raises(ValueError, match="other columns"):
+        catalog.register_refined(lake)
+
+
+def test_raw_by_name_holds_landed_files_and_the_stream(spark, lake, tmp_path):
+    catalog = Catalog(spark, prefix="raws_", location=str(tmp_path / "warehouse"))
+    catalog.register_raw(lake)
+    landed = catalog.table("raw.orders").count()
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    write(str(topic / "a.json"), json.dumps({**ORDER, "order_id": "O97"}))
+
+    def drain():
+        messages = file_topic(spark, str(topic))
+        ingest_stream(messages, lake.stream_path("orders"), str(tmp_path / "offsets")).awaitTermination()
+
+    drain()
+    drain()
+    assert catalog.table("raw.orders").count() == landed + 1 == read_raw(spark, lake, "orders").count()
+    # A file the commit log does not know is not part of the table.
+    write(lake.stream_path("orders") + "/stray.txt", json.dumps({**ORDER, "order_id": "O96"}))
+    assert catalog.table("raw.orders").count() == landed + 1
+
+
 def test_scratch_is_the_sessions_checkpoint_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
