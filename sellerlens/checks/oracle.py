@@ -282,6 +282,32 @@ def _access() -> str:
     return " UNION ALL ".join(rows)
 
 
+_UNTIDY = """
+WITH lines AS (
+  SELECT 'O' || l_orderkey || '-' || l_linenumber AS id, 'S' || l_suppkey AS seller,
+         'C' || o_custkey AS customer, CAST(l_extendedprice / 10 AS VARCHAR) AS price,
+         strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS shipped,
+         CASE o_orderstatus WHEN 'F' THEN ' Completed ' WHEN 'P' THEN 'PENDING'
+              ELSE ' cancelled' END AS st, upper(p_type) AS cat,
+         l_orderkey + l_linenumber AS k, (l_orderkey + l_linenumber) % 71 = 0 AS broken
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+untidy AS (
+  SELECT CASE WHEN NOT broken AND k % 97 <> 0 THEN id END AS order_id,
+         CASE WHEN NOT broken AND k % 89 <> 0 THEN seller END AS seller_id,
+         CASE WHEN NOT broken THEN customer END AS customer_id,
+         CASE WHEN broken OR k % 79 = 0 THEN NULL WHEN k % 83 = 0 THEN 'n/a'
+              WHEN k % 7 = 0 THEN '  ' || price || ' ' ELSE price END AS amount,
+         CASE WHEN broken THEN NULL WHEN k % 73 = 0 THEN 'yesterday' ELSE shipped END AS "timestamp",
+         CASE WHEN NOT broken THEN st END AS status, CASE WHEN NOT broken THEN cat END AS category,
+         CASE WHEN broken THEN '{' || id END AS _corrupt_record
+  FROM lines),
+read AS (
+  SELECT *, TRY_CAST(trim(amount) AS DOUBLE) AS number, TRY_CAST("timestamp" AS TIMESTAMP) AS event_ts,
+         order_id IS NOT NULL AND seller_id IS NOT NULL
+           AND coalesce(number > 0 AND number < 10000, false) AS valid
+  FROM untidy)
+"""
+
 _ACTIVITY = """
   SELECT o.seller_id, left(sha256(customer_id), 8) AS customer,
          sha256(customer_id) AS customer_id_masked,
@@ -346,6 +372,24 @@ def all_sql() -> dict[str, str]:
             f"""SELECT {_RAW_ORDERS}, 'amount_out_of_range' AS issue FROM raw_orders
             WHERE NOT (amount > 0 AND amount < 10000)"""
         ),
+        "untidy_order_issues": _UNTIDY
+        + f"""SELECT * FROM (
+            SELECT {_RAW_ORDERS}, _corrupt_record,
+              CASE WHEN _corrupt_record IS NOT NULL THEN 'corrupt_record'
+                   WHEN order_id IS NULL THEN 'null_order_id'
+                   WHEN seller_id IS NULL THEN 'null_seller_id'
+                   WHEN number IS NULL THEN 'bad_amount'
+                   WHEN number <= 0 OR number >= 10000 THEN 'amount_out_of_range'
+                   WHEN "timestamp" IS NOT NULL AND event_ts IS NULL THEN 'bad_timestamp' END AS issue,
+              NOT valid AS rejected
+            FROM read) WHERE issue IS NOT NULL""",
+        "normalize_untidy_orders": _UNTIDY
+        + """SELECT order_id, seller_id, customer_id, number AS amount, event_ts,
+              lower(trim(status)) AS status, lower(trim(category)) AS category
+            FROM read WHERE valid
+            QUALIFY row_number() OVER (PARTITION BY order_id
+              ORDER BY event_ts DESC NULLS LAST, seller_id, customer_id NULLS FIRST, number,
+                       lower(trim(status)) NULLS FIRST, lower(trim(category)) NULLS FIRST) = 1""",
         # metrics and joins
         "order_metrics": _aggregated(
             "SELECT seller_id, total_orders, round(avg_order_amount, 2) AS avg_order_amount FROM om"

@@ -31,7 +31,7 @@ from sellerlens.sources.files import (
     write_table,
 )
 from sellerlens.sources.scratch import scratch_path
-from sellerlens.sources.starschema import AS_OF
+from sellerlens.sources.starschema import AS_OF, untidy_orders
 from sellerlens.streaming.encode import encode_events
 from sellerlens.streaming.ingest import file_topic, ingest_stream
 
@@ -244,6 +244,17 @@ def rejected_orders(m: Marts) -> DataFrame:
     return rejects.rejected_orders(m.raw("orders"))
 
 
+@query
+def untidy_order_issues(m: Marts) -> DataFrame:
+    """Every reason there is, on orders with faults of every kind."""
+    return rejects.order_issues(untidy_orders(m.spark, m.sf_dir))
+
+
+@query
+def normalize_untidy_orders(m: Marts) -> DataFrame:
+    return normalize.normalize_orders(untidy_orders(m.spark, m.sf_dir))
+
+
 # --- metrics and joins --------------------------------------------------------------------
 
 

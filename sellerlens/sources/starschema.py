@@ -48,8 +48,8 @@ def _line_key() -> Column:
     return F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One order per line item; (order, line) numbers repeat, so ids do too."""
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order per line item, with the number k that faults are dealt by."""
     order_status = (
         F.when(F.col("o_orderstatus") == "F", " Completed ")
         .when(F.col("o_orderstatus") == "P", "PENDING")
@@ -69,10 +69,38 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             _iso("l_shipdate").alias("timestamp"),
             order_status.alias("status"),
             F.upper("p_type").alias("category"),
+            (F.col("l_orderkey") + F.col("l_linenumber")).alias("k"),
         )
     )
 
 
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order per line item; (order, line) numbers repeat, so ids do too."""
+    return _order_lines(spark, sf_dir).drop("k")
+
+
+def untidy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same orders as a careless sender gives them: amounts as padded or unreadable text, null
+    keys and amounts, unreadable times, and lines that are no JSON at all."""
+    every = lambda n: F.col("k") % n == 0
+    broken = every(71)
+    amount = F.col("amount").cast("string")
+    faulty = {
+        "order_id": F.when(~broken & ~every(97), F.col("order_id")),
+        "seller_id": F.when(~broken & ~every(89), F.col("seller_id")),
+        "customer_id": F.when(~broken, F.col("customer_id")),
+        "amount": F.when(~broken & ~every(79), F.when(every(83), "n/a").when(
+            every(7), F.concat(F.lit("  "), amount, F.lit(" "))).otherwise(amount)),
+        "timestamp": F.when(~broken, F.when(every(73), "yesterday").otherwise(F.col("timestamp"))),
+        "status": F.when(~broken, F.col("status")),
+        "category": F.when(~broken, F.col("category")),
+    }
+    corrupt = F.when(broken, F.concat(F.lit("{"), F.col("order_id")))
+    return _order_lines(spark, sf_dir).select(
+        *[c.alias(name) for name, c in faulty.items()], corrupt.alias("_corrupt_record")
+    )
+
+
 def raw_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One return per line flagged R. Open lines of two sellers in four are booked on a
     neighbour, which spreads the return rates and leaves returns of unknown orders."""
