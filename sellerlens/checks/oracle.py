@@ -442,6 +442,13 @@ def all_sql() -> dict[str, str]:
                 AS high_severity_count
             FROM ref_complaints GROUP BY ALL ORDER BY complaint_count DESC, seller_id, category"""
         ),
+        "q06_by_name": _refined(
+            """SELECT seller_id, category, count(*) AS complaint_count,
+            CAST(sum(CASE WHEN severity = 'high' THEN 1 ELSE 0 END) AS BIGINT)
+                AS high_severity_count
+            FROM ref_complaints GROUP BY ALL ORDER BY complaint_count DESC, seller_id, category"""
+        ),
+        "q09_by_name": _curated(f"SELECT {_PROFILE} WHERE r.seller_id = '{SELLER}'"),
         "q07_daily_volume": _refined(
             """SELECT seller_id, CAST(event_ts AS DATE) AS order_date,
             count(order_id) AS daily_orders, round(sum(amount), 4) AS daily_revenue

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sellerlens.checks.marts import Marts, marts
 from sellerlens.operators import fraud, metrics, normalize, quality, rejects, roles, scoring
-from sellerlens.plans import activity, governance, investigate, pipeline, reports
+from sellerlens.plans import activity, by_name, governance, investigate, pipeline, reports
 from sellerlens.schemas import RAW_TABLES
 from sellerlens.sources.catalog import Catalog
 from sellerlens.sources.files import (
@@ -370,6 +370,17 @@ def q09_all_profiles(m: Marts) -> DataFrame:
     return rounded(every, "avg_order_amount", "risk_score")
 
 
+@query
+def q06_by_name(m: Marts) -> DataFrame:
+    return by_name.complaint_breakdown(m.published())
+
+
+@query
+def q09_by_name(m: Marts) -> DataFrame:
+    one = by_name.seller_profile(m.published(), SELLER)
+    return rounded(one, "avg_order_amount", "risk_score")
+
+
 @query
 def q10_top10(m: Marts) -> DataFrame:
     return rounded(investigate.top_sellers(_risk(m)), "risk_score")
