@@ -12,6 +12,7 @@ CORRUPT = "_corrupt_record"
 
 # raw.orders.amount is text: an explicit DOUBLE turns a quoted number into a
 # corrupt record, while text keeps both 12 and "12" for the cast in refined.
+# Names and types of every table's columns.
 _DDL = {
     "raw.orders": """order_id STRING, seller_id STRING, customer_id STRING, amount STRING,
         timestamp STRING, status STRING, category STRING""",

@@ -25,6 +25,7 @@ from sellerlens.streaming.ingest import file_topic, ingest_stream
 from sellerlens.sources.scratch import materialize, scratch_path, scratch_root
 from tests.conftest import AS_OF, by, dicts
 
+# Fixed sample values of two shipped sellers, here and in the lake fixture.
 ORDER = {
     "order_id": "O1",
     "seller_id": "S58",

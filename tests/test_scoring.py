@@ -43,6 +43,7 @@ def sellers(table):
 
 # seller, name, region, verification, orders, returns, complaints, high, average amount,
 # score, index, label, pattern
+# Fixed sample values.
 GOLDEN = [
     ("S58", "BudgetFinds", "Middle East", "unverified", 101, 46, 60, 47, 329.6, 748.2, 61.8, "HIGH", "REPEATED_HIGH_COMPLAINTS"),
     ("S61", "CheapGoods", "Asia", "unverified", 66, 29, 36, 26, 403.6, 442.6, 58.1, "HIGH", "REPEATED_HIGH_COMPLAINTS"),
