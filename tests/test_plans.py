@@ -6,9 +6,10 @@ import re
 
 import pytest
 
+from sellerlens.operators import ranking
 from sellerlens.operators.dedupe import latest_per_key
 from sellerlens.operators.metrics import seller_aggregates
-from sellerlens.plans import activity, investigate
+from sellerlens.plans import activity, investigate, reports
 from sellerlens.sources.files import Lake, read_table, write_table
 from __spark_entry__ import queries
 
@@ -80,3 +81,18 @@ def test_no_cross_join_no_python_no_single_task_window(spark, name):
     for i, line in enumerate(lines):
         if re.search(r"\bWindow \[", line):
             assert "SinglePartition" not in "".join(lines[i + 1 : i + 5])
+
+
+def test_priorities_sort_the_sellers_once_in_all_their_jobs(table, monkeypatch):
+    written, write = [], ranking.materialize
+
+    def spy(df, label):
+        written.append(plan(df))
+        return write(df, label)
+
+    monkeypatch.setattr(ranking, "materialize", spy)
+    rows = [{"seller_id": f"S{i}", "risk_score": float(i)} for i in range(9)]
+    last = plan(reports.priority_list(table("curated.seller_risk", *rows)))
+    assert len(written) == 2
+    assert sum(text.count("rangepartitioning") for text in [*written, last]) == 1
+    assert "SinglePartition" not in written[0]
