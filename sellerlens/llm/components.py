@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from sellerlens.sources.scratch import materialize
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every upper end (a) has one edge and is no lower end (b) itself."""
+    if not edges.groupBy("a").count().filter("count > 1").isEmpty():
+        return False
+    lower = edges.select(F.col("b").alias("a")).distinct()
+    return edges.join(lower, "a", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b): root is its component's least node.
 
@@ -22,9 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
         .filter("a <> b").distinct(),
         "components",
     )
-    print_of = [F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
-    before = tuple(now.agg(*print_of).first())
-    while True:
+    while not _are_stars(now):
         # Large star: neighbours above a node go to the least node around it.
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -40,10 +46,6 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(least.select("a", F.col("m").alias("b"))).distinct()
         )
         now = materialize(small, "components")
-        after = tuple(now.agg(*print_of).first())
-        if after == before:
-            break
-        before = after
-    # Stars by now: every node but the roots has one edge, to its root.
+    # Every node but the roots has one edge by now, to its root.
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sellerlens.llm.common import map_texts, read
+from sellerlens.llm.common import map_texts, read, text_batches
 from sellerlens.llm.components import components
 from sellerlens.sources.scratch import materialize
 
@@ -159,7 +159,7 @@ def _postings(docs: DataFrame, buckets: int) -> DataFrame:
         })
 
     schema = "bucket long, grams binary, sets binary, frequent binary, hot_grams binary, hot_sets binary"
-    texts = docs.filter("text IS NOT NULL").select("text")
+    texts = text_batches(docs).filter("text IS NOT NULL").select("text")
     return (
         texts.mapInArrow(send, schema).groupBy("bucket")
         .applyInArrow(count, "set long, gram long, frequency long")
@@ -209,31 +209,46 @@ class Trie:
             other = np.flatnonzero(x[:n] != y[:n])
             common.append(int(other[0]) if len(other) else n)
         self.common = np.array(common, np.int64)
-
-        self.known: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
-
-    def branches(self, low: int, high: int, depth: int) -> list[tuple[int, int, int]]:
-        """Ranges below a node at ``depth``, each with the depth down to which its sets agree."""
-        if (low, high, depth) not in self.known:
-            cuts = [low, *(low + 1 + np.flatnonzero(self.common[low + 1 : high] == depth)).tolist(), high]
-            self.known[low, high, depth] = [
-                (a, b, int(self.common[a + 1 : b].min()) if b - a > 1 else len(self.sets[a]))
-                for a, b in zip(cuts, cuts[1:])
-            ]
-        return self.known[low, high, depth]
+        self.known: dict[tuple[int, int, int], tuple[np.ndarray, dict[int, int]]] = {}
+
+        # Where each rank stands among the first of a set: linked sets share one of those.
+        firsts = [s[: len(s) // 5 + 1] for s in self.sets]
+        ranks = np.concatenate(firsts)
+        owners = np.repeat(np.arange(len(sets)), [len(f) for f in firsts])
+        order = np.argsort(ranks, kind="stable")
+        self.owners = owners[order]
+        self.starts = np.searchsorted(ranks[order], np.arange(int(ranks.max()) + 2))
+
+    def sharing(self, ranks: np.ndarray) -> np.ndarray:
+        """Places of the sets that have one of these ranks among their first."""
+        ranks = ranks[ranks < len(self.starts) - 1]
+        found = [self.owners[a:b] for a, b in zip(self.starts[ranks], self.starts[ranks + 1])]
+        return np.unique(np.concatenate(found)) if found else self.owners[:0]
+
+    def branches(self, low: int, high: int, depth: int) -> tuple[np.ndarray, dict[int, int]]:
+        """First sets of the ranges below a node at ``depth``; how deep a range agrees, once asked for."""
+        key = (low, high, depth)
+        if key not in self.known:
+            cuts = low + 1 + np.flatnonzero(self.common[low + 1 : high] == depth)
+            self.known[key] = (np.r_[low, cuts, high], {})
+        return self.known[key]
+
+    def depth(self, low: int, high: int) -> int:
+        return int(self.common[low + 1 : high].min()) if high - low > 1 else len(self.sets[low])
 
 
 def join_sets(sets: list[np.ndarray], probes: list[int] | None = None) -> list[tuple[int, int]]:
     """Linked pairs (i, j) of the sets that suffice to connect what is connected.
 
     ``probes`` are the sets that walk the trie (all, if not given), the others are only in it. A
-    subtree whose sets are all connected with the probe already is passed over.
+    walk goes only where sets are that share one of the probe's first n-grams, and passes over a
+    subtree in which all of those are connected with the probe already.
     """
     grams, inverse = np.unique(np.concatenate(sets), return_inverse=True)
     counts = np.bincount(inverse, minlength=len(grams))
-    # Frequent n-grams first: the longer the common beginnings, the more is shared.
+    # Rare n-grams first: few sets share one of the first.
     rank_of = np.empty(len(grams), np.int64)
-    rank_of[np.lexsort((grams, -counts))] = np.arange(len(grams))
+    rank_of[np.lexsort((grams, counts))] = np.arange(len(grams))
     ends = np.cumsum([len(s) for s in sets])[:-1]
     ranked = [np.sort(r) for r in np.split(rank_of[inverse], ends)]
     trie = Trie(ranked)
@@ -244,34 +259,59 @@ def join_sets(sets: list[np.ndarray], probes: list[int] | None = None) -> list[t
     for probe in range(len(ranked)) if probes is None else probes:
         mine, me = ranked[probe], int(place[probe])
         size = len(mine)
-        smallest, largest = -(-4 * size // 5), size * 5 // 4
+        goals = trie.sharing(mine[: size // 5 + 1])
+        sizes = trie.sizes[goals]
+        goals = goals[(sizes >= -(-4 * size // 5)) & (sizes <= size * 5 // 4) & (label[goals] != label[me])]
+        if not len(goals):
+            continue
         has[mine] = True
-        stack = [(0, len(ranked), 0, 0)]
+        stack = [(0, len(ranked), 0, 0, goals)]
         while stack:
-            low, high, depth, overlap = stack.pop()
-            for a, b, down in trie.branches(low, high, depth):
-                if (label[a:b] == label[me]).all():
-                    continue
-                fits = trie.sizes[a:b]
-                fits = fits[(fits >= smallest) & (fits <= largest)]
-                if not len(fits):
+            low, high, depth, overlap, goals = stack.pop()
+            cuts, depths = trie.branches(low, high, depth)
+            branch = np.searchsorted(cuts, goals, side="right") - 1
+            for i in np.unique(branch).tolist():
+                a, b = int(cuts[i]), int(cuts[i + 1])
+                inside = goals[branch == i]
+                inside = inside[label[inside] != label[me]]
+                if not len(inside):
                     continue
+                if a not in depths:
+                    depths[a] = trie.depth(a, b)
+                down = depths[a]
                 run = trie.sets[a][depth:down]
                 here = overlap + int(np.count_nonzero(has[run]))
                 # What can still be added: the rest of either set beyond this node.
                 rest = size - int(np.searchsorted(mine, run[-1], side="right")) if len(run) else size
-                most = here + np.minimum(fits - down, rest)
-                if (most < -(-4 * (size + fits) // 9)).all():
+                fits = trie.sizes[inside]
+                inside = inside[here + np.minimum(fits - down, rest) >= -(-4 * (size + fits) // 9)]
+                if not len(inside):
                     continue
                 if b - a > 1:
-                    stack.append((a, b, down, here))
-                elif label[a] != label[me] and here >= needed(size, down):
+                    stack.append((a, b, down, here, inside))
+                else:  # a leaf: nothing is left to add, so the overlap is enough
                     links.append((probe, trie.order[a]))
                     label[label == label[a]] = label[me]
         has[mine] = False
     return links
 
 
+def stars(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Edges from every node to the least one of its component: what is left to do across units."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return [(x, find(x)) for x in root if find(x) != x]
+
+
 def _links(sets: DataFrame) -> DataFrame:
     """Edges (a, b) between linked sets, from rows (set, group, n, grams).
 
@@ -315,7 +355,7 @@ def _links(sets: DataFrame) -> DataFrame:
             if len(rows) > 1:
                 probes = None if x == y else np.flatnonzero(block[rows] == y).tolist()
                 pairs = join_sets([np.frombuffer(grams[r], np.uint64) for r in rows], probes)
-                out += [(int(names[rows[i]]), int(names[rows[j]])) for i, j in pairs]
+                out += stars([(int(names[rows[i]]), int(names[rows[j]])) for i, j in pairs])
         a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
