@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from sellerlens.llm.common import read
+from sellerlens.llm.common import read, text_batches
 
 VOCABULARY = "word_bpe_49k.json"
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -301,7 +301,7 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
                 schema=arrow,
             )
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    slim = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return slim.mapInArrow(run, out)
 
 

@@ -17,6 +17,9 @@ _OTHER = (
     r"[^\x00-\x7F\u00A0-\u00BF\u00D7\u00DF-\u00FF\u2010-\u205E\u3000-\u30FF\u4E00-\u9FFF\uAC00-\uD7A3]"
 )
 
+# Texts in an Arrow batch.
+BATCH_ROWS = 1_000
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -38,6 +41,17 @@ def reducers(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, with the session's Arrow batches made small enough for rows that are whole texts.
+
+    A batch is held in memory on both sides, and Spark bounds its rows, not its bytes.
+    """
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return docs
+
+
 def map_texts(
     docs: DataFrame, schema: str, fn: Callable[[str], tuple], keep: Column | None = None
 ) -> DataFrame:
@@ -47,7 +61,7 @@ def map_texts(
     is not converted on its way through Python, so nulls and large values stay as they are.
     """
     first = F.col("doc_id").cast("long").alias("doc_id") if keep is None else keep
-    slim = docs.select(first, F.coalesce("text", F.lit("")).alias("_text"))
+    slim = text_batches(docs).select(first, F.coalesce("text", F.lit("")).alias("_text"))
     out = StructType([slim.schema[0], *StructType.fromDDL(schema)])
     types = list(to_arrow_schema(StructType.fromDDL(schema)))
     names = out.names

@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sellerlens.llm.common import map_texts, read
+from sellerlens.llm.common import map_texts, read, text_batches
 
 # n-grams of a profile; n-grams have 1 to MAX_N characters.
 PROFILE = 400
 MAX_N = 3
-# Bound of what a profile is learned from: documents a language, and characters of each of them.
+# About how many documents a language's profile is learned from.
 LEARN_DOCS = 2_000
 UNKNOWN = "und"
 
@@ -125,7 +125,7 @@ def learn_profiles(docs: DataFrame, learn_docs: int = LEARN_DOCS) -> Profiles:
     limit = F.lit(None).cast("double")
     for lang, part in shares.items():
         limit = F.when(F.col("lang") == lang, F.lit(part * 2.0**64 - 2.0**63)).otherwise(limit)
-    picked = usable.filter(order.cast("double") <= limit).select("lang", "text")
+    picked = text_batches(usable).filter(order.cast("double") <= limit).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}

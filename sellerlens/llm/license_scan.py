@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerlens.llm.common import map_texts, read
+from sellerlens.llm.common import map_texts, read, text_batches
 
 # Fixed phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -159,7 +159,7 @@ def template_frequency(docs: DataFrame) -> dict[bytes, int]:
             names=["word", "n"],
         )
 
-    counts = docs.filter("text IS NOT NULL").select("text").mapInArrow(count, "word string, n long")
+    counts = text_batches(docs).filter("text IS NOT NULL").select("text").mapInArrow(count, "word string, n long")
     return {r["word"].encode(): r["n"] for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 

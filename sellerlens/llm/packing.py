@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sellerlens.llm.common import read
+from sellerlens.llm.common import read, text_batches
 from sellerlens.operators.ranking import ranked
 from sellerlens.sources.scratch import materialize
 
@@ -117,7 +117,7 @@ def pieces(
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    slim = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return slim.mapInArrow(run, schema)
 
 
