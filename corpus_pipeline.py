@@ -53,7 +53,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         "near-copies",
     )
     same = docs["doc_id"].eqNullSafe(gone["_id"]) & (text_hash == gone["_mark"])
-    return docs.join(gone, same, "left_anti")
+    # As many rows may go as there are: no broadcast, at any size.
+    return docs.join(gone.hint("merge"), same, "left_anti")
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
