@@ -19,10 +19,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerlens.llm.common import read, reducers
+from sellerlens.llm.common import read, reducers, text_batches
 
 SAMPLES = 64
-_DIGITS = 4  # hexadecimal digits kept of each sample
+_DIGITS = 4  # hexadecimal digits kept of each sample, 16 bits
 # Terms whose variables a worker keeps, and terms looked at together.
 _KEPT_TERMS, _BLOCK = 50_000, 8_192
 
@@ -58,8 +58,10 @@ class Sampler:
         self.rate = np.zeros(shape, np.float32)  # r
         self.shift = np.zeros(shape, np.float32)  # beta
         self.cost = np.zeros(shape, np.float32)  # ln c - r
+        self.once = np.zeros(shape, np.float32)  # ln of c / (y * e^r) for weight 1
         self.hash = np.zeros(_KEPT_TERMS, np.uint64)
         gamma = _gamma_table()
+        self.spread = np.arange(samples, dtype=np.uint64)
         self.gamma, self.log_gamma = gamma.astype(np.float32), np.log(gamma).astype(np.float32)
 
     def _learn(self, terms: list[str]) -> None:
@@ -82,6 +84,7 @@ class Sampler:
         first = len(self.place)
         to = slice(first, first + len(new))
         self.rate[to], self.shift[to], self.cost[to], self.hash[to] = r, beta, log_c - r, hashes
+        self.once[to] = self.cost[to] + r * beta
         self.place.update(zip(new, range(first, first + len(new)), strict=True))
 
     def fingerprint(self, counts: Counter[str]) -> str:
@@ -91,25 +94,36 @@ class Sampler:
         columns = np.arange(self.samples)
         least = np.full(self.samples, np.inf, np.float32)
         chosen = np.zeros(self.samples, np.uint64)
-        # Terms in a fixed order: equal sets take the same steps.
-        ordered = sorted(counts)
-        for begin in range(0, len(ordered), _BLOCK):
-            terms = ordered[begin : begin + _BLOCK]
+        every, times = list(counts), np.array(list(counts.values()), np.float32)
+        for begin in range(0, len(every), _BLOCK):
+            terms, weight = every[begin : begin + _BLOCK], times[begin : begin + _BLOCK]
             self._learn(terms)
-            at = np.array([self.place[t] for t in terms])
-            weight = np.log(np.array([counts[t] for t in terms], np.float32))[:, None]
-            rate, shift = self.rate[at], self.shift[at]
-            level = np.floor(weight / rate + shift)
-            rank = self.cost[at] - rate * (level - shift)  # ln of c / (y * e^r)
-            best = rank.argmin(axis=0)
-            steps = level[best, columns].astype(np.int64).astype(np.uint64)
-            code = self.hash[at[best]] + steps * np.uint64(0xA0761D6478BD642F) + columns.astype(np.uint64)
-            better = rank[best, columns] < least
-            least = np.where(better, rank[best, columns], least)
-            chosen = np.where(better, code, chosen)
+            at = np.array([*map(self.place.__getitem__, terms)])
+            # A weight of one has the logarithm 0 and step 0: its ranks are ready.
+            more = weight > 1
+            once = at[~more]
+            if len(once):
+                rank = self.once.take(once, 0)
+                best = rank.argmin(axis=0)
+                low = rank[best, columns]
+                better = low < least
+                least[better] = low[better]
+                chosen[better] = (self.hash[once[best]] + self.spread)[better]
+            at = at[more]
+            if len(at):
+                rate, shift = self.rate.take(at, 0), self.shift.take(at, 0)
+                level = np.floor(np.log(weight[more])[:, None] / rate + shift)
+                rank = self.cost.take(at, 0) - rate * (level - shift)  # ln of c / (y * e^r)
+                best = rank.argmin(axis=0)
+                low = rank[best, columns]
+                better = low < least
+                least[better] = low[better]
+                steps = level[best, columns].astype(np.int64).astype(np.uint64)
+                code = self.hash[at[best]] + steps * np.uint64(0xA0761D6478BD642F) + self.spread
+                chosen[better] = code[better]
         # Never zero, which stands for no sample.
         digits = _mixed(chosen) % np.uint64(16**_DIGITS - 1) + np.uint64(1)
-        return "".join([f"{d:0{_DIGITS}x}" for d in digits.tolist()])
+        return digits.astype(">u2").tobytes().hex()
 
 
 def likeness(a: str, b: str) -> float:
@@ -145,7 +159,7 @@ def fingerprint_texts(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
                 names=["doc_id", "n_chars", "fingerprint"],
             )
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    slim = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return slim.mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
@@ -157,14 +171,14 @@ def _with_next(docs: DataFrame) -> DataFrame:
     partitions; the row after a block is the first of the next one and goes to both.
     """
     parts = reducers(docs.sparkSession)
-    slim = docs.select(
+    slim = text_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
     # Null numbers come last: as a number they are the smallest.
     keyed = slim.withColumn("_key", F.coalesce("doc_id", F.lit(-(2**63))))
     shares = [i / parts for i in range(1, parts)] or [0.5]
     cuts = keyed.select(F.percentile_approx("_key", shares, 10_000)).first()[0]
-    bounds = sorted({float(c) for c in cuts or []})
+    bounds = sorted({float(c) for c in cuts or []}) or [0.0]
     placed = Bucketizer(
         splits=[-np.inf, *bounds, np.inf], inputCol="_at", outputCol="_bucket"
     ).transform(keyed.withColumn("_at", F.col("_key").cast("double")))
