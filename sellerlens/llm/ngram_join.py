@@ -33,7 +33,7 @@ from sellerlens.sources.scratch import materialize
 
 N = 5
 # N-grams that are sent to one bucket, held together on the sending side, and joined in one task.
-BUCKET, CHUNK, UNIT = 1_000_000, 2_000_000, 2_000_000
+BUCKET, CHUNK, UNIT = 1_000_000, 1_000_000, 500_000
 # An n-gram of so many documents in one chunk counts as frequent everywhere; it comes last.
 FREQUENT = 8
 _HOT = 1 << 30
@@ -397,7 +397,9 @@ def jaccard_components(docs: DataFrame, mark: Column | None = None) -> DataFrame
         ),
         "ngram-wanted",
     )
-    texts = docs.filter("text IS NOT NULL").withColumn("key", key).join(wanted, "key").select(
+    # Both sides are shuffled at every size: the list of candidates has no bound, and what is
+    # small enough to broadcast today changes the plan, not the need.
+    texts = docs.filter("text IS NOT NULL").withColumn("key", key).join(wanted.hint("merge"), "key").select(
         "set", "group", "n", "text"
     )
 
@@ -429,3 +431,33 @@ def jaccard_components(docs: DataFrame, mark: Column | None = None) -> DataFrame
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
+
+
+OP8_SQL = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+grams AS (
+  SELECT doc_id, unnest(CASE
+           WHEN len(w) = 0 THEN []
+           WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                                             lambda i: array_to_string(w[i : i + 4], ' '))) END) AS gram
+  FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * common >= 80 * (p.n + q.n - common)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r
+  JOIN (SELECT x AS a, y AS b FROM links UNION ALL SELECT y, x FROM links) l ON l.a = r.other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

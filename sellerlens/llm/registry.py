@@ -12,7 +12,7 @@ from sellerlens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from sellerlens.llm.fingerprint import op10_fingerprints
 from sellerlens.llm.lang_id import op7_language_id
 from sellerlens.llm.license_scan import op6_license_scan
-from sellerlens.llm.ngram_join import op8_ngram_jaccard
+from sellerlens.llm.ngram_join import OP8_SQL, op8_ngram_jaccard
 from sellerlens.llm.packing import op4_best_fit_packing
 from sellerlens.llm.secret_scan import op1_secret_scan
 from sellerlens.llm.surrogates import op3_pii_surrogates
@@ -39,5 +39,6 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_sql() -> dict[str, str]:
     return {
+        "op8_ngram_jaccard": OP8_SQL,
         "op9_exact_dedup": OP9_SQL,
     }
