@@ -21,8 +21,8 @@ from sellerlens.sources.scratch import materialize
 KINDS = ("email", "phone", "card", "ip", "given_m", "given_f", "surname")
 
 # Titles by gender, and names to draw from, by kind and script.
-_MALE = r"(?:Mr|Herr|Señor|Monsieur|Господин|Κύριος)"
-_FEMALE = r"(?:Mrs|Ms|Frau|Señora|Madame|Госпожа|Κυρία)"
+MALE = ("Mr", "Herr", "Señor", "Monsieur", "Господин", "Κύριος")
+FEMALE = ("Mrs", "Ms", "Frau", "Señora", "Madame", "Госпожа", "Κυρία")
 NAMES = {
     ("given_m", "latin"): "Adam Brian Carl David Erik Frank Georg Henry Ivan Jonas Karl Louis Marco Nils Oscar Paul",
     ("given_f", "latin"): "Anna Berta Clara Diana Emma Fiona Greta Helen Irene Julia Karin Laura Maria Nora Olga Paula",
@@ -35,27 +35,28 @@ NAMES = {
     ("surname", "greek"): "Αθανασίου Βασιλείου Γεωργίου Δημητρίου Ιωάννου Κωνσταντίνου Νικολάου Παύλου",
 }
 
+_MALE, _FEMALE = f"(?:{'|'.join(MALE)})", f"(?:{'|'.join(FEMALE)})"
 _NAME = r"\p{Lu}\p{Ll}{1,30}"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-# One group a kind, in the order of KINDS.
+# One group a kind, in the order of KINDS. The first character is looked at before what precedes it.
 PATTERN = "|".join(
     (
         rf"((?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@{_LABEL}(?:\.{_LABEL})+)",
-        r"((?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9]))",
-        r"((?<![0-9A-Za-z])(?:[0-9]{16}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3})(?![0-9A-Za-z]))",
-        rf"((?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9]))",
-        rf"((?<=(?<!\p{{L}}){_MALE}\.? ){_NAME}(?= {_NAME}))",
-        rf"((?<=(?<!\p{{L}}){_FEMALE}\.? ){_NAME}(?= {_NAME}))",
-        rf"((?<=(?<!\p{{L}})(?:{_MALE}|{_FEMALE})\.? (?:{_NAME} )?){_NAME})",
+        r"((?=\+)(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9]))",
+        r"((?=[0-9])(?<![0-9A-Za-z])(?:[0-9]{16}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3})(?![0-9A-Za-z]))",
+        rf"((?=[0-9])(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9]))",
+        rf"((?=\p{{Lu}})(?<=(?<!\p{{L}}){_MALE}\.? ){_NAME}(?= {_NAME}))",
+        rf"((?=\p{{Lu}})(?<=(?<!\p{{L}}){_FEMALE}\.? ){_NAME}(?= {_NAME}))",
+        rf"((?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{_MALE}|{_FEMALE})\.? (?:{_NAME} )?){_NAME})",
     )
 )
-# Cheap test that rules out most texts.
-_HINT = r"[@0-9]|" + _MALE + "|" + _FEMALE
 
 
 def has_entity(text: Column) -> Column:
-    return F.coalesce(text.rlike(_HINT) & text.rlike(PATTERN), F.lit(False))
+    """Whether the pattern is found; most texts are ruled out by what every entity has or follows."""
+    hints = [text.rlike("[0-9]"), *[text.contains(s) for s in ("@", *MALE, *FEMALE)]]
+    return F.coalesce(reduce(Column.__or__, hints) & text.rlike(PATTERN), F.lit(False))
 
 
 def _mark(text: Column) -> Column:
@@ -130,7 +131,9 @@ def draw(kind: Column, canon: Column, attempt: int, key: str) -> Column:
     host = _letters(F.substring_index(domain, ".", 1),
                     F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit("domain"), domain), 512))
     top = F.substring_index(domain, ".", -1)
-    email = F.concat(_letters(local, digest), F.lit("@"), host, F.lit(".example."),
+    # A short name has few others of its length; later attempts add letters.
+    more = [F.char(_pick(digest, F.lit(i), 26) + 97) for i in range(3, 1 + attempt)]
+    email = F.concat(_letters(local, digest), *more, F.lit("@"), host, F.lit(".example."),
                      F.when(top.isin("com", "net", "org"), top).otherwise("org"))
 
     digits = F.array_join(
