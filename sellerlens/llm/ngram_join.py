@@ -71,11 +71,6 @@ def sent(n: int) -> int:
     return min(n, n // 5 + extra(n))
 
 
-def needed(a: int, b: int) -> int:
-    """Least overlap of linked sets: 100 * i >= 80 * (a + b - i)."""
-    return -(-4 * (a + b) // 9)
-
-
 # --- who has to meet --------------------------------------------------------------------------
 
 
@@ -284,6 +279,7 @@ def join_sets(sets: list[np.ndarray], probes: list[int] | None = None) -> list[t
                 # What can still be added: the rest of either set beyond this node.
                 rest = size - int(np.searchsorted(mine, run[-1], side="right")) if len(run) else size
                 fits = trie.sizes[inside]
+                # Linked: 100 * i >= 80 * (a + b - i), so i >= 4 * (a + b) / 9.
                 inside = inside[here + np.minimum(fits - down, rest) >= -(-4 * (size + fits) // 9)]
                 if not len(inside):
                     continue
