@@ -14,9 +14,8 @@ from pyspark.sql.types import StructType
 # Whatever is not known to have no upper case: outside ASCII, Latin-1's small letters and signs, general
 # punctuation, kana, CJK ideographs and Hangul.
 _OTHER = (
-    r"[^\x00-\x7F\u00A0-\u00BF\u00D7\u00DF-\u00FF\u2010-\u205E\u3000-\u30FF\u4E00-\u9FFF\uAC00-\uD7A3]"
+    r"[^\x00-\x7F](?<![\u00A0-\u00BF\u00D7\u00DF-\u00FF\u2010-\u205E\u3000-\u30FF\u4E00-\u9FFF\uAC00-\uD7A3])"
 )
-
 # Texts in an Arrow batch.
 BATCH_ROWS = 1_000
 
@@ -31,9 +30,9 @@ def ascii_lower(text: Column) -> Column:
     ``lower`` is much faster than ``translate`` and does the same for texts in which nothing else
     can have an upper case.
     """
-    return F.when(text.rlike(_OTHER), F.translate(
-        text, string.ascii_uppercase, string.ascii_lowercase
-    )).otherwise(F.lower(text))
+    slow = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    only_ascii = F.octet_length(text) == F.length(text)
+    return F.when(~only_ascii & text.rlike(_OTHER), slow).otherwise(F.lower(text))
 
 
 def reducers(spark: SparkSession) -> int:
