@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sellerlens.llm.exact_dedup import exact_dedup
-from sellerlens.llm.lang_id import UNKNOWN, identify, learn_profiles
+from sellerlens.llm.lang_id import in_some_language, learn_least_scores, learn_profiles
 from sellerlens.llm.ngram_join import jaccard_components
 from sellerlens.llm.packing import RANKS, VOCABULARY, pack_documents
 from sellerlens.llm.surrogates import QUERY_KEY, replace_entities
@@ -21,15 +21,16 @@ from sellerlens.sources.scratch import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# A text that is further from every language's profile than this is no language of the corpus.
-LEAST_SCORE = 0.15
-
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the corpus has; texts without letters and alien texts go."""
+    """Documents in a language that the corpus has; texts without letters and alien texts go.
+
+    How near a text has to be to its language follows the documents that the languages were learned from.
+    """
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    found = identify(docs, learn_profiles(docs), keep=row)
-    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    profiles = learn_profiles(docs)
+    found = in_some_language(docs, profiles, learn_least_scores(docs, profiles), row)
+    kept = found.filter("admitted")
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

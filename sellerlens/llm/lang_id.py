@@ -24,6 +24,10 @@ MAX_N = 3
 # About how many documents a language's profile is learned from.
 LEARN_DOCS = 2_000
 UNKNOWN = "und"
+# A text is in its language when it scores SHARE of what all but a TAIL of the language's own documents do,
+# those of its length, if there are at least SIMILAR_DOCS.
+TAIL, SHARE, SIMILAR_DOCS = 0.05, 0.65, 100
+_BINS = 1_000  # of scores
 
 _GAP = 1  # stands for whatever separates words
 _BITS = 21  # of a code point
@@ -86,9 +90,13 @@ class Profiles:
 
     def predict(self, text: str) -> tuple[str, float]:
         """(language, score): 1 - distance / greatest possible distance of the best language."""
+        return self.measure(text)[:2]
+
+    def measure(self, text: str) -> tuple[str, float, int]:
+        """(language, score, length class): what ``predict`` gives and the bits of the number of n-grams."""
         codes, counts = ngram_counts(text)
         if not len(codes) or not self.langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         mine = ranked_codes(codes, counts)
         at = np.searchsorted(self.codes, mine)
         at[at == len(self.codes)] = 0
@@ -98,23 +106,65 @@ class Profiles:
         out[ranks == PROFILE] = PROFILE
         distance = out.sum(axis=1)
         best = int(distance.argmin())
-        return self.langs[best], float(1 - distance[best] / (PROFILE * len(mine)))
+        score = float(1 - distance[best] / (PROFILE * len(mine)))
+        return self.langs[best], score, int(counts.sum()).bit_length()
+
+
+class LeastScores:
+    """The least score of a text that counts as its language's, by language and length class.
+
+    ``histogram`` has (language, length class, score in bins) and the number of documents. Where a length
+    has too few, those of the lengths next to it count too. Repeated lines and tables make
+    long texts differ more than their lengths tell, so no length needs more than the language as a whole.
+    """
+
+    def __init__(self, histogram: dict[tuple[str, int, int], int]):
+        by_lang: dict[str, np.ndarray] = {}
+        classes = 2 + max((k for _, k, _ in histogram), default=0)
+        for (lang, k, score), n in histogram.items():
+            by_lang.setdefault(lang, np.zeros((classes, _BINS + 1), np.int64))[k, score] += n
+        self.least = {lang: self._of(table) for lang, table in by_lang.items()}
+
+    @staticmethod
+    def _of(table: np.ndarray) -> list[float]:
+        def low(rows: np.ndarray) -> float:
+            below = rows.sum(axis=0).cumsum()
+            return SHARE * int(np.searchsorted(below, TAIL * below[-1], side="right")) / _BINS
+
+        least = []
+        for k in range(len(table)):
+            around = 0
+            while around < len(table) and table[max(k - around, 0) : k + around + 1].sum() < SIMILAR_DOCS:
+                around += 1
+            least.append(min(low(table[max(k - around, 0) : k + around + 1]), low(table)))
+        return least
+
+    def admits(self, lang: str, score: float, length: int) -> bool:
+        """Texts without a letter are in no language; one that no document was seen of admits all."""
+        if lang == UNKNOWN:
+            return False
+        least = self.least.get(lang, [0.0])
+        return score >= least[min(length, len(least) - 1)]
 
 
 def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def _learnable(docs: DataFrame) -> DataFrame:
+    return docs.filter(
+        F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
+        & ~is_held_out(F.col("doc_id"))
+    )
+
+
 def learn_profiles(docs: DataFrame, learn_docs: int = LEARN_DOCS) -> Profiles:
     """Profiles from ``text`` and ``lang`` of documents that are not held out.
 
     About ``learn_docs`` documents a language are looked at, those whose numbers have the smallest
     hashes; where a language has fewer, all of them. The result has PROFILE n-grams a language.
     """
-    usable = docs.filter(
-        F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-        & ~is_held_out(F.col("doc_id"))
-    )
+    usable = _learnable(docs)
     order = F.xxhash64(F.col("doc_id").cast("long"))
     sizes = usable.groupBy("lang").agg(F.count("*").alias("_n"))
     share = sizes.select("lang", F.least(F.lit(1.0), F.lit(float(learn_docs)) / F.col("_n")).alias("_share"))
@@ -165,6 +215,25 @@ def identify(docs: DataFrame, profiles: Profiles, keep: Column | None = None) ->
     return map_texts(docs, "lang_pred string, score double", profiles.predict, keep)
 
 
+def learn_least_scores(docs: DataFrame, profiles: Profiles) -> LeastScores:
+    """Least scores from all documents that are not held out and are taken for what ``lang`` says.
+
+    One pass where the texts lie; the histogram has at most _BINS rows a language and length class.
+    """
+    measured = map_texts(
+        _learnable(docs), "found string, score double, length int", profiles.measure, F.col("lang")
+    )
+    counts = measured.filter(F.col("found") == F.col("lang")).groupBy(
+        "lang", "length", F.floor(F.col("score") * _BINS).cast("int").alias("bin")
+    ).count()
+    return LeastScores({(r["lang"], r["length"], r["bin"]): r["count"] for r in counts.collect()})
+
+
+def in_some_language(docs: DataFrame, profiles: Profiles, least: LeastScores, keep: Column) -> DataFrame:
+    """``keep`` and whether the text is in one of the languages (``admitted``), for every row, where it lies."""
+    return map_texts(docs, "admitted boolean", lambda text: (least.admits(*profiles.measure(text)),), keep)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = identify(docs, learn_profiles(docs))

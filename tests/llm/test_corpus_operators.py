@@ -308,6 +308,35 @@ def test_pipeline_stages_by_brute_force(spark):
     assert len(seen) == 5
 
 
+def test_language_stage_drops_random_letters_and_unlearned_languages(spark):
+    rng = random.Random(4)
+
+    def random_words(count):
+        words = ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 10))) for _ in range(count))
+        return " ".join(words)
+
+    alien = [
+        *[random_words(n) for n in (5, 20, 100, 1_000, 3_000) for _ in range(5)],
+        "x " * 100, "asdf jkl qwer zxcv " * 20, " ".join(f"{rng.getrandbits(32):08x}" for _ in range(200)),
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+        "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi.",
+    ]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    own = [r["text"].split() for r in docs.filter("text IS NOT NULL").collect()]
+    clean = [" ".join(w[:n]) for w in own for n in (4, 10, 40) if re.search("[a-z]", " ".join(w[:n]))]
+    clean += ["The house", "She was in the house with him.", "die und der", "el la de los"]
+    extra = [(20_000 + i, t, None, None, None) for i, t in enumerate(alien)]
+    extra += [(30_000 + i, t, None, None, None) for i, t in enumerate(clean)]
+    out = corpus_pipeline.keep_language(spark, docs.unionByName(spark.createDataFrame(extra, docs.schema)), SF)
+    stayed = {r["doc_id"] for r in out.collect()}
+    assert [t for i, t, *_ in extra if i < 30_000 and i in stayed] == []
+    assert [t for i, t, *_ in extra if i >= 30_000 and i not in stayed] == []
+    assert stayed >= {r["doc_id"] for r in docs.collect()}
+
+
 def test_pipeline_runs_as_a_query(spark):
     df = corpus_pipeline.run(spark, SF)
     assert df.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 1024
