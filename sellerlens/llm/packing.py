@@ -223,20 +223,31 @@ def best_fit(left: Counter[int], capacity: int) -> Counter[Config]:
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Config, int]]:
     """(configuration, number of sequences) pairs that hold every piece of the histogram exactly once."""
     left = Counter({int(x): int(n) for x, n in histogram.items() if n})
-    chosen: Counter[Config] = Counter()
+    full: Counter[Config] = Counter()
     if left.get(capacity):  # nothing fits beside a full piece
-        chosen[((capacity, 1),)] = left.pop(capacity)
-    if left:
-        shares = fractional(dict(left), capacity, rounds)
-        for config, amount in sorted(shares.items(), key=lambda s: (-s[1], s[0])):
-            times = min(int(amount), *(left[x] // n for x, n in config))
-            # Rounded down, and only fillings without much waste: best fit does no worse with the rest.
-            if times > 0 and capacity - sum(x * n for x, n in config) <= capacity // 64:
-                chosen[config] += times
-                for x, n in config:
-                    left[x] -= n * times
-        chosen.update(best_fit(+left, capacity))
-    return sorted(chosen.items(), reverse=True)
+        full[((capacity, 1),)] = left.pop(capacity)
+    if not left:
+        return sorted(full.items())
+    shares = fractional(dict(left), capacity, rounds)
+    # The whole program rounded down, only its fillings without much waste, or none: best fit packs the
+    # rest, and does better now with more of it, now with less.
+    plans = [
+        dealt(left, {c: n for c, n in shares.items() if capacity - sum(x * k for x, k in c) <= waste}, capacity)
+        for waste in (capacity, capacity // 64, -1)
+    ]
+    return sorted((full + min(plans, key=lambda p: p.total())).items(), reverse=True)
+
+
+def dealt(histogram: Counter[int], shares: dict[Config, float], capacity: int) -> Counter[Config]:
+    """Sequences of all pieces: ``shares`` rounded down, as far as there are pieces, then best fit."""
+    left, chosen = Counter(histogram), Counter()
+    for config, amount in sorted(shares.items(), key=lambda s: (-s[1], s[0])):
+        times = min(int(amount), *(left[x] // n for x, n in config))
+        if times > 0:
+            chosen[config] += times
+            for x, n in config:
+                left[x] -= n * times
+    return chosen + best_fit(+left, capacity)
 
 
 def pack(cut_docs: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:

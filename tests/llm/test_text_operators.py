@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -228,6 +229,35 @@ def test_plan_holds_every_piece_once_and_is_near_the_bound():
         assert sum(times for _, times in plan) <= 1.02 * bound + 1
 
 
+def fewest(histogram):
+    """The linear program's value over all configurations of three lengths, from its dual's corners."""
+    lengths, counts = np.array(list(histogram)), np.array(list(histogram.values()), float)
+    every = itertools.product(*(range(1024 // x + 1) for x in lengths))
+    full = [c for c in every if 1024 - min(lengths) < np.dot(c, lengths) <= 1024]
+    rows, most = np.vstack([full, -np.eye(3)]), np.r_[np.ones(len(full)), np.zeros(3)]
+    best = 0.0
+    for corner in map(list, itertools.combinations(range(len(rows)), 3)):
+        if abs(np.linalg.det(rows[corner])) > 1e-9:
+            prices = np.linalg.solve(rows[corner], most[corner])
+            if (rows @ prices <= most + 1e-9).all():
+                best = max(best, float(prices @ counts))
+    return best
+
+
+def test_few_hot_lengths_are_packed_near_the_exact_bound():
+    rng = random.Random(5)
+    hot = [{x: rng.randint(1, 60) * 100 for x in rng.sample(range(200, 900), 3)} for _ in range(15)]
+    assert fewest({434: 2_400, 375: 6_000, 228: 3_600}) == pytest.approx(4_350)
+    for histogram in ({434: 2_400, 375: 6_000, 228: 3_600}, *hot):
+        plan, held = packing.plan(histogram), Counter()
+        for config, times in plan:
+            assert sum(x * n for x, n in config) <= 1024 and times > 0
+            for x, n in config:
+                held[x] += n * times
+        assert held == Counter(histogram)
+        assert sum(times for _, times in plan) <= 1.02 * fewest(histogram) + 3
+
+
 def test_pricing_finds_the_best_configuration():
     rng = np.random.default_rng(2)
     for _ in range(30):
