@@ -36,16 +36,41 @@ NAMES = {
 }
 
 _MALE, _FEMALE = f"(?:{'|'.join(MALE)})", f"(?:{'|'.join(FEMALE)})"
-_NAME = r"\p{Lu}\p{Ll}{1,30}"
+# Bounded, because it stands in what precedes: McDonald, O'Brien, Anna-Maria.
+_PART = r"['’-]?\p{Lu}[\p{Ll}\p{M}]{1,15}"
+_NAME = rf"\p{{Lu}}(?:['’]\p{{Lu}})?[\p{{Ll}}\p{{M}}]{{1,30}}(?:{_PART})?(?:{_PART})?"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_HEX = "[0-9A-Fa-f]{1,4}"
+# A plus sign and blocks, all digits together, other groups; an area in brackets, 3-3-4 digits, a trunk 0.
+_PHONE = "|".join(
+    (
+        r"(?=\+)(?<![\w+])\+(?:[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+        r"|[1-9][0-9]{6,14}(?![0-9])"
+        r"|(?=(?:[ .()-]{0,2}[0-9]){7,15}(?![0-9]|[ .-][0-9]))[0-9]{1,3}"
+        r"(?:[ .-]?\([0-9]{1,4}\)[ .-]?[0-9]{1,10}|[ .-][0-9]{1,12})(?:[ .-][0-9]{2,8}){0,5}(?![0-9]))",
+        r"(?=\()(?<![\w)])\([0-9]{2,5}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,5}(?![\w]|[.-][0-9])",
+        r"(?=[0-9])(?<![\w.+-])(?:(?:1[.-])?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+        r"|(?=0(?:-?[0-9]){8,11}(?![0-9]|-[0-9]))0[0-9]{1,4}-[0-9]{2,8}(?:-[0-9]{2,4}){0,4})(?![\w]|[.-][0-9])",
+    )
+)
+# 16 digits, or what may be a card of another length; its check digit tells.
+_CARD = (
+    r"(?=[0-9])(?<![0-9A-Za-z])(?:[0-9]{16}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}"
+    r"|[2-6][0-9]{12,18}|[2-6][0-9]{3}(?: [0-9]{6} [0-9]{4,5}|-[0-9]{6}-[0-9]{4,5}"
+    r"|(?: [0-9]{4}){2,3} [0-9]{1,3}|(?:-[0-9]{4}){2,3}-[0-9]{1,3}))(?![0-9A-Za-z])"
+)
+_IP6 = (
+    rf"(?=[0-9A-Fa-f])(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}"
+    rf"|(?=(?:{_HEX}:?:?){{1,7}}(?![0-9A-Za-z:])){_HEX}(?::{_HEX}){{0,5}}::{_HEX}(?::{_HEX}){{0,5}})(?![0-9A-Za-z:])"
+)
 # One group a kind, in the order of KINDS. The first character is looked at before what precedes it.
 PATTERN = "|".join(
     (
         rf"((?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@{_LABEL}(?:\.{_LABEL})+)",
-        r"((?=\+)(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9]))",
-        r"((?=[0-9])(?<![0-9A-Za-z])(?:[0-9]{16}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3})(?![0-9A-Za-z]))",
-        rf"((?=[0-9])(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9]))",
+        f"({_PHONE})",
+        f"({_CARD})",
+        rf"((?=[0-9])(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])|{_IP6})",
         rf"((?=\p{{Lu}})(?<=(?<!\p{{L}}){_MALE}\.? ){_NAME}(?= {_NAME}))",
         rf"((?=\p{{Lu}})(?<=(?<!\p{{L}}){_FEMALE}\.? ){_NAME}(?= {_NAME}))",
         rf"((?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{_MALE}|{_FEMALE})\.? (?:{_NAME} )?){_NAME})",
@@ -74,16 +99,38 @@ def parts_of(text: Column) -> Column:
                    F.concat(mark, F.lit(r"\|")), -1)
 
 
+def _groups(surface: Column) -> tuple[Column, Column]:
+    """Groups of an IPv6 address before and behind the gap; one without a gap has all of them before."""
+    def split(text: Column) -> Column:
+        return F.filter(F.split(text, ":"), lambda g: g != "")
+
+    behind = F.when(surface.contains("::"), F.substring_index(surface, "::", -1)).otherwise("")
+    return split(F.substring_index(surface, "::", 1)), split(behind)
+
+
+def _whole_ip6(surface: Column) -> Column:
+    """All eight groups in lower case without leading zeros."""
+    before, behind = _groups(F.lower(surface))
+    gap = F.array_repeat(F.lit("0"), (8 - F.size(before) - F.size(behind)).cast("int"))
+    return F.array_join(
+        F.transform(F.concat(before, gap, behind), lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":"
+    )
+
+
 def entity_of(part: Column, mark: Column) -> Column:
-    """struct(kind, surface, canon) of an odd part."""
+    """struct(kind, surface, canon) of an odd part; no kind if it only looked like a card."""
     fields = F.split(part, F.concat(mark, F.lit(":")), -1)
     kind = reduce(
         lambda rest, i: F.when(fields[i] != "", F.lit(KINDS[i])).otherwise(rest),
         reversed(range(len(KINDS))), F.lit(None).cast("string"),
     )
     surface = F.array_join(fields, "")
+    digits = F.regexp_replace(surface, "[^0-9]", "")
+    valid = (F.length(digits) == 16) | (F.pmod(_luhn(F.concat(F.lit("0"), digits)), F.lit(10)) == 0)
+    kind = F.when(kind != "card", kind).when(valid, "card")
     canon = (
         F.when(kind.isin("phone", "card"), F.regexp_replace(surface, "[^0-9+]", ""))
+        .when((kind == "ip") & surface.contains(":"), _whole_ip6(surface))
         .when(kind == "ip", surface).otherwise(F.lower(surface))
     )
     return F.struct(kind.alias("kind"), surface.alias("surface"), canon.alias("canon"))
@@ -142,8 +189,10 @@ def draw(kind: Column, canon: Column, attempt: int, key: str) -> Column:
             lambda c, i: F.when(c.rlike("[0-9]"), _pick(digest, i, 10).cast("string")).otherwise(c),
         ), "",
     )
-    phone = F.concat(F.substring(canon, 1, 2), F.substring(digits, 3, 100))
-    body = F.concat(F.substring(canon, 1, 1), F.substring(digits, 2, 14))
+    # The first digit stays: of the country, the trunk or the area.
+    phone = F.when(canon.startswith("+"), F.concat(F.substring(canon, 1, 2), F.substring(digits, 3, 100))).otherwise(
+        F.concat(F.substring(canon, 1, 1), F.substring(digits, 2, 100)))
+    body = F.concat(F.substring(canon, 1, 1), F.substring(digits, F.lit(2), F.length(canon) - 2))
     check = F.pmod(10 - F.pmod(_luhn(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10))
     # A number with a valid check digit gets one, another gets none.
     off = F.when(F.pmod(_luhn(canon), F.lit(10)) == 0, 0).otherwise(_pick(digest, F.lit(15), 9) + 1)
@@ -166,6 +215,20 @@ def draw(kind: Column, canon: Column, attempt: int, key: str) -> Column:
         some[2], some[3],
     )
 
+    # Zero groups stay, so a gap does; so do local ranges (f...) and the first digit of others. Later attempts
+    # widen groups and draw the last one, which is never in the gap, and in the end the first.
+    def group(g: Column, i: Column) -> Column:
+        first = F.lower(F.hex(_pick(digest, i + 16, 15) + 1))
+        some = F.lpad(F.lower(F.hex(_number(digest, i + 7))), 6, "0")
+        width = F.length(g) if attempt < 4 else F.lit(4)
+        drawn = F.concat(first, F.substring(some, F.lit(1), width - 1))
+        if attempt < 8:
+            like = F.concat(F.substring(g, 1, 1), F.substring(some, F.lit(1), F.length(g) - 1))
+            drawn = F.when(i == 0, F.when(g.startswith("f"), g).otherwise(like)).otherwise(drawn)
+        return F.when((g == "0") & (F.lit(attempt < 4) | (i < 7)), g).otherwise(drawn)
+
+    ip = F.when(canon.contains(":"), F.array_join(F.transform(F.split(canon, ":"), group), ":")).otherwise(ip)
+
     script = F.when(canon.rlike(r"\p{IsCyrillic}"), "cyrillic").when(canon.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
     name = F.lit(None).cast("string")
     for (of, written), names in NAMES.items():
@@ -198,8 +261,20 @@ def render(kind: Column, surface: Column, surrogate: Column) -> Column:
         ), "",
     )
     upper = (surface == F.upper(surface)) & (surface != F.lower(surface))
+    before, behind = _groups(surface)
+    drawn = F.split(surrogate, ":")
+
+    def padded(g: Column, i: Column) -> Column:
+        return F.lpad(drawn[i.cast("int")], F.greatest(F.length(g), F.length(drawn[i.cast("int")])), "0")
+
+    ip6 = F.concat(
+        F.array_join(F.transform(before, padded), ":"),
+        F.when(surface.contains("::"), "::").otherwise(""),
+        F.array_join(F.transform(behind, lambda g, j: padded(g, j + 8 - F.size(behind))), ":"),
+    )
     return (
         F.when(kind.isin("phone", "card"), filled)
+        .when((kind == "ip") & surface.contains(":"), F.when(upper, F.upper(ip6)).otherwise(ip6))
         .when(kind == "ip", surrogate)
         .when(kind == "email", F.when(upper, F.upper(surrogate)).otherwise(surrogate))
         .otherwise(F.array_join(F.transform(F.split(surrogate, "-"), lambda p: F.initcap(p)), "-"))
@@ -248,7 +323,7 @@ def replace_entities(docs: DataFrame, key: str, count: str | None = None) -> Dat
     found = materialize(
         hit.select(
             F.sha2("body", 256).alias("text_key"), F.explode(F.array_distinct(marked)).alias("e")
-        ).select("text_key", "e.*").distinct(),
+        ).filter("e.kind IS NOT NULL").select("text_key", "e.*").distinct(),
         "entities",
     )
     given = assign(materialize(found.select("kind", "canon").distinct(), "entities-distinct"), key)
@@ -263,20 +338,26 @@ def replace_entities(docs: DataFrame, key: str, count: str | None = None) -> Dat
     by_text = pairs.groupBy("text_key").agg(F.map_from_entries(F.collect_list("pair")).alias("written"))
 
     body, mark = F.col("body"), _mark(F.col("body"))
-    changed = hit.withColumn("text_key", F.sha2("body", 256)).join(by_text, "text_key").select(
+    # What only looked like a card stays, also in texts without any entity.
+    changed = hit.withColumn("text_key", F.sha2("body", 256)).join(by_text, "text_key", "left").select(
         "row",
         F.array_join(
             F.transform(
                 parts_of(body),
                 lambda p, i: F.when(i % 2 == 0, p).otherwise(
-                    F.col("written")[
-                        F.struct(entity_of(p, mark)["kind"].alias("kind"),
-                                 entity_of(p, mark)["surface"].alias("surface"))
-                    ]
+                    F.coalesce(
+                        F.col("written")[
+                            F.struct(entity_of(p, mark)["kind"].alias("kind"),
+                                     entity_of(p, mark)["surface"].alias("surface"))
+                        ],
+                        entity_of(p, mark)["surface"],
+                    )
                 ),
             ), "",
         ).alias("new"),
-        ((F.size(parts_of(body)) - 1) / 2).cast("long").alias("n"),
+        F.size(
+            F.filter(parts_of(body), lambda p, i: (i % 2 == 1) & entity_of(p, mark)["kind"].isNotNull())
+        ).cast("long").alias("n"),
     )
     same = packed.filter(~has_entity(F.col("body"))).select(
         "row", F.col("body").alias("new"), F.lit(0).cast("long").alias("n")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import random
 import re
 from collections import Counter
@@ -229,6 +230,40 @@ def test_names_keep_gender_script_and_reference(spark):
     assert m[6] in surrogates.NAMES["given_m", "cyrillic"].split() and m[7] != m[8]
 
 
+def test_ordinary_forms_of_entities_are_replaced_in_their_format(spark):
+    numbers = [
+        "+14155552671", "+442079460958", "+33 1 42 68 53 00", "+34 612 34 56 78", "+44 (0)20 7946 0958", "+49 89 12345678",
+        "(415) 555-2671", "415-555-2671", "415.555.2671", "1-800-555-0199", "030-1234567", "01-42-68-53-00",
+        "378282246310005", "3782 822463 10005", "3056-930902-5904", "4222222222222", "6304000000000000000", "4111 1111 1111 1111",
+    ]
+    addresses = ["2001:db8:85a3:0:0:8a2e:370:7334", "2001:0DB8::8A2E:370:7334", "fe80::1ff:fe23:4567:890a", "2001:db8::1"]
+    named = ["Mr McDonald", "Frau Anna-Maria Schulz", "Mrs O'Brien", "Herr Jean-Luc D’Angelo", "Ms. Müller-Lüdenscheidt"]
+    clean = ["378282246310006 41", "2024-01-02 12:30:45", "a::b std::vector", "555-2671", "1700000000000", "00:1b:44:11:3a:b7"]
+    every = [*numbers, *addresses, *named, *clean]
+    docs = frame(spark, [(i, f"see ({t}), then") for i, t in enumerate(every)])
+    got = {r["doc_id"]: r for r in surrogates.replace_entities(docs, "k", count="n").collect()}
+    assert len(got) == len(every)
+    for i, old in enumerate(every):
+        new = re.fullmatch(r"see \((.*)\), then", got[i]["text"])[1]
+        if old in clean:
+            assert (new, got[i]["n"]) == (old, 0)
+            continue
+        assert new != old and got[i]["n"] == 1 + (old.count(" ") == 2 and old in named), (old, new)
+        if old in numbers:
+            assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", old), (old, new)
+            assert i < 12 or luhn(new)
+        elif old in addresses:
+            assert len(new.split(":")) == len(old.split(":")) and ("::" in new) == ("::" in old)
+            assert ipaddress.ip_address(new) != ipaddress.ip_address(old) and new.isupper() == old.isupper()
+        else:
+            kept = old.split()[0]
+            words = {w for names in surrogates.NAMES.values() for w in names.split()}
+            assert new.split()[0] == kept and set(re.split("[ -]", new)[1:]) <= words, (old, new)
+    same = frame(spark, [(1, "2001:0DB8::8A2E:370:7334"), (2, "2001:db8:0:0:0:8a2e:370:7334"), (3, "fe80::0")])
+    found = {r["doc_id"]: r["text"] for r in surrogates.replace_entities(same, "k").collect()}
+    assert ipaddress.ip_address(found[1]) == ipaddress.ip_address(found[2]) and found[3] != "fe80::0"
+
+
 def test_more_names_than_the_list_has_stay_distinct(spark):
     names = ["".join(p) for p in {(a + b + c) for a in "BCDFG" for b in "aeiou" for c in "lmnr"}]
     rows = [(i, f"Mr {n.capitalize()}xq") for i, n in enumerate(names)]
