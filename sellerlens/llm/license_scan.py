@@ -48,7 +48,9 @@ TEMPLATES = (
 THRESHOLD = 0.8
 # Shorter templates hang on single words and have to be there as a whole.
 SHORT_TEMPLATE = 12
-# A line is a block; a longer one is cut into windows of so many words, half overlapping.
+# A line is a block, and so are all lines as one, because a hard-wrapped notice goes over several; more words
+# are cut into windows of so many, half overlapping. A notice of half a window, which is
+# longer than any template by half, is in one window as a whole wherever it starts.
 BLOCK_WORDS = 96
 
 RESULT = (
@@ -65,7 +67,8 @@ def lines_of(text: str) -> list[list[bytes]]:
 
 
 def blocks_of(lines: list[list[bytes]]) -> Iterator[list[bytes]]:
-    for words in lines:
+    """Windows over each line, and over all lines as one."""
+    for words in [*lines, [w for line in lines for w in line]] if len(lines) > 1 else lines:
         if len(words) <= BLOCK_WORDS:
             yield words
         else:

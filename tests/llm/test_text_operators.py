@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -308,6 +309,43 @@ def test_licenses_by_definition():
         assert index.matches(block) == want
 
 
+NOTICES = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+           "associated documentation files (the \"Software\"), to deal in the Software without restriction",
+    "apache": "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+              "http://www.apache.org/licenses/LICENSE-2.0",
+    "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+           "General Public License as published by the Free Software Foundation",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+           "that the following conditions are met:",
+}
+
+
+@pytest.mark.parametrize("label", NOTICES)
+def test_wrapped_notices_at_every_offset(label):
+    index = license_scan.TemplateIndex({})
+    templates = [(x, set(re.findall(r"[0-9a-z]+", t.lower()))) for x, t in license_scan.TEMPLATES]
+    notice = textwrap.wrap(NOTICES[label], 60)
+    assert len(notice) > 1 and label in license_scan.scan_text("\n".join(notice), index)[5].split(",")
+    stretch = license_scan.BLOCK_WORDS // 2
+    for before in range(2 * license_scan.BLOCK_WORDS + 1):
+        noise = [f"noise{i}" for i in range(before + 150)]
+        text = "\n".join([*textwrap.wrap(" ".join(noise[:before]), 70), *notice, *textwrap.wrap(" ".join(noise[before:]), 70)])
+        words = re.findall(r"[0-9a-z]+", text.lower())
+        places = [set(words[i : i + stretch]) for i in range(len(words) - stretch + 1)]
+        want = {
+            x for x, t in templates
+            if max(len(t & p) for p in places) >= (math.ceil(0.8 * len(t) - 1e-9) if len(t) >= 12 else len(t))
+        }
+        got = license_scan.scan_text(text, index)
+        assert label in want <= set(got[5].split(",")), before
+
+
+def test_half_a_window_is_longer_than_any_template_by_half():
+    longest = max(len(re.findall(r"[0-9a-z]+", t.lower())) for _, t in license_scan.TEMPLATES)
+    assert license_scan.BLOCK_WORDS // 2 >= 1.5 * longest
+
+
 def test_phrases_and_labels():
     index = license_scan.TemplateIndex({})
     text = "CC-BY x cc\nby. All Rights  Reserved é\nLicensed under the Apache License, Version 2.0."
