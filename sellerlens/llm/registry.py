@@ -15,6 +15,7 @@ from sellerlens.llm.license_scan import op6_license_scan
 from sellerlens.llm.ngram_join import OP8_SQL, op8_ngram_jaccard
 from sellerlens.llm.packing import op4_best_fit_packing
 from sellerlens.llm.secret_scan import op1_secret_scan
+from sellerlens.llm.source_divergence import OP11_SQL, op11_source_divergence
 from sellerlens.llm.surrogates import op3_pii_surrogates
 from sellerlens.llm.url_filter import op2_url_filter
 
@@ -33,6 +34,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_fingerprints": op10_fingerprints,
+        "op11_source_divergence": op11_source_divergence,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -41,4 +43,5 @@ def llm_sql() -> dict[str, str]:
     return {
         "op8_ngram_jaccard": OP8_SQL,
         "op9_exact_dedup": OP9_SQL,
+        "op11_source_divergence": OP11_SQL,
     }
