@@ -16,6 +16,7 @@ from sellerlens.llm.ngram_join import OP8_SQL, op8_ngram_jaccard
 from sellerlens.llm.packing import op4_best_fit_packing
 from sellerlens.llm.secret_scan import op1_secret_scan
 from sellerlens.llm.source_divergence import OP11_SQL, op11_source_divergence
+from sellerlens.llm.spelling_variants import OP12_SQL, op12_spelling_variants
 from sellerlens.llm.surrogates import op3_pii_surrogates
 from sellerlens.llm.url_filter import op2_url_filter
 
@@ -35,6 +36,7 @@ def llm_queries() -> dict[str, Query]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_fingerprints": op10_fingerprints,
         "op11_source_divergence": op11_source_divergence,
+        "op12_spelling_variants": op12_spelling_variants,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -44,4 +46,5 @@ def llm_sql() -> dict[str, str]:
         "op8_ngram_jaccard": OP8_SQL,
         "op9_exact_dedup": OP9_SQL,
         "op11_source_divergence": OP11_SQL,
+        "op12_spelling_variants": OP12_SQL,
     }
