@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from sellerlens.llm.bpe import op5_bpe_codec
+from sellerlens.llm.chat_format import OP13_SQL, op13_chat_format
 from sellerlens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from sellerlens.llm.fingerprint import op10_fingerprints
 from sellerlens.llm.lang_id import op7_language_id
@@ -37,6 +38,7 @@ def llm_queries() -> dict[str, Query]:
         "op10_fingerprints": op10_fingerprints,
         "op11_source_divergence": op11_source_divergence,
         "op12_spelling_variants": op12_spelling_variants,
+        "op13_chat_format": op13_chat_format,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -47,4 +49,5 @@ def llm_sql() -> dict[str, str]:
         "op9_exact_dedup": OP9_SQL,
         "op11_source_divergence": OP11_SQL,
         "op12_spelling_variants": OP12_SQL,
+        "op13_chat_format": OP13_SQL,
     }
