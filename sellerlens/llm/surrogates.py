@@ -1,8 +1,9 @@
 """Surrogates for personal data: entities are found by pattern and replaced by others of their type.
 
 A surrogate hangs on a key and the entity's canonical form alone, so the same entity has the same
-surrogate everywhere, however it is written (coreference). Surrogates keep the entity's type and
-format: digits and separators of numbers, card check digits, private address ranges, upper case,
+surrogate everywhere, however it is written (coreference). Names are found behind titles; where one stands
+again in the same text, as a whole word, with or without a title, it gets its surrogate there too. Surrogates keep
+the entity's type and format: digits and separators of numbers, card check digits, private address ranges, upper case,
 gender and script of names. Two entities may draw the same surrogate, or one that someone in the corpus
 really has; such draws are found by joins over all entities and repeated until every entity has a
 surrogate of its own (distinctness).
@@ -38,7 +39,8 @@ NAMES = {
 _MALE, _FEMALE = f"(?:{'|'.join(MALE)})", f"(?:{'|'.join(FEMALE)})"
 # Bounded, because it stands in what precedes: McDonald, O'Brien, Anna-Maria.
 _PART = r"['’-]?\p{Lu}[\p{Ll}\p{M}]{1,15}"
-_NAME = rf"\p{{Lu}}(?:['’]\p{{Lu}})?[\p{{Ll}}\p{{M}}]{{1,30}}(?:{_PART})?(?:{_PART})?"
+_NO_TITLE = rf"(?!(?:{_MALE}|{_FEMALE})(?!\p{{L}}))"
+_NAME = rf"{_NO_TITLE}\p{{Lu}}(?:['’]\p{{Lu}})?[\p{{Ll}}\p{{M}}]{{1,30}}(?:{_PART})?(?:{_PART})?"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _HEX = "[0-9A-Fa-f]{1,4}"
@@ -64,10 +66,11 @@ _IP6 = (
     rf"(?=[0-9A-Fa-f])(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}"
     rf"|(?=(?:{_HEX}:?:?){{1,7}}(?![0-9A-Za-z:])){_HEX}(?::{_HEX}){{0,5}}::{_HEX}(?::{_HEX}){{0,5}})(?![0-9A-Za-z:])"
 )
-# One group a kind, in the order of KINDS. The first character is looked at before what precedes it.
+# One group a kind, in the order of KINDS. The first character is looked at before what precedes it. What
+# repeats without bound is possessive: Java matches that in a loop, anything else by recursion.
 PATTERN = "|".join(
     (
-        rf"((?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@{_LABEL}(?:\.{_LABEL})+)",
+        rf"((?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@{_LABEL}(?:\.{_LABEL})++)",
         f"({_PHONE})",
         f"({_CARD})",
         rf"((?=[0-9])(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])|{_IP6})",
@@ -77,6 +80,14 @@ PATTERN = "|".join(
     )
 )
 
+# Any other word that is written like a name, in the group behind those of KINDS.
+_MENTION = rf"((?=\p{{Lu}})(?<![\p{{L}}\p{{M}}\p{{N}}_])(?:{_NAME}|\p{{Lu}}{{2,31}})(?![\p{{L}}\p{{M}}\p{{N}}_]))"
+_TITLED = rf"(?<!\p{{L}})(?:{_MALE}|{_FEMALE})\.? \p{{Lu}}"
+MENTION = "mention"
+
+# Around an entity, and between its groups. A first character that a text has itself gets another one behind it.
+_ESCAPE, _OWN, _AROUND, _BETWEEN = "\u0001", "\u0001\u0003", "\u0001\u0002", "\u0001\u0004"
+
 
 def has_entity(text: Column) -> Column:
     """Whether the pattern is found; most texts are ruled out by what every entity has or follows."""
@@ -84,19 +95,34 @@ def has_entity(text: Column) -> Column:
     return F.coalesce(reduce(Column.__or__, hints) & text.rlike(PATTERN), F.lit(False))
 
 
-def _mark(text: Column) -> Column:
-    """A separator that does not occur in the text: it holds the text's own hash."""
-    return F.concat(F.lit("\u0001"), F.hex(F.xxhash64(text)), F.lit("\u0002"))
+def _has_titled_name(text: Column) -> Column:
+    return reduce(Column.__or__, [text.contains(s) for s in (*MALE, *FEMALE)]) & text.rlike(_TITLED)
 
 
 def parts_of(text: Column) -> Column:
-    """Texts between entities at even places, entities at odd ones as one field a kind."""
-    mark = _mark(text)
-    field = F.concat(mark, F.lit(":"))
-    groups = [F.lit(f"${i}") for i in range(1, len(KINDS) + 1)]
-    fields = [x for g in groups for x in (field, g)][1:]
-    return F.split(F.regexp_replace(text, F.lit(PATTERN), F.concat(mark, F.lit("|"), *fields, mark, F.lit("|"))),
-                   F.concat(mark, F.lit(r"\|")), -1)
+    """Texts between entities at even places, entities at odd ones as one field a kind.
+
+    In a text with a titled name every word that may repeat it is such a part too.
+    """
+    def marked(pattern: str, fields: int) -> Column:
+        found = _AROUND + _BETWEEN.join(f"${i}" for i in range(1, fields + 1)) + _AROUND
+        return F.regexp_replace(F.replace(text, F.lit(_ESCAPE), F.lit(_OWN)), pattern, found)
+
+    both = F.when(_has_titled_name(text), marked(f"{PATTERN}|{_MENTION}", len(KINDS) + 1))
+    return F.split(both.otherwise(marked(PATTERN, len(KINDS))), _AROUND, -1)
+
+
+def _own(part: Column) -> Column:
+    return F.replace(part, F.lit(_OWN), F.lit(_ESCAPE))
+
+
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``df`` with ``value`` as a column that is computed once a row, however often it is used.
+
+    A projection would be merged into the next one and its value computed at every use, inside a lambda at every element;
+    a generator is not.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def _groups(surface: Column) -> tuple[Column, Column]:
@@ -117,14 +143,14 @@ def _whole_ip6(surface: Column) -> Column:
     )
 
 
-def entity_of(part: Column, mark: Column) -> Column:
+def entity_of(part: Column) -> Column:
     """struct(kind, surface, canon) of an odd part; no kind if it only looked like a card."""
-    fields = F.split(part, F.concat(mark, F.lit(":")), -1)
+    fields = F.split(part, _BETWEEN, -1)
+    surface = _own(F.array_join(fields, ""))
     kind = reduce(
-        lambda rest, i: F.when(fields[i] != "", F.lit(KINDS[i])).otherwise(rest),
-        reversed(range(len(KINDS))), F.lit(None).cast("string"),
+        lambda rest, i: F.when(F.get(fields, F.lit(i)) != "", F.lit(KINDS[i])).otherwise(rest),
+        reversed(range(len(KINDS))), F.lit(MENTION),
     )
-    surface = F.array_join(fields, "")
     digits = F.regexp_replace(surface, "[^0-9]", "")
     valid = (F.length(digits) == 16) | (F.pmod(_luhn(F.concat(F.lit("0"), digits)), F.lit(10)) == 0)
     kind = F.when(kind != "card", kind).when(valid, "card")
@@ -277,6 +303,7 @@ def render(kind: Column, surface: Column, surrogate: Column) -> Column:
         .when((kind == "ip") & surface.contains(":"), F.when(upper, F.upper(ip6)).otherwise(ip6))
         .when(kind == "ip", surrogate)
         .when(kind == "email", F.when(upper, F.upper(surrogate)).otherwise(surrogate))
+        .when(upper & (F.length(surface) > 1), F.upper(surrogate))
         .otherwise(F.array_join(F.transform(F.split(surrogate, "-"), lambda p: F.initcap(p)), "-"))
     )
 
@@ -306,59 +333,61 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
             return reduce(DataFrame.unionByName, given)
 
 
+def entities_of(hit: DataFrame) -> DataFrame:
+    """(text_key, place, kind, surface, canon) of every entity in ``body``, once for equal texts.
+
+    Places count the entities of a text from 0. A mention takes the kind that its name has where it stands behind a title
+    first; one that is no name of its text, and what only looked like a card, has no kind.
+    """
+    texts = _once(hit.select(F.sha2("body", 256).alias("text_key"), "body"), parts_of(F.col("body")), "parts")
+    odd = F.filter("parts", lambda p, i: i % 2 == 1)
+    each = texts.select("text_key", F.posexplode(odd).alias("place", "part"))
+    found = materialize(
+        _once(each, entity_of(F.col("part")), "e").select("text_key", "place", "e.*").distinct(), "entities-found"
+    )
+    names = (
+        found.filter(F.col("kind").isin("given_m", "given_f", "surname"))
+        .groupBy("text_key", "canon").agg(F.min_by("kind", "place").alias("named"))
+        .withColumn("kind", F.lit(MENTION))
+    )
+    kind = F.when(F.col("kind") == MENTION, F.col("named")).otherwise(F.col("kind"))
+    return found.join(names, ["text_key", "canon", "kind"], "left").select(
+        "text_key", "place", kind.alias("kind"), "surface", "canon"
+    )
+
+
 def replace_entities(docs: DataFrame, key: str, count: str | None = None) -> DataFrame:
     """``docs`` with every entity in ``text`` replaced, other columns as they are.
 
     With ``count``, a column of that name holds the number of entities replaced. Null and empty texts,
     and texts without entities, stay as they are and are not shuffled. Equal texts get equal results,
-    so repeated rows stay repeated. An empty table gives an empty result.
+    so repeated rows stay repeated. An empty table gives an empty result. The work on a text grows with its
+    length, whatever number of entities it has.
     """
     names = docs.columns
     packed = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), F.col("text").alias("body"))
     hit = packed.filter(has_entity(F.col("body")))
-    marked = F.transform(
-        F.filter(parts_of(F.col("body")), lambda p, i: i % 2 == 1),
-        lambda p: entity_of(p, _mark(F.col("body"))),
-    )
-    found = materialize(
-        hit.select(
-            F.sha2("body", 256).alias("text_key"), F.explode(F.array_distinct(marked)).alias("e")
-        ).filter("e.kind IS NOT NULL").select("text_key", "e.*").distinct(),
-        "entities",
+    found = materialize(entities_of(hit), "entities")
+    known = found.filter("kind IS NOT NULL").select("kind", "canon").distinct()
+    given = assign(materialize(known, "entities-distinct"), key)
+    written = F.coalesce(
+        F.when(F.col("surrogate").isNotNull(), render(F.col("kind"), F.col("surface"), F.col("surrogate"))),
+        F.col("surface"),
     )
-    given = assign(materialize(found.select("kind", "canon").distinct(), "entities-distinct"), key)
-    pairs = found.join(given, ["kind", "canon"]).select(
-        "text_key",
-        F.struct(
-            F.struct("kind", "surface"),
-            render(F.col("kind"), F.col("surface"), F.col("surrogate")).alias("written"),
-        ).alias("pair"),
-    )
-    # As many pairs as a text has entities.
-    by_text = pairs.groupBy("text_key").agg(F.map_from_entries(F.collect_list("pair")).alias("written"))
-
-    body, mark = F.col("body"), _mark(F.col("body"))
-    # What only looked like a card stays, also in texts without any entity.
-    changed = hit.withColumn("text_key", F.sha2("body", 256)).join(by_text, "text_key", "left").select(
-        "row",
-        F.array_join(
-            F.transform(
-                parts_of(body),
-                lambda p, i: F.when(i % 2 == 0, p).otherwise(
-                    F.coalesce(
-                        F.col("written")[
-                            F.struct(entity_of(p, mark)["kind"].alias("kind"),
-                                     entity_of(p, mark)["surface"].alias("surface"))
-                        ],
-                        entity_of(p, mark)["surface"],
-                    )
-                ),
-            ), "",
-        ).alias("new"),
-        F.size(
-            F.filter(parts_of(body), lambda p, i: (i % 2 == 1) & entity_of(p, mark)["kind"].isNotNull())
-        ).cast("long").alias("n"),
+    # As many as a text has entities, each at its place.
+    by_text = (
+        found.join(given, ["kind", "canon"], "left")
+        .select("text_key", "place", written.alias("written"), F.col("surrogate").isNotNull().alias("new"))
+        .groupBy("text_key").agg(
+            F.sort_array(F.collect_list(F.struct("place", "written"))).alias("entities"), F.count_if("new").alias("n")
+        )
     )
+    texts = _once(hit, F.sha2("body", 256), "text_key").join(by_text, "text_key", "left")
+    texts = _once(texts, F.filter(parts_of(F.col("body")), lambda p, i: i % 2 == 0), "between")
+    filled = F.transform("between", lambda p, i: F.concat(
+        _own(p), F.coalesce(F.get("entities", i)["written"], F.lit(""))
+    ))
+    changed = texts.select("row", F.array_join(filled, "").alias("new"), F.coalesce("n", F.lit(0)).alias("n"))
     same = packed.filter(~has_entity(F.col("body"))).select(
         "row", F.col("body").alias("new"), F.lit(0).cast("long").alias("n")
     )
