@@ -4,7 +4,8 @@ Only the histogram of piece lengths decides how to fill sequences. A configurati
 lengths that fits a sequence. The linear program "fewest sequences so that every length is
 covered" has too many configurations to list, so it is solved by multiplicative weights: every round
 prices the lengths, a knapsack dynamic program finds the most valuable configuration, and lengths
-that it covers lose weight. The fractional solution is rounded down, and what is left over goes
+that it covers lose weight. How many sequences each of the configurations found gets is then solved by the same
+weights in finer steps. The fractional solution is rounded down, and what is left over goes
 where it fits best. All of that has the size of the capacity, not of the data; pieces are then
 dealt to their places by their number within their length.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,8 +33,12 @@ from sellerlens.sources.scratch import materialize
 
 CAPACITY = 1024
 END_ID = 2
-# Multiplicative weights: rounds at most, relative coverage a round adds, and coverage to stop at.
-ROUNDS, STEP, ENOUGH = 1200, 0.5, 2.0
+# Multiplicative weights: rounds at most, and relative coverage to stop at.
+ROUNDS, ENOUGH = 1200, 1.0
+# Coverage over which a weight falls to 1 / e, where steps are not larger than that.
+RATE = 0.02
+# The same over the configurations found; and sequences of each that rounding leaves to best fit.
+FINE_ROUNDS, RESERVE = 40_000, 3
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 # What may be a special token, and white space too long for tiktoken's pattern.
@@ -130,53 +135,98 @@ def price(values: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity:
     ``limits`` are the pieces there are of each length; a configuration that asks for more of one is
     cut down to them.
     """
-    best = np.zeros(capacity + 1)
-    last = np.full(capacity + 1, -1)
+    worth = np.full(capacity + 1, -np.inf)
+    worth[lengths] = values
+    best = np.zeros(capacity + 1)  # of a room, from the greatest room down
+    last = np.zeros(capacity + 1, np.int64)  # the length that is in it; 0: the best of one room less
+    total = np.empty(capacity)
     for room in range(1, capacity + 1):
-        fits = np.searchsorted(lengths, room, side="right")
-        best[room] = best[room - 1]
-        if fits:
-            total = values[:fits] + best[room - lengths[:fits]]
-            top = int(total.argmax())
-            if total[top] > best[room] + 1e-12:
-                best[room], last[room] = total[top], top
+        # A piece of each length 1 .. room beside the best of what is left then.
+        np.add(worth[1 : room + 1], best[capacity - room + 1 :], out=total[:room])
+        top = int(total[:room].argmax())
+        less = best[capacity - room + 1]
+        if total[top] > less + 1e-12:
+            best[capacity - room], last[room] = total[top], top + 1
+        else:
+            best[capacity - room] = less
     counts: Counter[int] = Counter()
     room = capacity
     while room > 0:
-        if last[room] < 0:
-            room -= 1
-            continue
         counts[int(last[room])] += 1
-        room -= int(lengths[last[room]])
-    cut_down = {i: min(n, int(limits[i])) for i, n in counts.items()}
-    return tuple(sorted(((int(lengths[i]), n) for i, n in cut_down.items() if n), reverse=True))
+        room -= int(last[room]) or 1
+    place = {int(x): i for i, x in enumerate(lengths)}
+    cut_down = {x: min(n, int(limits[place[x]])) for x, n in counts.items() if x}
+    return tuple(sorted(((x, n) for x, n in cut_down.items() if n), reverse=True))
 
 
-def fractional(histogram: dict[int, int], capacity: int, rounds: int) -> dict[Config, float]:
-    """Configurations and how many sequences of each: about as much as the histogram in all.
+def configurations(histogram: dict[int, int], capacity: int, rounds: int) -> list[Config]:
+    """The configurations that the program needs: in each round the most valuable one.
 
-    In each round the lengths are priced by their weights, which fall exponentially with how far they
-    are covered, and the best configuration gets STEP times as many sequences as its scarcest
-    length has pieces for. What comes out is the average of the rounds.
+    Lengths are priced by their weights, which fall exponentially with how far they
+    are covered, and the best configuration gets a share of the sequences that its scarcest
+    length has pieces for: the smaller, the finer the prices, as far as the rounds suffice.
     """
     lengths = np.array(sorted(histogram), np.int64)
     needs = np.array([histogram[x] for x in lengths], float)
     place = {int(x): i for i, x in enumerate(lengths)}
     covered = np.zeros(len(lengths))
-    used: dict[Config, float] = {}
+    coarse = min(0.5, max(0.01, len(lengths) / (2 * rounds)))
+    found: set[Config] = set()
     for _ in range(rounds):
-        weight = np.exp(-np.minimum((covered - covered.min()) / STEP, 500.0))
+        weight = np.exp(-np.minimum((covered - covered.min()) / max(coarse, RATE), 500.0))
         config = price(weight / needs, lengths, needs, capacity)
         rows = np.array([place[x] for x, _ in config])
         copies = np.array([n for _, n in config], float)
-        amount = STEP * float((needs[rows] / copies).min())
-        covered[rows] += copies * amount / needs[rows]
-        used[config] = used.get(config, 0.0) + amount
+        covered[rows] += coarse * float((needs[rows] / copies).min()) * copies / needs[rows]
+        found.add(config)
         if covered.min() >= ENOUGH:
             break
-    filled = sum(amount * sum(x * n for x, n in config) for config, amount in used.items())
-    scale = float(lengths @ needs) / filled
-    return {config: amount * scale for config, amount in used.items()}
+    return sorted(found)
+
+
+def shares(histogram: dict[int, int], configs: list[Config]) -> dict[Config, float]:
+    """How many sequences of each configuration: the program over these alone, by the same weights in finer steps.
+
+    There is no knapsack to solve here, only the configurations' values to keep up to date with the weights of
+    the lengths that change, so steps can be small and many. As many sequences come out as hold the pieces of all
+    lengths that some configuration has.
+    """
+    lengths = sorted(histogram)
+    place = {x: i for i, x in enumerate(lengths)}
+    rows = [np.array([place[x] for x, _ in c]) for c in configs]
+    cover = [np.array([n / histogram[x] for x, n in c]) for c in configs]
+    # Twenty steps to cover a length where there are as many as there can be, hundreds where there are few.
+    fine = max(0.002, 2 * len(lengths) / FINE_ROUNDS)
+    amount = np.array([fine / c.max() for c in cover])
+    having: dict[int, list[tuple[int, float]]] = defaultdict(list)
+    for k, (row, part) in enumerate(zip(rows, cover, strict=True)):
+        for i, share in zip(row.tolist(), part.tolist(), strict=True):
+            having[i].append((k, share))
+    members = {i: (np.array([k for k, _ in m]), np.array([x for _, x in m])) for i, m in having.items()}
+    weight, covered, used = np.ones(len(lengths)), np.zeros(len(lengths)), np.zeros(len(configs))
+    reachable = np.array(sorted(members))
+    value = np.zeros(len(configs))
+    for step in range(FINE_ROUNDS):
+        if step % (1 + len(configs) // 10) == 0:
+            # Weights are relative to the least covered length, and sums of small changes drift.
+            least = covered[reachable].min()
+            if least >= 1.0:
+                break
+            weight = np.exp(-np.minimum((covered - least) / max(fine, RATE), 500.0))
+            value[:] = 0.0
+            for i, (of, part) in members.items():
+                value[of] += weight[i] * part
+        k = int(value.argmax())
+        used[k] += amount[k]
+        row = rows[k]
+        covered[row] += amount[k] * cover[k]
+        new = np.exp(-np.minimum((covered[row] - least) / max(fine, RATE), 500.0))
+        for i, change in zip(row.tolist(), (new - weight[row]).tolist(), strict=True):
+            value[members[i][0]] += change * members[i][1]
+        weight[row] = new
+    filled = sum(u * sum(x * n for x, n in c) for c, u in zip(configs, used.tolist(), strict=True))
+    scale = sum(lengths[i] * histogram[lengths[i]] for i in members) / filled
+    return {c: u * scale for c, u in zip(configs, used.tolist(), strict=True) if u}
 
 
 def fullest(left: Counter[int], room: int) -> Counter[int]:
@@ -228,21 +278,19 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
         full[((capacity, 1),)] = left.pop(capacity)
     if not left:
         return sorted(full.items())
-    shares = fractional(dict(left), capacity, rounds)
-    # The whole program rounded down, only its fillings without much waste, or none: best fit packs the
-    # rest, and does better now with more of it, now with less.
-    plans = [
-        dealt(left, {c: n for c, n in shares.items() if capacity - sum(x * k for x, k in c) <= waste}, capacity)
-        for waste in (capacity, capacity // 64, -1)
-    ]
-    return sorted((full + min(plans, key=lambda p: p.total())).items(), reverse=True)
-
-
-def dealt(histogram: Counter[int], shares: dict[Config, float], capacity: int) -> Counter[Config]:
-    """Sequences of all pieces: ``shares`` rounded down, as far as there are pieces, then best fit."""
+    found = shares(dict(left), configurations(dict(left), capacity, rounds))
+    return sorted((full + dealt(left, found, capacity)).items(), reverse=True)
+
+
+def dealt(histogram: Counter[int], amounts: dict[Config, float], capacity: int) -> Counter[Config]:
+    """Sequences of all pieces: ``amounts`` rounded down, as far as there are pieces, then best fit.
+
+    RESERVE sequences of each configuration are held back, so that what best fit gets still goes together.
+    Their number hangs on the capacity, not on the data, so their share vanishes as the data grow.
+    """
     left, chosen = Counter(histogram), Counter()
-    for config, amount in sorted(shares.items(), key=lambda s: (-s[1], s[0])):
-        times = min(int(amount), *(left[x] // n for x, n in config))
+    for config, amount in sorted(amounts.items(), key=lambda s: (-s[1], s[0])):
+        times = min(int(amount - RESERVE), *(left[x] // n for x, n in config))
         if times > 0:
             chosen[config] += times
             for x, n in config:
