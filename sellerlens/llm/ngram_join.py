@@ -1,8 +1,9 @@
 """N-gram Jaccard join: documents whose sets of word 5-grams are at least 80 % alike, exactly.
 
-The join itself is a prefix-tree join: n-gram sets in one global order share the path of their
-common beginning in a trie, a probing set walks it, carries the overlap of a path down to all that
-share it, and leaves a subtree once the lengths that remain cannot lift the overlap enough.
+The join itself is a prefix-tree join: n-gram sets in one global order, frequent ones first, share the path of
+their common beginning in a trie, a probing set walks it, carries the overlap of a path down to all that
+share it, and leaves a subtree once the lengths that remain cannot lift the overlap enough. Every link
+between different sets is found and counted, whether they are connected already or not.
 
 Which sets have to meet is found before, by filters that never lose a link:
 
@@ -19,6 +20,7 @@ Which sets have to meet is found before, by filters that never lose a link:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -187,17 +189,23 @@ def candidate_groups(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 # --- the trie ---------------------------------------------------------------------------------
 
+# A node with more branches is not walked further: what is left of the sets below it is counted at once.
+FEW = 4
+
 
 class Trie:
     """Sets of ranks in one order, as a tree: a node is a run of ranks that all sets below it share.
 
-    Sets are kept sorted, so the sets below a node are a range of them.
+    Sets are kept sorted, so the sets below a node are a range of them, and one after the other in one array.
+    The rarest n-grams have the greatest ranks.
     """
 
     def __init__(self, sets: list[np.ndarray]):
         self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
         self.sets = [sets[i] for i in self.order]
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.flat = np.concatenate(self.sets)
         common = [0]
         for x, y in zip(self.sets, self.sets[1:]):
             n = min(len(x), len(y))
@@ -206,19 +214,21 @@ class Trie:
         self.common = np.array(common, np.int64)
         self.known: dict[tuple[int, int, int], tuple[np.ndarray, dict[int, int]]] = {}
 
-        # Where each rank stands among the first of a set: linked sets share one of those.
-        firsts = [s[: len(s) // 5 + 1] for s in self.sets]
-        ranks = np.concatenate(firsts)
-        owners = np.repeat(np.arange(len(sets)), [len(f) for f in firsts])
+        # Where each rank stands among the rarest of a set: linked sets share one of those.
+        rare = [s[-(len(s) // 5 + 1) :] for s in self.sets]
+        ranks = np.concatenate(rare)
+        owners = np.repeat(np.arange(len(sets)), [len(r) for r in rare])
         order = np.argsort(ranks, kind="stable")
         self.owners = owners[order]
         self.starts = np.searchsorted(ranks[order], np.arange(int(ranks.max()) + 2))
 
     def sharing(self, ranks: np.ndarray) -> np.ndarray:
-        """Places of the sets that have one of these ranks among their first."""
+        """Places of the sets that have one of these ranks among their rarest."""
         ranks = ranks[ranks < len(self.starts) - 1]
-        found = [self.owners[a:b] for a, b in zip(self.starts[ranks], self.starts[ranks + 1])]
-        return np.unique(np.concatenate(found)) if found else self.owners[:0]
+        found = np.zeros(len(self.sets), bool)
+        for a, b in zip(self.starts[ranks].tolist(), self.starts[ranks + 1].tolist()):
+            found[self.owners[a:b]] = True
+        return np.flatnonzero(found)
 
     def branches(self, low: int, high: int, depth: int) -> tuple[np.ndarray, dict[int, int]]:
         """First sets of the ranges below a node at ``depth``; how deep a range agrees, once asked for."""
@@ -231,140 +241,191 @@ class Trie:
     def depth(self, low: int, high: int) -> int:
         return int(self.common[low + 1 : high].min()) if high - low > 1 else len(self.sets[low])
 
-
-def join_sets(sets: list[np.ndarray], probes: list[int] | None = None) -> list[tuple[int, int]]:
-    """Linked pairs (i, j) of the sets that suffice to connect what is connected.
-
-    ``probes`` are the sets that walk the trie (all, if not given), the others are only in it. A
-    walk goes only where sets are that share one of the probe's first n-grams, and passes over a
-    subtree in which all of those are connected with the probe already.
-    """
-    grams, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-    counts = np.bincount(inverse, minlength=len(grams))
-    # Rare n-grams first: few sets share one of the first.
-    rank_of = np.empty(len(grams), np.int64)
-    rank_of[np.lexsort((grams, counts))] = np.arange(len(grams))
-    ends = np.cumsum([len(s) for s in sets])[:-1]
-    ranked = [np.sort(r) for r in np.split(rank_of[inverse], ends)]
-    trie = Trie(ranked)
-    label = np.arange(len(ranked))  # of the set at each place of the trie
-    place = np.argsort(trie.order)
-    has = np.zeros(len(grams), bool)
-    links: list[tuple[int, int]] = []
-    for probe in range(len(ranked)) if probes is None else probes:
-        mine, me = ranked[probe], int(place[probe])
+    def held(self, places: np.ndarray, depth: int, has: np.ndarray) -> np.ndarray:
+        """How many of a probe's ranks (``has``) each of these sets holds behind ``depth``."""
+        ends = self.ends[places]
+        starts = ends - self.sizes[places] + depth
+        low, high = int(starts[0]), int(ends[-1])
+        if high - low > 4 * int((ends - starts).sum()):
+            return np.array([np.count_nonzero(has[self.flat[a:b]]) for a, b in zip(starts, ends)], np.int64)
+        seen = np.zeros(high - low + 1, np.int64)
+        np.cumsum(has[self.flat[low:high]], out=seen[1:])
+        return seen[ends - low] - seen[starts - low]
+
+    def linked(self, mine: np.ndarray, has: np.ndarray, behind: int = -1) -> np.ndarray:
+        """Places of all sets linked with the probe, of those behind a place."""
         size = len(mine)
-        goals = trie.sharing(mine[: size // 5 + 1])
-        sizes = trie.sizes[goals]
-        goals = goals[(sizes >= -(-4 * size // 5)) & (sizes <= size * 5 // 4) & (label[goals] != label[me])]
-        if not len(goals):
-            continue
-        has[mine] = True
-        stack = [(0, len(ranked), 0, 0, goals)]
+        goals = self.sharing(mine[-(size // 5 + 1) :])
+        goals = goals[goals > behind]
+        sizes = self.sizes[goals]
+        goals = goals[(sizes >= -(-4 * size // 5)) & (sizes <= size * 5 // 4)]
+        found = [goals[:0]]
+        stack = [(0, len(self.sets), 0, 0, goals)] if len(goals) else []
         while stack:
             low, high, depth, overlap, goals = stack.pop()
-            cuts, depths = trie.branches(low, high, depth)
+            cuts, depths = self.branches(low, high, depth)
             branch = np.searchsorted(cuts, goals, side="right") - 1
-            for i in np.unique(branch).tolist():
+            taken = np.unique(branch)
+            if len(taken) > FEW:
+                whole = overlap + self.held(goals, depth, has)
+                found.append(goals[whole >= least_common(size, self.sizes[goals])])
+                continue
+            for i in taken.tolist():
                 a, b = int(cuts[i]), int(cuts[i + 1])
                 inside = goals[branch == i]
-                inside = inside[label[inside] != label[me]]
-                if not len(inside):
-                    continue
                 if a not in depths:
-                    depths[a] = trie.depth(a, b)
+                    depths[a] = self.depth(a, b)
                 down = depths[a]
-                run = trie.sets[a][depth:down]
+                run = self.sets[a][depth:down]
                 here = overlap + int(np.count_nonzero(has[run]))
                 # What can still be added: the rest of either set beyond this node.
                 rest = size - int(np.searchsorted(mine, run[-1], side="right")) if len(run) else size
-                fits = trie.sizes[inside]
-                # Linked: 100 * i >= 80 * (a + b - i), so i >= 4 * (a + b) / 9.
-                inside = inside[here + np.minimum(fits - down, rest) >= -(-4 * (size + fits) // 9)]
-                if not len(inside):
-                    continue
-                if b - a > 1:
+                fits = self.sizes[inside]
+                inside = inside[here + np.minimum(fits - down, rest) >= least_common(size, fits)]
+                if len(inside) and b - a > 1:
                     stack.append((a, b, down, here, inside))
                 else:  # a leaf: nothing is left to add, so the overlap is enough
-                    links.append((probe, trie.order[a]))
-                    label[label == label[a]] = label[me]
-        has[mine] = False
-    return links
+                    found.append(inside)
+        return np.sort(np.concatenate(found))
 
 
-def stars(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Edges from every node to the least one of its component: what is left to do across units."""
-    root: dict[int, int] = {}
+def least_common(size: int, sizes: np.ndarray) -> np.ndarray:
+    """Linked: 100 * i >= 80 * (a + b - i), so i >= 4 * (a + b) / 9."""
+    return -(-4 * (size + sizes) // 9)
 
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
 
-    for a, b in pairs:
-        a, b = find(a), find(b)
-        root[max(a, b)] = min(a, b)
-    return [(x, find(x)) for x in root if find(x) != x]
+def linked_sets(sets: list[np.ndarray], block: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, sets linked with set i): every link once, with one of its two sets.
 
+    With ``block`` (0 or 1 a set) only links between the blocks are looked for: the sets of block 0 are in the trie, those
+    of block 1 walk it.
+    """
+    grams, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+    counts = np.bincount(inverse, minlength=len(grams))
+    # Frequent n-grams first: they are what sets have in common.
+    rank_of = np.empty(len(grams), np.int64)
+    rank_of[np.lexsort((grams, -counts))] = np.arange(len(grams))
+    ends = np.cumsum([len(s) for s in sets])[:-1]
+    ranked = [np.sort(r) for r in np.split(rank_of[inverse], ends)]
+    inner = np.arange(len(sets)) if block is None else np.flatnonzero(block == 0)
+    if not len(inner):
+        return
+    trie = Trie([ranked[i] for i in inner])
+    names = inner[trie.order]
+    has = np.zeros(len(grams), bool)
+    # Within a block each set looks for those behind it in the trie.
+    for at, probe in enumerate(names.tolist()) if block is None else ((-1, i) for i in np.flatnonzero(block == 1).tolist()):
+        has[ranked[probe]] = True
+        found = trie.linked(ranked[probe], has, at)
+        has[ranked[probe]] = False
+        if len(found):
+            yield probe, names[found]
+
+
+class Forest:
+    """Connected components within a unit: what is left to do across units is one edge a set."""
+
+    def __init__(self, size: int):
+        self.label = np.arange(size)
+
+    def join(self, one: int, others: np.ndarray) -> None:
+        labels = np.unique(np.append(self.label[others], self.label[one]))
+        if len(labels) > 1:
+            self.label[np.isin(self.label, labels)] = labels[0]
 
-def _links(sets: DataFrame) -> DataFrame:
-    """Edges (a, b) between linked sets, from rows (set, group, n, grams).
 
-    Groups are dealt to units of work by size. A group too large for a unit is cut into blocks by a hash
-    of the set, and every pair of blocks is a unit: all pairs of its sets still meet.
+def dealt_to_units(sets: DataFrame) -> DataFrame:
+    """Rows (set, group, n, copies, grams) once for each unit of work (u, s, x, y, kind) that they are part of, on one
+    ``side`` of it.
+
+    Groups are dealt to units by size. A group too large for a unit is cut into blocks of sets, by
+    size and hash, and each two blocks that may hold linked sets are a unit: sets with more than a quarter more n-grams
+    cannot be linked.
     """
-    sets = materialize(sets, "ngram-sets")
     sizes = sets.groupBy("group").agg(F.sum("n").alias("size"))
     total = sizes.agg(F.sum("size")).first()[0] or 0
     units = int(total // UNIT) + 1
-    blocks = F.ceil(F.col("size") / UNIT).cast("long")
-    mine = F.pmod(F.xxhash64("set"), F.col("blocks"))
-    dealt = (
-        sets.join(sizes, "group").withColumn("blocks", blocks).withColumn("block", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumn(
-            "unit",
-            F.when(F.col("blocks") == 1, F.struct(
-                F.pmod(F.xxhash64("group"), F.lit(units)).alias("u"), F.lit(-1).cast("long").alias("x"),
-                F.lit(-1).cast("long").alias("y"),
-            )).otherwise(F.struct(
-                F.col("group").alias("u"), F.least("block", "other").alias("x"),
-                F.greatest("block", "other").alias("y"),
-            )),
-        )
-        .select("unit.*", "set", "group", "block", "grams")
+    # Sizes that differ by a quarter at most are one class apart, or in the same one.
+    scale = F.floor(F.log(F.col("n").cast("double")) / math.log(1.26)).cast("long")
+    of_scale = sets.groupBy("group", scale.alias("scale")).agg(F.sum("n").alias("held"))
+    large = materialize(
+        of_scale.join(sizes.filter(F.col("size") > UNIT), "group")
+        .select("group", "scale", F.ceil(F.col("held") / UNIT).cast("long").alias("blocks")),
+        "ngram-blocks",
     )
+    ups = large.select("group", (F.col("scale") - 1).alias("scale"), F.col("blocks").alias("above"))
+    downs = large.select("group", (F.col("scale") + 1).alias("scale"), F.col("blocks").alias("below"))
+    shape = large.join(ups, ["group", "scale"], "left").join(downs, ["group", "scale"], "left")
+    shape = shape.select("group", "scale", "blocks", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("above", "below")])
+
+    here = F.pmod(F.xxhash64("set"), F.col("blocks"))
+    own, low = F.lit(0).cast("long"), F.lit(-1).cast("long")
+
+    def unit(u: Column, scale_: Column, x: Column, y: Column, kind: int, side: Column) -> Column:
+        return F.struct(
+            u.alias("u"), scale_.alias("s"), x.alias("x"), y.alias("y"), F.lit(kind).alias("kind"), side.alias("side")
+        )
+
+    def others(count: Column) -> Column:
+        """Numbers of so many blocks, none of none."""
+        return F.slice(F.sequence(own, count), F.lit(1), count.cast("int"))
+
+    zero, one = F.lit(0), F.lit(1)
+    placed = sets.withColumn("scale", scale).join(shape, ["group", "scale"], "left")
+    small = F.array(unit(F.pmod(F.xxhash64("group"), F.lit(units)), low, low, low, 0, zero))
+    # Blocks of one class: each with itself, and each two. Of two classes: each of one with each of the other.
+    same = F.transform(others(F.col("blocks")), lambda o: F.when(
+        o == here, unit(F.col("group"), F.col("scale"), here, here, 1, zero)
+    ).otherwise(unit(
+        F.col("group"), F.col("scale"), F.least(o, here), F.greatest(o, here), 1, F.when(here > o, one).otherwise(zero)
+    )))
+    upward = F.transform(others(F.col("above")), lambda o: unit(F.col("group"), F.col("scale"), here, o, 2, zero))
+    downward = F.transform(others(F.col("below")), lambda o: unit(F.col("group"), F.col("scale") - 1, o, here, 2, one))
+    where = F.when(F.col("blocks").isNull(), small).otherwise(F.concat(same, upward, downward))
+    return placed.withColumn("unit", F.explode(where)).select("unit.*", "set", "group", "copies", "grams")
+
+
+def _links(sets: DataFrame) -> DataFrame:
+    """(a, b, n) from rows (set, group, n, copies, grams): set a is linked with n documents of other sets, and is in one
+    component with set b. A set has a row for each unit of work in which it has links.
+    """
+    dealt = dealt_to_units(materialize(sets, "ngram-sets"))
 
     def join(table: pa.Table) -> pa.Table:
-        group = table["group"].to_numpy()
-        names = table["set"].to_numpy()
-        block = table["block"].to_numpy()
-        x, y = table["x"][0].as_py(), table["y"][0].as_py()
+        group, names, side = (table[c].to_numpy() for c in ("group", "set", "side"))
+        copies = table["copies"].to_numpy()
+        between = table["kind"][0].as_py() == 2 or table["x"][0].as_py() != table["y"][0].as_py()
         grams = table["grams"].to_pylist()
         order = np.lexsort((names, group))
-        out: list[tuple[int, int]] = []
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         cuts = np.flatnonzero(np.r_[True, group[order][1:] != group[order][:-1], True])
         for lo, hi in zip(cuts, cuts[1:]):
             rows = order[lo:hi]
             rows = rows[np.unique(names[rows], return_index=True)[1]]  # repeated rows of one set
-            if len(rows) > 1:
-                probes = None if x == y else np.flatnonzero(block[rows] == y).tolist()
-                pairs = join_sets([np.frombuffer(grams[r], np.uint64) for r in rows], probes)
-                out += stars([(int(names[rows[i]]), int(names[rows[j]])) for i, j in pairs])
-        a, b = zip(*out) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return dealt.groupBy("u", "x", "y").applyInArrow(join, "a long, b long")
+            if len(rows) < 2:
+                continue
+            forest, count = Forest(len(rows)), np.zeros(len(rows), np.int64)
+            found = linked_sets([np.frombuffer(grams[r], np.uint64) for r in rows], side[rows] if between else None)
+            for i, partners in found:
+                count[i] += copies[rows[partners]].sum()
+                count[partners] += copies[rows[i]]
+                forest.join(i, partners)
+            some = np.flatnonzero(count)
+            out.append((names[rows[some]], names[rows[forest.label[some]]], count[some]))
+        a, b, n = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+        return pa.table({"a": a, "b": b, "n": n})
+
+    return dealt.groupBy("u", "s", "x", "y", "kind").applyInArrow(join, "a long, b long, n long")
 
 
 # --- documents --------------------------------------------------------------------------------
 
 
 def jaccard_components(docs: DataFrame, mark: Column | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``, and ``mark`` as column mark, if given.
+    """doc_id, n_shingles, n_links, component_id for every row of ``docs``, and ``mark`` as column mark, if given.
 
-    ``component_id`` is the smallest ``doc_id`` that can be reached by links. Null texts and texts without
+    ``n_links`` is how many other rows the row is linked with, ``component_id`` the smallest ``doc_id`` that can be
+    reached by links. Null texts and texts without
     words have no n-grams and are alone. Equal rows are in one component; a null ``doc_id`` counts as no
     number, so a component of such rows alone has none. An empty table gives an empty result;
     other columns are not looked at.
@@ -389,14 +450,14 @@ def jaccard_components(docs: DataFrame, mark: Column | None = None) -> DataFrame
     key = F.coalesce("doc_id", F.lit(-(2**63)))
     wanted = materialize(
         classes.join(groups, "set").select(
-            F.coalesce("first", F.lit(-(2**63))).alias("key"), "set", "group", "n"
+            F.coalesce("first", F.lit(-(2**63))).alias("key"), "set", "group", "n", "copies"
         ),
         "ngram-wanted",
     )
     # Both sides are shuffled at every size: the list of candidates has no bound, and what is
     # small enough to broadcast today changes the plan, not the need.
     texts = docs.filter("text IS NOT NULL").withColumn("key", key).join(wanted.hint("merge"), "key").select(
-        "set", "group", "n", "text"
+        "set", "group", "n", "copies", "text"
     )
 
     def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,22 +466,33 @@ def jaccard_components(docs: DataFrame, mark: Column | None = None) -> DataFrame
             right = pa.array([set_id(g) == s for g, s in zip(found, batch["set"].to_pylist(), strict=True)],
                              pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [batch["set"], batch["group"], batch["n"], pa.array([g.tobytes() for g in found], pa.binary())],
-                names=["set", "group", "n", "grams"],
+                [batch["set"], batch["group"], batch["n"], batch["copies"],
+                 pa.array([g.tobytes() for g in found], pa.binary())],
+                names=["set", "group", "n", "copies", "grams"],
             ).filter(right)
 
-    linked = components(_links(texts.mapInArrow(grams_of, "set long, group long, n long, grams binary")))
-    joined = classes.join(linked, classes["set"] == linked["node"], "left").select(
-        "set", "n", "first", F.coalesce("root", "set").alias("root")
+    links = materialize(
+        _links(texts.mapInArrow(grams_of, "set long, group long, n long, copies long, grams binary")), "ngram-links"
+    )
+    linked = components(links.select("a", "b"))
+    counts = links.groupBy("a").agg(F.sum("n").alias("others"))
+    joined = (
+        classes.join(linked, classes["set"] == linked["node"], "left")
+        .join(counts, classes["set"] == counts["a"], "left")
+        .select("set", "n", "first", F.coalesce("root", "set").alias("root"),
+                (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     )
     least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = materialize(joined.join(least, "root").select("set", "n", "component_id"), "ngram-components")
+    of_class = materialize(
+        joined.join(least, "root").select("set", "n", "n_links", "component_id"), "ngram-components"
+    )
     shown = ["mark"] if marks else []
     found = sets.filter("n > 0").join(of_class, ["set", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", *shown
+        "doc_id", F.col("n").alias("n_shingles"), "n_links", "component_id", *shown
     )
     alone = sets.filter("n = 0").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *shown
+        "doc_id", F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"),
+        F.col("doc_id").alias("component_id"), *shown
     )
     return found.unionAll(alone)
 
@@ -454,6 +526,9 @@ reach AS (
   UNION
   SELECT r.doc_id, l.b FROM reach r
   JOIN (SELECT x AS a, y AS b FROM links UNION ALL SELECT y, x FROM links) l ON l.a = r.other)
-SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
-FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+counted AS (SELECT doc_id, count(*) AS n_links
+  FROM (SELECT x AS doc_id FROM links UNION ALL SELECT y FROM links) GROUP BY doc_id)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, coalesce(any_value(n_links), 0) AS n_links,
+       min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) LEFT JOIN counted USING (doc_id) GROUP BY doc_id
 """

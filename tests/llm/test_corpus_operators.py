@@ -6,6 +6,7 @@ import hashlib
 import ipaddress
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -107,12 +108,16 @@ def set_of(text):
     return {tuple(words)} if len(words) < 5 else {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def brute_components(rows):
-    sets = [set_of(t) for _, t in rows]
-    links = [
-        (i, j) for i in range(len(rows)) for j in range(i)
+def brute_links(sets):
+    return [
+        (i, j) for i in range(len(sets)) for j in range(i)
         if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
     ]
+
+
+def brute_components(rows):
+    sets = [set_of(t) for _, t in rows]
+    links = brute_links(sets)
     root = roots(len(rows), links)
     least: dict[int, int] = {}
     for (doc_id, _), r in zip(rows, root, strict=True):
@@ -131,6 +136,10 @@ def test_jaccard_components_by_definition(spark, monkeypatch, small):
     rows += [(900, None), (901, " \t"), (902, "é" * 3), (903, "É é É"), (904, "é É é")]
     got = ngram_join.jaccard_components(frame(spark, rows)).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows)
+    linked = Counter(i for pair in brute_links([set_of(t) for _, t in rows]) for i in pair)
+    assert [r["n_links"] for r in sorted(got, key=lambda r: r["doc_id"])] == [
+        linked[i] for i in sorted(range(len(rows)), key=lambda i: rows[i][0])
+    ]
     assert len({c for _, c in brute_components(rows).values()}) < len(rows) - 40
 
 
@@ -138,8 +147,8 @@ def test_jaccard_of_repeated_rows_and_nulls(spark):
     text = "a b c d e f g h i j k l m n o p"
     rows = [(7, text), (7, text), (None, text + " q"), (None, None), (3, text + " q r"), (None, "z"), (None, "z")]
     got = ngram_join.jaccard_components(frame(spark, rows)).collect()
-    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == {
-        (7, 12, 3): 2, (None, 13, 3): 1, (None, 0, None): 1, (3, 14, 3): 1, (None, 1, None): 2
+    assert Counter((r["doc_id"], r["n_shingles"], r["n_links"], r["component_id"]) for r in got) == {
+        (7, 12, 3, 3): 2, (None, 13, 3, 3): 1, (None, 0, 0, None): 1, (3, 14, 3, 3): 1, (None, 1, 1, None): 2
     }
     assert ngram_join.jaccard_components(frame(spark, [])).count() == 0
 
@@ -155,12 +164,51 @@ def test_trie_join_by_definition():
                 s = s - {rng.choice(sorted(s))} if rng.random() < 0.5 and len(s) > 1 else s | {rng.randrange(10**6)}
             sets[tuple(sorted(s))] = np.array(sorted(s), np.uint64)
         arrays = list(sets.values())
-        as_sets = [set(s) for s in sets]
-        want = [(i, j) for i in range(len(arrays)) for j in range(i)
-                if 100 * len(as_sets[i] & as_sets[j]) >= 80 * len(as_sets[i] | as_sets[j])]
-        links = ngram_join.join_sets(arrays)
-        assert set(map(frozenset, links)) <= set(map(frozenset, want))
-        assert roots(len(arrays), links) == roots(len(arrays), want)
+        want = sorted(map(sorted, brute_links([set(s) for s in sets])))
+        got = [sorted((i, int(j))) for i, others in ngram_join.linked_sets(arrays) for j in others]
+        assert sorted(got) == want
+        block = np.array([rng.randint(0, 1) for _ in arrays])
+        between = [sorted((i, int(j))) for i, others in ngram_join.linked_sets(arrays, block) for j in others]
+        assert sorted(between) == [p for p in want if block[p[0]] != block[p[1]]]
+
+
+def near_copies(rng, count, words=400):
+    """Different texts, all near the same one."""
+    base = [f"w{i}" for i in range(words)]
+    texts = set()
+    while len(texts) < count:
+        text = list(base)
+        for _ in range(rng.randint(1, 5)):
+            text[rng.randrange(words)] = f"x{rng.randrange(200)}"
+        texts.add(" ".join(text))
+    return sorted(texts)
+
+
+def test_every_link_of_a_large_group_of_near_copies_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "UNIT", 20_000)
+    rng = random.Random(9)
+    rows = list(enumerate(near_copies(rng, 250) + near_copies(rng, 30, 500) + [" ".join(f"w{i}" for i in range(300))] * 3))
+    got = {r["doc_id"]: r for r in ngram_join.jaccard_components(frame(spark, rows)).collect()}
+    linked = Counter(i for pair in brute_links([set_of(t) for _, t in rows]) for i in pair)
+    assert {i: r["n_links"] for i, r in got.items()} == {i: linked[i] for i in range(len(rows))}
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(rows)
+    assert max(linked.values()) > 200
+
+
+def test_a_large_group_of_many_sizes_is_dealt_in_proportion(spark, monkeypatch):
+    """What goes to units grows with a group, not with its square, where sizes tell sets apart."""
+    monkeypatch.setattr(ngram_join, "UNIT", 2_000)
+    share = {}
+    for classes in (8, 16):
+        rows = [
+            (100_000 * k + i, 1, n, 1, bytes(8 * n))
+            for k, n in enumerate(int(10 * 1.3**k) for k in range(classes)) for i in range(max(1, 6_000 // n))
+        ]
+        dealt = ngram_join.dealt_to_units(spark.createDataFrame(rows, "set long, group long, n long, copies long, grams binary"))
+        share[classes] = dealt.agg(F.sum(F.length("grams"))).first()[0] / sum(8 * r[2] for r in rows)
+        sides = dealt.groupBy("u", "s", "x", "y", "kind").agg(F.sum(F.length("grams") / 8).alias("size"))
+        assert sides.agg(F.max("size")).first()[0] < 6 * ngram_join.UNIT
+    assert share[16] < 1.3 * share[8]
 
 
 def test_components_by_definition(spark):
@@ -264,6 +312,56 @@ def test_ordinary_forms_of_entities_are_replaced_in_their_format(spark):
     assert ipaddress.ip_address(found[1]) == ipaddress.ip_address(found[2]) and found[3] != "fe80::0"
 
 
+def replaced(spark, *texts):
+    docs = frame(spark, list(enumerate(texts)))
+    return [r["text"] for r in sorted(surrogates.replace_entities(docs, "k", count="n").collect(), key=lambda r: r["doc_id"])]
+
+
+def test_later_mentions_of_a_name_are_replaced_too(spark):
+    new = replaced(
+        spark, "Mr John Smith came. Smith said that John Smith pays. SMITH's bill, Smithson's not, smith neither.",
+        "Frau Anna-Maria Müller kam. Später ging Müller; Anna-Maria Müller blieb.",
+        "Господин Иван Петров пришёл. Петров сказал, что Иван Петров платит.",
+        "Κύριος Νίκος Παπάς ήρθε. Ο Παπάς είπε ότι ο Νίκος Παπάς πληρώνει.",
+        "Smith and John are no persons here.", "Mr Smith:  Smith  Smith ",
+    )
+    m = re.fullmatch(
+        r"Mr (\w+) ([\w-]+) came\. ([\w-]+) said that (\w+) ([\w-]+) pays\. ([\w-]+)'s bill, Smithson's not, smith neither\.", new[0]
+    )
+    assert m[1] == m[4] != "John" and m[2] == m[3] == m[5] != "Smith" and m[6] == m[2].upper()
+    m = re.fullmatch(r"Frau ([\w-]+) ([\w-]+) kam\. Später ging ([\w-]+); ([\w-]+) ([\w-]+) blieb\.", new[1])
+    assert m[1] == m[4] != "Anna-Maria" and m[2] == m[3] == m[5] != "Müller"
+    m = re.fullmatch(r"Господин (\w+) ([\w-]+) пришёл\. ([\w-]+) сказал, что (\w+) ([\w-]+) платит\.", new[2])
+    assert m[1] == m[4] != "Иван" and m[2] == m[3] == m[5] != "Петров"
+    m = re.fullmatch(r"Κύριος (\w+) ([\w-]+) ήρθε\. Ο ([\w-]+) είπε ότι ο (\w+) ([\w-]+) πληρώνει\.", new[3])
+    assert m[1] == m[4] != "Νίκος" and m[2] == m[3] == m[5] != "Παπάς"
+    assert new[4] == "Smith and John are no persons here."
+    m = re.fullmatch("Mr ([\\w-]+): \u0001 ([\\w-]+) \u0001\u0002 ([\\w-]+) \u0001\u0003", new[5])
+    assert m[1] == m[2] == m[3] != "Smith"
+
+
+@pytest.mark.parametrize("kind", ["labels", "addresses", "names", "digits", "titles", "colons", "dots", "local"])
+def test_very_long_texts_of_entities_end_soon(spark, kind):
+    text, count = {
+        "labels": ("a@" + "b." * 100_000 + "com", 1),
+        "addresses": (" ".join(f"u{i}@m{i % 7}.example.com" for i in range(100_000)), 100_000),
+        "names": (" ".join(f"Mr J{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(100_000)), 100_000),
+        "digits": ("1" * 200_000 + " " + "1-" * 100_000, 0),
+        "titles": ("Mr " * 100_000 + "Frau. " * 100_000, None),
+        "colons": ("a:" * 100_000 + ":" * 100_000, 0),
+        "dots": ("x@" * 50_000 + "1." * 100_000 + "(" * 100_000, 1),
+        "local": ("a.b+" * 50_000 + "@" + "c" * 70_000 + ".d", None),
+    }[kind]
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.monotonic()
+    (row,) = surrogates.replace_entities(docs, "k", count="n").collect()
+    assert time.monotonic() - began < 30
+    if count is not None:
+        assert row["n"] == count and (row["text"] == text) == (count == 0)
+    if kind == "addresses":
+        assert len(set(row["text"].split())) == count and not set(row["text"].split()) & set(text.split())
+
+
 def test_more_names_than_the_list_has_stay_distinct(spark):
     names = ["".join(p) for p in {(a + b + c) for a in "BCDFG" for b in "aeiou" for c in "lmnr"}]
     rows = [(i, f"Mr {n.capitalize()}xq") for i, n in enumerate(names)]
