@@ -16,6 +16,7 @@ import argparse
 import posixpath
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,12 @@ def _facts(run: Run) -> list[DataFrame]:
     return [run.read(f"refined.{t}") for t in ("orders", "returns", "complaints")]
 
 
+def _sales(run: Run, seller: str | None) -> list[DataFrame]:
+    """Orders and returns, of one seller from the files that have any."""
+    names = ("refined.orders", "refined.returns")
+    return [run.read(n) if seller is None else run.read_seller(n, seller) for n in names]
+
+
 VIEWS: dict[str, View] = {
     "sellers": _risk(lambda risk: risk),
     "high-risk": _risk(investigate.high_risk),
@@ -72,7 +79,7 @@ VIEWS: dict[str, View] = {
         run.read("curated.seller_risk"), run.read("curated.fraud_patterns"), asked.seller
     ),
     "customers": lambda run, asked: activity.customer_activity(
-        *_facts(run)[:2], asked.seller, asked.salt
+        *_sales(run, asked.seller), asked.seller, asked.salt
     ),
     "masked-orders": lambda run, asked: mask_customers(run.read("refined.orders"), asked.salt),
     "layers": lambda run, _: activity.layer_counts(
@@ -118,6 +125,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     pipeline.add_argument("--as-of", help="reference time, default now")
     pipeline.add_argument("--publish", action="store_true", help="name the tables in the catalog")
     pipeline.add_argument("--keep-runs", type=int, help="delete all but so many of the last runs")
+    pipeline.add_argument(
+        "--grace-hours", type=float, default=24, help="never delete runs that began within so many hours"
+    )
     pipeline.add_argument("--export", metavar="PATH", help="write curated sellers as JSON")
 
     register = job("register")
@@ -163,6 +173,7 @@ def _run_job(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
             catalog=catalog,
             export_path=args.export,
             keep_runs=args.keep_runs,
+            grace=timedelta(hours=args.grace_hours),
         ).show(truncate=False)
     elif args.job == "register":
         catalog = Catalog(spark, prefix=args.prefix)

@@ -89,6 +89,15 @@ ref_complaints AS (
 ref_sellers AS (SELECT * FROM raw_sellers)
 """
 
+_CORRECTED = """,
+all_orders AS (
+  SELECT * FROM raw_orders
+  UNION ALL
+  SELECT order_id, CASE WHEN order_id LIKE '%5' THEN 'S1' ELSE seller_id END, customer_id, amount / 2,
+         '2' || substr("timestamp", 2), status, category
+  FROM raw_orders WHERE order_id LIKE '%3' OR order_id LIKE '%5')
+""" + _REFINED.replace("FROM raw_orders)", "FROM all_orders)")
+
 _AGGREGATES = """,
 om AS (SELECT seller_id, count(order_id) AS total_orders, avg(amount) AS avg_order_amount
        FROM ref_orders GROUP BY seller_id),
@@ -316,6 +325,28 @@ _ACTIVITY = """
                                  AND r.seller_id = o.seller_id) THEN 1 END) AS total_returns
   FROM ref_orders o {where} GROUP BY o.seller_id, customer_id"""
 
+_SPIKES = """,
+daily AS (
+  SELECT seller_id, CAST(event_ts AS DATE) AS d, count(*) AS n FROM ref_orders
+  WHERE event_ts IS NOT NULL GROUP BY ALL),
+begun AS (SELECT seller_id, min(d) AS f FROM daily GROUP BY seller_id),
+before AS (
+  SELECT a.seller_id, a.d, a.n, CAST(least(28, a.d - f) AS INTEGER) AS days,
+         list(b.n) FILTER (b.n IS NOT NULL) AS sold
+  FROM daily a JOIN begun USING (seller_id)
+  LEFT JOIN daily b ON b.seller_id = a.seller_id AND b.d BETWEEN a.d - 28 AND a.d - 1
+  GROUP BY ALL),
+usual AS (
+  SELECT *, list_concat(coalesce(sold, []), list_transform(range(days - len(coalesce(sold, []))), lambda i: 0::BIGINT))
+              AS every
+  FROM before WHERE days >= 7 AND n >= 2),
+middle AS (SELECT *, CAST(list_median(every) AS DOUBLE) AS m FROM usual),
+judged AS (SELECT *, CAST(list_median(list_transform(every, lambda x: abs(x - m))) AS DOUBLE) AS away FROM middle)
+SELECT seller_id, d AS order_date, n AS daily_orders, days AS baseline_days, m AS median_orders,
+       away AS median_deviation
+FROM judged WHERE n - m > greatest(3 * away, 1)
+"""
+
 _RAW_ORDERS = 'order_id, seller_id, customer_id, amount, "timestamp", status, category'
 _RAW_RETURNS = 'return_id, order_id, seller_id, "timestamp", reason, status'
 _RAW_COMPLAINTS = 'complaint_id, seller_id, "timestamp", severity, category'
@@ -390,6 +421,11 @@ def all_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY order_id
               ORDER BY event_ts DESC NULLS LAST, seller_id, customer_id NULLS FIRST, number,
                        lower(trim(status)) NULLS FIRST, lower(trim(category)) NULLS FIRST) = 1""",
+        # kept up to date
+        "incremental_orders": f"WITH {_RAW}{_CORRECTED} SELECT * FROM ref_orders",
+        "incremental_aggregates": f"WITH {_RAW}{_CORRECTED}{_AGGREGATES} "
+        "SELECT * REPLACE (round(avg_order_amount, 2) AS avg_order_amount) FROM aggregates",
+        "streamed_orders": f"WITH {_RAW}{_CORRECTED} SELECT * FROM ref_orders",
         # metrics and joins
         "order_metrics": _aggregated(
             "SELECT seller_id, total_orders, round(avg_order_amount, 2) AS avg_order_amount FROM om"
@@ -454,6 +490,7 @@ def all_sql() -> dict[str, str]:
             count(order_id) AS daily_orders, round(sum(amount), 4) AS daily_revenue
             FROM ref_orders GROUP BY ALL ORDER BY daily_orders DESC, seller_id, order_date"""
         ),
+        "q07_daily_spikes": f"WITH {_RAW}{_REFINED}{_SPIKES}",
         "q08_returns_and_complaints": _curated(
             """SELECT seller_id, seller_name, return_rate, total_complaints,
             high_severity_complaints, round(risk_score, 4) AS risk_score, risk_label FROM risk
@@ -596,4 +633,5 @@ def all_sql() -> dict[str, str]:
         ),
     }
     sql["role_ts_orders"] = sql["mask_customers"]
+    sql["incremental_untidy_orders"] = sql["normalize_untidy_orders"]
     return sql

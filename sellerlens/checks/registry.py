@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sellerlens.checks.marts import Marts, marts
 from sellerlens.operators import fraud, metrics, normalize, quality, rejects, roles, scoring
-from sellerlens.plans import activity, by_name, governance, investigate, pipeline, reports
+from sellerlens.plans import activity, by_name, governance, history, investigate, pipeline, reports
 from sellerlens.schemas import RAW_TABLES
 from sellerlens.sources.catalog import Catalog
 from sellerlens.sources.files import (
@@ -255,6 +255,66 @@ def normalize_untidy_orders(m: Marts) -> DataFrame:
     return normalize.normalize_orders(untidy_orders(m.spark, m.sf_dir))
 
 
+# --- kept up to date ----------------------------------------------------------------------
+
+
+def _corrected_orders(m: Marts) -> DataFrame:
+    """Raw orders and, for some, a later row that halves the amount and may name another seller."""
+    raw = m.raw("orders")
+    later = raw.filter(F.col("order_id").endswith("3") | F.col("order_id").endswith("5")).withColumns(
+        {
+            "timestamp": F.concat(F.lit("2"), F.substring("timestamp", 2, 100)),
+            "amount": F.col("amount") / 2,
+            "seller_id": F.when(F.col("order_id").endswith("5"), "S1").otherwise(F.col("seller_id")),
+        }
+    )
+    return raw.unionByName(later)
+
+
+def _history(m: Marts, table: str, raw: DataFrame, batches: int = 3) -> history.FactHistory:
+    """Raw rows absorbed in several batches; rows of one key are in any of them, and one batch comes twice."""
+    kept = history.FactHistory(m.spark, scratch_path(m.spark, f"history-{table}"), table, buckets=16)
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in raw.columns if c != "_corrupt_record"]), F.lit(batches))
+    for i in [*range(batches), 0]:
+        kept.absorb(raw.filter(part == i), f"batch-{i}")
+    return kept
+
+
+@query
+def incremental_orders(m: Marts) -> DataFrame:
+    return _history(m, "orders", _corrected_orders(m)).read()
+
+
+@query
+def incremental_untidy_orders(m: Marts) -> DataFrame:
+    return _history(m, "orders", untidy_orders(m.spark, m.sf_dir), 4).read()
+
+
+@query
+def incremental_aggregates(m: Marts) -> DataFrame:
+    sellers = m.table("refined.sellers")
+    raw = {"orders": _corrected_orders(m), "returns": m.raw("returns"), "complaints": m.raw("complaints")}
+    kept: dict[str, history.FactHistory] = {}
+    pipeline.side_by_side(m.spark, lambda t: kept.update({t: _history(m, t, raw[t])}), raw)
+    joined = history.current_aggregates(sellers, kept.__getitem__)
+    return rounded(joined, "avg_order_amount")
+
+
+@query
+def streamed_orders(m: Marts) -> DataFrame:
+    """A topic into raw and on into refined, in micro-batches; a restart of either adds nothing."""
+    topic, offsets, seen = (scratch_path(m.spark, n) for n in ("topic", "offsets", "seen"))
+    lake = Lake(scratch_path(m.spark, "streamed"))
+    encode_events(_corrected_orders(m), "orders").repartition(6).write.text(topic)
+    kept = history.FactHistory(m.spark, lake.path("history", "orders"), "orders", buckets=16)
+    for _ in range(2):
+        messages = file_topic(m.spark, topic, max_files_per_trigger=8)
+        ingest_stream(messages, lake.stream_path("orders"), offsets).awaitTermination()
+        rows = history.raw_stream(m.spark, lake.stream_path("orders"), "orders", max_files_per_trigger=3)
+        kept.follow(rows, seen).awaitTermination()
+    return kept.read()
+
+
 # --- metrics and joins --------------------------------------------------------------------
 
 
@@ -353,6 +413,12 @@ def q07_daily_volume(m: Marts) -> DataFrame:
     return rounded(investigate.daily_volume(m.table("refined.orders")), "daily_revenue")
 
 
+@query
+def q07_daily_spikes(m: Marts) -> DataFrame:
+    """Days above the seller's usual volume; one order more than usual counts here, so that days show up at every size."""
+    return investigate.daily_spikes(m.table("refined.orders"), days=28, times=3.0, least_orders=2)
+
+
 @query
 def q08_returns_and_complaints(m: Marts) -> DataFrame:
     return rounded(investigate.returns_and_complaints(_risk(m)), "risk_score")
@@ -458,9 +524,10 @@ def customer_activity(m: Marts) -> DataFrame:
 
 @query
 def customer_activity_seller(m: Marts) -> DataFrame:
-    one = activity.customer_activity(
-        m.table("refined.orders"), m.table("refined.returns"), SELLER
-    )
+    for name in ("refined.orders", "refined.returns"):
+        m.table(name)
+    facts = [m.run.read_seller(name, SELLER) for name in ("refined.orders", "refined.returns")]
+    one = activity.customer_activity(*facts, SELLER)
     return rounded(one, "total_amount")
 
 

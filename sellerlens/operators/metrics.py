@@ -43,8 +43,15 @@ def seller_aggregates(
 
     return_rate is not capped and can pass 1.
     """
+    return with_metrics(
+        sellers, order_metrics(orders), return_metrics(returns), complaint_metrics(complaints)
+    )
+
+
+def with_metrics(sellers: DataFrame, *per_seller: DataFrame) -> DataFrame:
+    """Sellers with metrics of theirs, wherever those were computed; none means zero."""
     joined = sellers
-    for metrics in (order_metrics(orders), return_metrics(returns), complaint_metrics(complaints)):
+    for metrics in per_seller:
         joined = joined.join(metrics, "seller_id", "left")
     filled = joined.fillna(0, [*COUNTS, "avg_order_amount"])
     return filled.withColumn("return_rate", ratio("total_returns", "total_orders")).select(

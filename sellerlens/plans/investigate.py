@@ -5,12 +5,15 @@ Sorts end in a unique key, so the order of equal scores is the same on every run
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sellerlens.functions import plot_colour
 from sellerlens.policy import HIGH, MEDIUM, UNVERIFIED
 
+# Days in a stretch of a seller's calendar when spikes are looked for.
+SPIKE_STRETCH = 365
+
 
 def _top_down(df: DataFrame, measure: str, *tie_break: str) -> DataFrame:
     return df.orderBy(F.col(measure).desc(), *(tie_break or ("seller_id",)))
@@ -80,6 +83,60 @@ def daily_volume(orders: DataFrame) -> DataFrame:
     return _top_down(counted, "daily_orders", "seller_id", "order_date")
 
 
+def daily_spikes(
+    orders: DataFrame, days: int = 28, times: float = 3.0, least_orders: int = 5, least_days: int = 7
+) -> DataFrame:
+    """Days on which a seller sold far more than on the calendar days before.
+
+    A day is held against the ``days`` before it, days without orders as zero, back to the seller's first
+    one. Its usual volume is their median, its usual deviation the median distance from it, which a few
+    earlier spikes do not move. A spike is ``least_orders`` or more, and above the median by more than ``times`` such
+    deviations (one order, where days were all alike). The first ``least_days`` of a seller are not judged.
+
+    Sellers are cut into stretches of days; each takes along the days that its first ones look
+    back to, so that a seller of any age is the work of several tasks.
+    """
+    day = F.unix_date(F.to_date("event_ts"))
+    daily = (
+        orders.where(F.col("event_ts").isNotNull()).groupBy("seller_id", day.alias("day"))
+        .agg(F.count("*").alias("daily_orders"))
+    )
+    first = daily.groupBy("seller_id").agg(F.min("day").alias("first_day"))
+    stretch = F.floor(F.col("day") / SPIKE_STRETCH)
+    reach = F.floor((F.col("day") + days) / SPIKE_STRETCH)
+    seen_by = daily.withColumn("own", stretch).withColumn(
+        "stretch", F.explode(F.sequence(stretch, reach))
+    )
+    before = Window.partitionBy("seller_id", "stretch").orderBy("day").rangeBetween(-days, -1)
+    looked_back = (
+        seen_by.withColumn("sold", F.collect_list("daily_orders").over(before))
+        .where(F.col("own") == F.col("stretch")).join(first, "seller_id")
+        .withColumn("baseline_days", F.least(F.lit(days), F.col("day") - F.col("first_day")))
+        .where((F.col("baseline_days") >= least_days) & (F.col("daily_orders") >= least_orders))
+    )
+    nothing = F.array_repeat(F.lit(0).cast("long"), F.col("baseline_days") - F.size("sold"))
+    usual = looked_back.withColumn("every", F.array_sort(F.concat("sold", nothing))).withColumn(
+        "median_orders", _middle(F.col("every"))
+    )
+    away = F.array_sort(F.transform("every", lambda n: F.abs(n - F.col("median_orders"))))
+    judged = usual.withColumn("median_deviation", _middle(away))
+    above = F.col("daily_orders") - F.col("median_orders")
+    spikes = judged.where(above > times * F.greatest(F.col("median_deviation"), F.lit(1.0 / times)))
+    return _top_down(
+        spikes.select(
+            "seller_id", F.date_from_unix_date("day").alias("order_date"), "daily_orders", "baseline_days",
+            "median_orders", "median_deviation",
+        ),
+        "daily_orders", "seller_id", "order_date",
+    )
+
+
+def _middle(ordered: Column) -> Column:
+    """The median of a sorted array."""
+    low, high = (F.floor((F.size(ordered) + i) / 2).cast("int") for i in (1, 2))
+    return (F.element_at(ordered, low) + F.element_at(ordered, high)) / F.lit(2.0)
+
+
 def returns_and_complaints(
     risk: DataFrame, return_rate_above: float = 0.3, complaints_at_least: int = 2
 ) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
-from datetime import UTC, datetime
-from functools import reduce
+from dataclasses import dataclass
+from datetime import timedelta
+from functools import cached_property, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -21,23 +21,23 @@ from sellerlens.policy import DEFAULT_POLICY, RiskPolicy
 from sellerlens.schemas import RAW_TABLES
 from sellerlens.sources.catalog import Catalog
 from sellerlens.sources.files import (
+    LAID_OUT,
     Lake,
     current,
     export_json,
     finish_run,
     forget_runs,
+    new_run,
     publish_gate,
+    read_ranged,
     read_raw,
     read_table,
+    write_laid_out,
     write_table,
 )
 
-# Facts are sorted by seller inside each file: drill-downs into one seller skip the rest.
-CLUSTER_BY = {
-    "orders": ("seller_id",),
-    "returns": ("seller_id",),
-    "complaints": ("seller_id",),
-}
+# Sorted by seller inside each file: drill-downs into one seller skip the rest of it.
+CLUSTER_BY = {"complaints": ("seller_id",)}
 CURATED = ("seller_risk", "fraud_patterns")
 PUBLISHED = (
     "curated.seller_risk",
@@ -68,7 +68,8 @@ def side_by_side(
 class Run:
     """One pipeline run: where, as of when, under which policy.
 
-    Over a lake that names no run, refined and curated tables are those of the last finished one.
+    Over a lake that names no run, refined and curated tables are those of the run that was the last finished
+    one when first asked for. It stays that one: what is read together belongs together, whatever finishes meanwhile.
     """
 
     spark: SparkSession
@@ -76,7 +77,7 @@ class Run:
     as_of: AsOf = None
     policy: RiskPolicy = DEFAULT_POLICY
 
-    @property
+    @cached_property
     def place(self) -> Lake:
         return current(self.spark, self.lake)
 
@@ -84,13 +85,22 @@ class Run:
         layer, table = name.split(".")
         return read_table(self.spark, self.place, layer, table)
 
+    def read_seller(self, name: str, seller_id: str) -> DataFrame:
+        """One seller's rows of a fact table that is laid out by seller, from the files that have any."""
+        layer, table = name.split(".")
+        return read_ranged(self.spark, self.place, layer, table, seller_id)
+
     def refine(self, table: str, raw: DataFrame | None = None) -> None:
         raw = read_raw(self.spark, self.lake, table) if raw is None else raw
         if table == "orders":
             clean = normalize_orders(raw, self.policy)
         else:
             clean = NORMALIZERS[table](raw)
-        write_table(clean, self.place, "refined", table, CLUSTER_BY.get(table, ()))
+        by = LAID_OUT.get(f"refined.{table}")
+        if by:
+            write_laid_out(clean, self.place, "refined", table, by)
+        else:
+            write_table(clean, self.place, "refined", table, CLUSTER_BY.get(table, ()))
 
     def aggregate(self) -> None:
         facts = [self.read(f"refined.{t}") for t in ("sellers", "orders", "returns", "complaints")]
@@ -125,16 +135,16 @@ class Run:
     def publish(self, catalog: Catalog, copy_facts: bool = False) -> DataFrame:
         """Make refined and curated tables known by name; one row per table with its rows.
 
-        Names point at the files of the run, which later runs leave alone. ``copy_facts`` asks
-        for a copy of the facts in managed tables instead.
+        Names show the files of the run, which later runs leave alone, and change all at once. ``copy_facts``
+        copies the facts first and shows the copies, for a run whose own files may go.
         """
-        catalog.ensure_layers()
-        place = self.place
-        for name in PUBLISHED:
-            if name in FACTS and copy_facts:
-                catalog.publish(self.read(name), name)
-            else:
-                catalog.link(place, name)
+        place, copies = self.place, {}
+        if copy_facts:
+            folder = f"{catalog.log}_copies/{uuid.uuid4().hex}"
+            for name in FACTS:
+                copies[name] = f"{folder}/{name}"
+                self.read(name).write.parquet(copies[name])
+        catalog.show_run(place, PUBLISHED, copies)
         return published_counts(catalog)
 
     def export(self, path: str) -> str:
@@ -142,7 +152,8 @@ class Run:
 
 
 def published_counts(catalog: Catalog) -> DataFrame:
-    counts = [count_of(catalog.table(name), name) for name in PUBLISHED]
+    pinned = catalog.pinned()
+    counts = [count_of(pinned.table(name), name) for name in PUBLISHED]
     return reduce(DataFrame.unionByName, counts).withColumnsRenamed(
         {"label": "table_name", "n": "row_count"}
     )
@@ -156,15 +167,16 @@ def run_pipeline(
     catalog: Catalog | None = None,
     export_path: str | None = None,
     keep_runs: int | None = None,
+    grace: timedelta = timedelta(0),
 ) -> DataFrame:
     """The nightly run over ``base``: transform and check, then publish and export if asked.
 
     The run writes to a folder of its own. Only when its gate has passed does it become the current
-    one and do names move to it; until then, and if it fails, everything answers with the run
-    before. ``keep_runs`` deletes all but that many of the last runs; off by default.
+    one and do names move to it, all in one step; until then, and if it fails, everything answers with the run
+    before. ``keep_runs`` deletes all but that many of the last runs, those that began within ``grace``, and the one
+    that names show; off by default.
     """
-    started = datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f")
-    lake = replace(Lake(base), run=f"{started}-{uuid.uuid4().hex[:8]}")
+    lake = new_run(Lake(base))
     run = Run(spark, lake, as_of, policy)
     checked = run.transform()
     finish_run(spark, lake)
@@ -173,5 +185,8 @@ def run_pipeline(
     if export_path is not None:
         run.export(export_path)
     if keep_runs is not None:
-        forget_runs(spark, lake, keep_runs)
+        held = [catalog.shown_run()] if catalog is not None else []
+        gone = forget_runs(spark, lake, keep_runs, grace, held)
+        if catalog is not None:
+            catalog.drop_runs(gone)
     return checked

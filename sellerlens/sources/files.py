@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, replace
+from datetime import UTC, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +13,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from sellerlens.schemas import CORRUPT, same_shape, schema
-
+from sellerlens.sources import pointers
 
 RUN_LAYERS = ("refined", "curated")
+# Facts whose files are ranges of a seller; the second column splits sellers with very many rows.
+LAID_OUT = {
+    "refined.orders": ("seller_id", "order_id"),
+    "refined.returns": ("seller_id", "return_id"),
+}
+
+
+def range_column(table: str) -> str:
+    return LAID_OUT[table][0]
+
 
 
 @dataclass(frozen=True)
@@ -37,6 +50,10 @@ class Lake:
             return f"{self.run_path(self.run)}/{layer}/{table}"
         return f"{self.root}/{layer}/{table}"
 
+    def index_path(self, layer: str, table: str) -> str:
+        """What the files of a laid-out table hold."""
+        return f"{self.run_path(self.run) if self.run else self.root}/_index/{layer}/{table}"
+
     def stream_path(self, table: str) -> str:
         return self.path("raw_stream", table)
 
@@ -46,14 +63,8 @@ class Lake:
 
 
 def finished_runs(spark: SparkSession, lake: Lake) -> list[str]:
-    """Runs that passed their gate, oldest first: one line each, a handful a day."""
-    try:
-        lines = spark.read.text(lake.log_path).collect()
-    except AnalysisException as error:
-        if not _missing(error):
-            raise
-        return []
-    return sorted(line.value for line in lines)
+    """Runs that passed their gate, oldest first."""
+    return pointers.entries(spark, lake.log_path)
 
 
 def current(spark: SparkSession, lake: Lake) -> Lake:
@@ -64,17 +75,14 @@ def current(spark: SparkSession, lake: Lake) -> Lake:
     return replace(lake, run=done[-1]) if done else lake
 
 
-def finish_run(spark: SparkSession, lake: Lake) -> None:
-    """Make the lake's run the current one. A line is added to a log, so readers see the old run or
-    the new one and never neither."""
-    row = spark.createDataFrame([(lake.run,)], "value string")
-    row.coalesce(1).write.mode("append").text(lake.log_path)
+def new_run(lake: Lake) -> Lake:
+    """The lake with a run of its own to write to; runs sort by when they began."""
+    return replace(lake, run=f"{pointers.stamp()}-{uuid.uuid4().hex[:8]}")
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whatever file system its path names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def finish_run(spark: SparkSession, lake: Lake) -> None:
+    """Make the lake's run the current one, in one step."""
+    pointers.add_entry(spark, lake.log_path, lake.run)
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
@@ -84,11 +92,20 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(target).getLength() if files.exists(target) else 0
 
 
-def forget_runs(spark: SparkSession, lake: Lake, keep: int) -> list[str]:
-    """Delete the folders of all finished runs but the last ``keep``; returns the deleted runs."""
-    old = finished_runs(spark, lake)[:-keep] if keep > 0 else []
+def forget_runs(
+    spark: SparkSession, lake: Lake, keep: int, grace: timedelta = timedelta(0), held: Iterable[str] = ()
+) -> list[str]:
+    """Delete all finished runs but the last ``keep``, and their entries; returns the deleted runs.
+
+    Runs that began within ``grace`` stay, because somebody may still read them, and so do those of ``held``.
+    """
+    limit = pointers.stamp(datetime.now(UTC) - grace)
+    old = [
+        run for run in finished_runs(spark, lake)[:-keep] if run < limit and run not in set(held)
+    ] if keep > 0 else []
     for run in old:
-        remove_folder(spark, lake.run_path(run))
+        pointers.remove(spark, lake.run_path(run))
+        pointers.remove_entry(spark, lake.log_path, run)
     return old
 
 
@@ -142,12 +159,52 @@ def write_table(
     columns then skips most row groups and pages of every file.
     """
     path = lake.path(layer, table)
+    pointers.remove(df.sparkSession, lake.index_path(layer, table))
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
+def write_laid_out(
+    df: DataFrame, lake: Lake, layer: str, table: str, by: tuple[str, ...], files: int | None = None
+) -> str:
+    """Replace one table of a layer, its files ranges of ``by``, with an index of what each holds.
+
+    One range shuffle. A value of the first column that very many rows share goes on over as many files
+    as it needs, split by the columns behind it; other values are in one file, or two. The index has one row
+    a file: its name, least and greatest value of the first column, and rows. It goes before the files
+    change and comes when they are complete, so there is never one that lies. ``files`` is the
+    session's shuffle size by default, merged by adaptive execution where it is too many.
+    """
+    spark, path, index = df.sparkSession, lake.path(layer, table), lake.index_path(layer, table)
+    pointers.remove(spark, index)
+    ranged = df.repartitionByRange(*by) if files is None else df.repartitionByRange(files, *by)
+    ranged.sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+    held = read_table(spark, lake, layer, table).groupBy(F.col("_metadata.file_name").alias("file"))
+    found = held.agg(F.min(by[0]).alias("first"), F.max(by[0]).alias("last"), F.count("*").alias("row_count"))
+    found.coalesce(1).write.mode("overwrite").parquet(index)
+    return path
+
+
+def read_ranged(spark: SparkSession, lake: Lake, layer: str, table: str, value: str) -> DataFrame:
+    """The rows of a laid-out table whose first range column is ``value``.
+
+    Only the files that the index names are listed and opened; a table without index is filtered as a whole.
+    """
+    every = schema(f"{layer}.{table}")
+    index = lake.index_path(layer, table)
+    whole = f"{layer}.{table}"
+    if not pointers.exists(spark, index):
+        return read_table(spark, lake, layer, table).where(F.col(range_column(whole)) == value)
+    spans = spark.read.schema("file STRING, first STRING, last STRING").parquet(index)
+    names = [r.file for r in spans.where(F.lit(value).between(F.col("first"), F.col("last"))).collect()]
+    if not names:
+        return spark.createDataFrame([], every)
+    paths = [f"{lake.path(layer, table)}/{name}" for name in sorted(names)]
+    return spark.read.schema(every).parquet(*paths).where(F.col(range_column(whole)) == value)
+
+
 def export_json(df: DataFrame, path: str) -> str:
     """One JSON object per row, written by the executors; null fields are spelled out."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

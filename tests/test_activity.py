@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
+from datetime import date, datetime, timedelta
+from statistics import median
 
 import pytest
 
@@ -15,6 +18,7 @@ from sellerlens.operators.roles import (
     mask_customers,
     role_view,
 )
+from sellerlens.plans import investigate
 from sellerlens.plans.activity import (
     customer_activity,
     event_counts,
@@ -203,3 +207,33 @@ def test_access_reports(spark, orders, returns):
         (BUSINESS, "refined.returns"): ("none", 0),
     }
     assert access_report({"refined.returns": returns}).where("visible_rows > 0").count() == 0
+
+
+def test_spikes_by_definition(table):
+    rng = random.Random(7)
+    rows, start = [], date(2024, 11, 1)
+    for seller, usual, days in (("quiet", 0.3, 90), ("busy", 6, 120), ("old", 0.05, 1_500), ("new", 4, 6)):
+        for d in range(days):
+            count = sum(rng.random() < usual / 10 for _ in range(10)) + (rng.randint(6, 30) if rng.random() < 0.03 else 0)
+            rows += [(seller, start + timedelta(d))] * count
+    orders = [
+        {"order_id": str(i), "seller_id": s, "event_ts": datetime(d.year, d.month, d.day, 5)} for i, (s, d) in enumerate(rows)
+    ]
+    orders.append({"order_id": "x", "seller_id": "busy", "event_ts": None})
+    sold, want = {}, {}
+    for s, d in rows:
+        sold[s, d] = sold.get((s, d), 0) + 1
+    for (s, d), n in sold.items():
+        first = min(day for seller, day in sold if seller == s)
+        before = [sold.get((s, d - timedelta(i)), 0) for i in range(1, 29) if d - timedelta(i) >= first]
+        if len(before) < 7 or n < 5:
+            continue
+        usual = median(before)
+        away = median(abs(x - usual) for x in before)
+        if n - usual > max(3 * away, 1):
+            want[s, d] = (n, len(before), usual, away)
+    found = investigate.daily_spikes(table("refined.orders", *orders)).collect()
+    got = {
+        (r.seller_id, r.order_date): (r.daily_orders, r.baseline_days, r.median_orders, r.median_deviation) for r in found
+    }
+    assert got == want and len(want) > 20 and not any(s == "new" for s, _ in want)

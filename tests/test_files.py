@@ -2,18 +2,23 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import replace
+from datetime import timedelta
 
 import pytest
 
+from sellerlens.plans import by_name
 from sellerlens.plans.pipeline import PUBLISHED, Run, published_counts, run_pipeline
 from sellerlens.schemas import LAYERS, columns, tables
 from sellerlens.session import sized_for
+from sellerlens.sources import pointers
 from sellerlens.sources.catalog import Catalog
 from sellerlens.sources.files import (
     Lake,
     PublishGateError,
     export_json,
     finished_runs,
+    forget_runs,
     land_files,
     publish_gate,
     read_json_lines,
@@ -169,7 +174,9 @@ def test_pipeline_end_to_end(spark, lake, tmp_path):
     run_pipeline(spark, lake.base, AS_OF, catalog=catalog)
     assert catalog.table("curated.seller_risk").count() == 2
     assert catalog.table("refined.orders").count() == 4
-    # A copy stays as it was when the files change.
+    # What was read from the first run still is that run's; a copy stays as it was when the files change.
+    assert run.read("refined.orders").count() == 3
+    run = Run(spark, lake, AS_OF)
     run.publish(catalog, copy_facts=True)
     write(lake.path("raw", "orders") + "/newer.json", json.dumps({**ORDER, "order_id": "O10"}))
     run.refine("orders")
@@ -228,6 +235,130 @@ def test_a_failed_run_changes_nothing_and_a_good_one_everything(spark, lake, tmp
     assert left == done[-1:]
 
 
+def counts_by_name(spark, catalog):
+    """Rows of every published name, in one query."""
+    union = " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n FROM {catalog.name(n)}" for n in PUBLISHED)
+    return {r.name: r.n for r in spark.sql(union).collect()}
+
+
+def counts_by_path(spark, lake):
+    run = Run(spark, lake)
+    return {n: run.read(n).count() for n in PUBLISHED}
+
+
+def test_names_show_one_run_wherever_publishing_stops(spark, lake, tmp_path, monkeypatch):
+    catalog = Catalog(spark, prefix="kill_", location=str(tmp_path / "warehouse"))
+    run_pipeline(spark, lake.base, AS_OF, catalog=catalog)
+    old = counts_by_name(spark, catalog)
+    assert old == counts_by_path(spark, lake)
+    for table, more in (
+        ("orders", {**ORDER, "order_id": "O50"}),
+        ("returns", {"return_id": "R50", "order_id": "O50", "seller_id": "S57"}),
+        ("complaints", {"complaint_id": "C50", "seller_id": "S57", "severity": "high"}),
+        ("sellers", {"seller_id": "S1", "seller_name": "New", "verification_status": "unverified"}),
+    ):
+        write(lake.path("raw", table) + "/more.json", json.dumps(more))
+    run_pipeline(spark, lake.base, AS_OF)
+    new = counts_by_path(spark, lake)
+    assert all(new[n] > old[n] for n in PUBLISHED if n != "curated.fraud_patterns")
+
+    steps, sql, entry = [], Catalog._run, pointers.add_entry
+
+    class Killed(Exception):
+        pass
+
+    def stop_after(limit):
+        def step(work):
+            def counted(*args):
+                if len(steps) == limit:
+                    raise Killed
+                work(*args)
+                steps.append(args[-1])
+
+            return counted
+
+        steps.clear()
+        monkeypatch.setattr(Catalog, "_run", step(sql))
+        monkeypatch.setattr(pointers, "add_entry", step(entry))
+
+    for limit in range(100):
+        stop_after(limit)
+        try:
+            catalog.show_run(lake, PUBLISHED)
+            break
+        except Killed:
+            assert counts_by_name(spark, catalog) == old, f"after {limit} steps: {steps}"
+    assert limit > len(PUBLISHED) and counts_by_name(spark, catalog) == new
+
+
+def test_readers_stay_with_their_run(spark, lake, tmp_path):
+    catalog = Catalog(spark, prefix="pin_", location=str(tmp_path / "warehouse"))
+    with pytest.raises(LookupError):
+        catalog.pinned()
+    run_pipeline(spark, lake.base, AS_OF, catalog=catalog)
+    run, pinned = Run(spark, lake), catalog.pinned()
+    first = {n: run.read(n).count() for n in PUBLISHED[:1]}  # the run is resolved by its first read
+    write(lake.path("raw", "orders") + "/new.json", json.dumps({**ORDER, "order_id": "O51"}))
+    run_pipeline(spark, lake.base, AS_OF, catalog=catalog)
+    assert first and run.read("refined.orders").count() == 3 == counts_by_name(spark, pinned)["refined.orders"]
+    assert by_name.seller_profile(pinned, "S58").first().total_orders == 3
+    assert by_name.seller_profile(catalog, "S58").first().total_orders == 4
+    assert counts_by_name(spark, catalog) == counts_by_path(spark, lake) and pinned.table("refined.orders").count() == 3
+    with pytest.raises(TypeError):
+        pinned.show_run(lake, PUBLISHED)
+    # An older run can be shown again.
+    catalog.show_run(replace(lake, run=finished_runs(spark, lake)[0]), PUBLISHED)
+    assert counts_by_name(spark, catalog)["refined.orders"] == 3
+
+
+def test_reading_a_run_starts_no_job_for_the_pointer(spark, lake):
+    run_pipeline(spark, lake.base, AS_OF)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("pointer", "")
+    try:
+        Run(spark, lake).read("curated.seller_risk")
+        assert list(tracker.getJobIdsForGroup("pointer")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_old_runs_go_but_for_those_in_use(spark, lake, tmp_path):
+    catalog = Catalog(spark, prefix="keep_", location=str(tmp_path / "warehouse"))
+    run_pipeline(spark, lake.base, AS_OF, catalog=catalog)
+    shown = finished_runs(spark, lake)[0]
+    for _ in range(2):
+        run_pipeline(spark, lake.base, AS_OF)
+    every = finished_runs(spark, lake)
+    assert forget_runs(spark, lake, 1, timedelta(hours=1)) == []
+    assert forget_runs(spark, lake, 1, held=[catalog.shown_run()]) == every[1:2]
+    assert finished_runs(spark, lake) == [shown, every[-1]]
+    assert [os.path.isdir(lake.run_path(r)) for r in every] == [True, False, True]
+    assert counts_by_name(spark, catalog) == counts_by_path(spark, replace(lake, run=shown))
+    run_pipeline(spark, lake.base, AS_OF, catalog=catalog, keep_runs=1)
+    assert counts_by_name(spark, catalog) == counts_by_path(spark, lake) and len(finished_runs(spark, lake)) == 1
+    runs = spark.sql(f"SHOW PARTITIONS {catalog._runs('refined.orders')}").collect()
+    assert [r.partition for r in runs] == [f"run={catalog.shown_run()}"]
+
+
+def test_raw_names_answer_while_they_move_to_another_lake(spark, lake, tmp_path, monkeypatch):
+    catalog = Catalog(spark, prefix="rawmove_", location=str(tmp_path / "warehouse"))
+    catalog.register_raw(lake)
+    other = Lake(str(tmp_path / "other"))
+    write(other.path("raw", "sellers") + "/s.json", json.dumps({"seller_id": "S1"}))
+    counts, run = [], Catalog._run
+
+    def watched(self, statement):
+        run(self, statement)
+        counts.append(self.table("raw.sellers").count())
+
+    monkeypatch.setattr(Catalog, "_run", watched)
+    catalog.register_raw(other)
+    assert set(counts) == {2, 1} and counts == sorted(counts, reverse=True)
+    monkeypatch.undo()
+    catalog.register_raw(lake)
+    assert catalog.table("raw.sellers").count() == 2
+
+
 def test_a_name_with_other_columns_is_not_replaced(spark, lake, tmp_path):
     run_pipeline(spark, lake.base, AS_OF)
     catalog = Catalog(spark, prefix="other_", location=str(tmp_path / "warehouse"))

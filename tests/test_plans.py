@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from sellerlens.operators import ranking
 from sellerlens.operators.dedupe import latest_per_key
 from sellerlens.operators.metrics import seller_aggregates
 from sellerlens.plans import activity, investigate, reports
-from sellerlens.sources.files import Lake, read_table, write_table
-from __spark_entry__ import queries
+from sellerlens.sources.files import Lake, read_ranged, read_table, write_laid_out, write_table
+from sellerlens.checks.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,6 +54,51 @@ def test_seller_lookup_reaches_the_scan_with_few_columns(spark, tmp_path, table)
     assert f"ReadSchema: struct<{keys}>" in text
 
 
+def scanned_files(df) -> int:
+    df.collect()
+    nodes, found = [df._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            nodes.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+        metrics = node.metrics()
+        if metrics.contains("numFiles"):
+            found.append(metrics.apply("numFiles").value())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return sum(found)
+
+
+def test_seller_lookup_opens_few_files_though_one_seller_has_a_third(spark, tmp_path, table):
+    lake, files = Lake(str(tmp_path)), 200
+    hot = F.when(F.col("id") % 3 == 0, "S0").otherwise(F.concat(F.lit("S"), F.col("id") % 900))
+    rows = spark.range(30_000).select(
+        F.format_string("O%06d", F.col("id")).alias("order_id"), hot.alias("seller_id"), F.lit("C").alias("customer_id"),
+        F.lit(1.0).alias("amount"), F.lit(None).cast("timestamp").alias("event_ts"), F.lit("a").alias("status"),
+        F.lit("b").alias("category"),
+    )
+    write_laid_out(rows, lake, "refined", "orders", ("seller_id", "order_id"), files)
+    index = spark.read.parquet(lake.index_path("refined", "orders"))
+    assert index.count() > 190 and index.agg(F.sum("row_count")).first()[0] == 30_000
+    assert index.agg(F.max("row_count")).first()[0] < 30_000 / 50  # the hot seller is spread
+    for seller in ("S5", "S899", "S301"):
+        found = read_ranged(spark, lake, "refined", "orders", seller)
+        assert found.count() == rows.where(F.col("seller_id") == seller).count() > 0
+        assert scanned_files(found) <= 0.05 * files
+    assert read_ranged(spark, lake, "refined", "orders", "S0").count() == rows.where("seller_id = 'S0'").count()
+    assert read_ranged(spark, lake, "refined", "orders", "none").count() == 0
+    # Files that change take the index with them; without one the whole table is looked through.
+    write_table(rows.limit(10), lake, "refined", "orders")
+    assert read_ranged(spark, lake, "refined", "orders", "S0").count() == rows.limit(10).where("seller_id = 'S0'").count()
+
+
+def test_spikes_cut_a_seller_with_very_many_days(table):
+    text = plan(investigate.daily_spikes(table("refined.orders")))
+    assert re.search(r"Window \[collect_list.*\], \[seller_id#\d+, stretch#\d+L\]", text)
+
+
 def test_metrics_scan_no_id_columns(spark, tmp_path, table):
     lake = Lake(str(tmp_path))
     facts = []
@@ -72,9 +118,9 @@ def test_top_sellers_is_a_top_k(table):
     assert "TakeOrderedAndProject" in plan(investigate.top_sellers(table("curated.seller_risk")))
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_cross_join_no_python_no_single_task_window(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(all_queries()[name](spark, SF))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython"):
         assert unwanted not in text
     lines = text.splitlines()
