@@ -26,26 +26,28 @@ RULES = (
     ("block", "net/fr/"),
 )
 
-# The labelled URL table, fixed: names of sites that a reviewer would block, and would not. Every name
-# appears under the same prefixes and paths, so that the labels hang on names alone.
+# The labelled URL table is made of fixed words: what sites and pages that a reviewer would block are about, and others.
 BLOCKED = (
-    "cheap-pills viagra-shop pharma-deals pills-online diet-pills casino-win online-casino poker-slots "
-    "jackpot-casino win-big free-bets sport-bets bets-odds bet-bonus spam-farm link-farm seo-spam "
-    "content-farm ads-track adtrack track-pixel popup-ads click-ads adult-x xxx-adult adult-cams sex-cams "
-    "free-money payday-loans get-rich-fast replica-watches warez-crack keygen-serial phish-login"
+    "casino poker slots jackpot roulette blackjack bets betting bookmaker gambling lottery wager viagra cialis pills pharma "
+    "steroids slimming replica warez crack keygen serials torrent phishing malware spyware botnet spam seolinks "
+    "adware popup adserver adtrack clickbait porn xxx adult escort nude sexcam webcam fetish payday loans "
+    "forex getrich cashback freebies giveaway"
 ).split()
 ALLOWED = (
-    "library museum school weather university the-news-letter cooking garden music travel science hospital "
-    "city-council books theatre health forest history language therapy thunder station nation writer "
-    "newspaper encyclopedia teacher northern mother other thorn information question anthem method ether "
-    "there theory thread three thirst another weather-report brother leather heather rather gather farther "
-    "tin-whistle national international relations notions motion action lotion rations ocean nature culture "
-    "father further smith-and-sons earth-quakes southern thirteen thesis thermal healing hearing hereditary "
-    "winter-sports freedom-of-press farming-today tracking-birds online-lexicon winning-essays free-software "
-    "shop-for-tea address-book adventure adults-education xylophone betting-law-review pillow-maker"
+    "library museum school weather university newspaper cooking garden music travel science hospital "
+    "council books theatre health forest history language therapy station nation writer "
+    "encyclopedia teacher northern mother other information question method ether "
+    "theory thread three another leather rather father southern thesis hearing thunder "
+    "international relations notions motion action lotion rations ocean nature culture earth north "
+    "winter freedom farming birds lexicon essays software address adventure education xylophone law pillow "
+    "bibliothek schule zeitung wetter universite musee hopital jardin biblioteca escuela noticias tiempo "
+    "docs blog wiki forum contact about archive calendar research community"
 ).split()
-PREFIXES = ("", "www.", "blog.", "m.")
-PATHS = ("/", "/en/12", "/de/7.html", "/fr/33/", "/es/945?page=2", "/about", "/a/b/c")
+# Words that say nothing stand beside the others, and top-level labels on either side; few of them lean to one.
+NEUTRAL = "my best online world top the go net city first open live club new get".split()
+TOPS = "com net org info eu de fr es io example".split()
+BLOCKED_TOPS = "casino bet xxx porn win loan click top".split()
+ALLOWED_TOPS = "edu gov museum int".split()
 
 BUCKETS = 1 << 15
 MIN_GRAM, MAX_GRAM = 3, 5
@@ -67,7 +69,7 @@ def best_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> C
 
     A rule fits its host and every subdomain when the path begins with the rule's path.
     """
-    choice = F.lit(None)
+    choice = F.lit(None).cast("struct<rule:string,verdict:string>")
     ordered = sorted(rules, key=lambda r: (len(r[1]), r[1], r[0]))
     for verdict, rule in ordered:
         rule_host, slash, rest = rule.partition("/")
@@ -92,12 +94,8 @@ def _grams(text: Column, mark: str) -> Column:
 
 
 def _featured(df: DataFrame, host: Column, path: Column) -> DataFrame:
-    """``df`` with the hashed n-gram presence vector in ``_features``.
-
-    The top-level label says nothing about a page, so it is not part of the n-grams.
-    """
-    name = F.regexp_replace(host, r"(\.example)?\.[a-z0-9-]*$", "")
-    grams = df.withColumn("_grams", F.concat(_grams(name, "h"), _grams(ascii_lower(path), "p")))
+    """``df`` with the hashed n-gram presence vector of the whole host and path in ``_features``."""
+    grams = df.withColumn("_grams", F.concat(_grams(host, "h"), _grams(ascii_lower(path), "p")))
     hashing = HashingTF(
         inputCol="_grams", outputCol="_features", numFeatures=BUCKETS, binary=True
     )
@@ -105,27 +103,46 @@ def _featured(df: DataFrame, host: Column, path: Column) -> DataFrame:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The labelled table: each name with each prefix and path."""
-    rows = [(name, 1.0) for name in BLOCKED] + [(name, 0.0) for name in ALLOWED]
-    prefix = F.explode(F.array(*map(F.lit, PREFIXES))).alias("prefix")
-    path = F.explode(F.array(*map(F.lit, PATHS))).alias("path")
-    return (
-        spark.createDataFrame(rows, "name string, label double")
-        .select("*", prefix).select("*", path)
-        .select(F.concat(F.lit("http://"), "prefix", "name", F.lit(".test"), "path").alias("url"), "label")
-    )
+    """The labelled table of ``url`` and ``label``: each word in several hosts, and in paths of hosts that say nothing.
+
+    Either part decides: a blocked word in the path of any host is blocked, and so is any path of a
+    host with such a word. Hosts have plain paths of the same kinds on both sides.
+    """
+    rows = []
+    for label, words, tops in ((1.0, BLOCKED, BLOCKED_TOPS), (0.0, ALLOWED, ALLOWED_TOPS)):
+        for i, word in enumerate(words):
+            one, two, three = (NEUTRAL[(i + k) % len(NEUTRAL)] for k in (0, 5, 9))
+            top, other, leaning = TOPS[i % len(TOPS)], TOPS[(i + 3) % len(TOPS)], tops[i % len(tops)]
+            mate = words[(i + 7) % len(words)]
+            rows += [
+                (f"http://www.{word}.{top}/", label), (f"https://{word}-{one}.{other}/en/{17 * i}.html", label),
+                (f"https://{two}{word}.{top}/a/{i}/", label), (f"http://{word}{i}.{leaning}/index?page={i}", label),
+                (f"http://blog.{mate}{word}.{other}/de/{i}/", label),
+                (f"https://www.{three}{one}.{top}/{word}/{two}-{i}.html", label),
+                (f"http://{two}.{other}/{one}/{mate}-{word}/", label),
+            ]
+    # Hosts and paths that say nothing, and short ones.
+    for i, (one, two) in enumerate((a, b) for a in NEUTRAL for b in NEUTRAL if a != b):
+        top = TOPS[i % len(TOPS)]
+        rows.append((f"http://{('www.', 'm.', 'blog.', '')[i % 4]}{one}{two}.{top}/{('en', 'de', 'fr', 'es')[i % 4]}/{31 * i}", 0.0))
+    return spark.createDataFrame(rows, "url string, label double")
 
 
 def train(labelled: DataFrame) -> LogisticRegressionModel:
-    """The model for a table of ``url`` and ``label``; rows without a label are left out."""
+    """The model for a table of ``url`` and ``label``; rows without a label are left out.
+
+    Both labels weigh the same, however many rows they have.
+    """
     host, path = url_parts(F.col("url"))
-    learn = _featured(
-        labelled.filter("label IS NOT NULL")
-        .select(F.col("label").cast("double").alias("_label"), host.alias("_h"), path.alias("_p")),
-        F.col("_h"), F.col("_p"),
+    rows = labelled.filter("label IS NOT NULL").select(
+        F.col("label").cast("double").alias("_label"), host.alias("_h"), path.alias("_p")
     )
+    blocked = rows.agg(F.avg("_label")).first()[0] or 0.5
+    share = F.when(F.col("_label") == 1, F.lit(blocked)).otherwise(F.lit(1 - blocked))
+    learn = _featured(rows, F.col("_h"), F.col("_p")).withColumn("_weight", 0.5 / share)
     return LogisticRegression(
-        featuresCol="_features", labelCol="_label", regParam=0.01, maxIter=60, standardization=False,
+        featuresCol="_features", labelCol="_label", weightCol="_weight", regParam=0.001, maxIter=60,
+        standardization=False,
     ).fit(learn.coalesce(1))
 
 
