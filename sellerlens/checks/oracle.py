@@ -6,7 +6,9 @@ curated tables in CTEs and reads the one it needs.
 
 from __future__ import annotations
 
-from sellerlens.checks.registry import SELLER
+import hashlib
+
+from sellerlens.checks.registry import MASK_KEYS, SELLER
 from sellerlens.schemas import RAW_TABLES
 
 _RAW = """
@@ -217,6 +219,14 @@ _PUBLISHED = {
 }
 
 
+def _hmac(text: str, secret: str) -> str:
+    """HMAC-SHA256 by its definition, in SQL."""
+    key = secret.encode()
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = ("'" + "".join(f"\\x{b ^ pad:02X}" for b in key) + "'::BLOB" for pad in (0x36, 0x5C))
+    return f"sha256({outer} || unhex(sha256({inner} || encode({text}))))"
+
+
 def _counts(named: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cte}"
@@ -608,6 +618,14 @@ def all_sql() -> dict[str, str]:
         "quality_report": _refined(
             " UNION ALL ".join(_quality(*spec) for spec in _QUALITY.values())
         ),
+        "duplicates_across_runs": f"WITH {_RAW}{_CORRECTED} "
+        "SELECT 'refined.orders' AS table_name, count(*) AS total_rows, "
+        "count(*) - count(DISTINCT order_id) - CAST(count(*) > count(order_id) AS BIGINT) AS duplicate_rows, "
+        "true AS estimate_within_bound FROM typed_orders",
+        "rekeyed_customers": _refined(
+            f"""SELECT {_hmac("customer_id", MASK_KEYS[1][1])} AS customer_id_masked, '{MASK_KEYS[1][0]}' AS mask_key_id,
+            count(*) AS total_orders, round(sum(amount), 4) AS total_amount FROM ref_orders GROUP BY customer_id"""
+        ),
         "mask_customers": _refined(
             """SELECT order_id, seller_id, amount, event_ts, status, category,
             sha256(customer_id) AS customer_id_masked FROM ref_orders"""

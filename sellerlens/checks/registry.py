@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sellerlens.checks.marts import Marts, marts
-from sellerlens.operators import fraud, metrics, normalize, quality, rejects, roles, scoring
+from sellerlens.operators import fraud, metrics, normalize, quality, rejects, rekey, roles, scoring
 from sellerlens.plans import activity, by_name, governance, history, investigate, pipeline, reports
 from sellerlens.schemas import RAW_TABLES
 from sellerlens.sources.catalog import Catalog
@@ -40,6 +40,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The seller of the point look-ups; every scale factor has it.
 SELLER = "S5"
 
+# Names and secrets of two keys for masked ids, for comparable output only.
+MASK_KEYS = (("2001", "a secret that is no secret"), ("2002", "another one, " + "longer than a block of the hash " * 2))
+
 _registry: dict[str, Callable[[Marts], DataFrame]] = {}
 
 
@@ -594,6 +597,35 @@ def access_report(m: Marts) -> DataFrame:
     return governance.access_report(named)
 
 
+@query
+def duplicates_across_runs(m: Marts) -> DataFrame:
+    """Duplicates over three runs: counted, and whether the estimate from the runs' merged sketches is as near as it says."""
+    typed = normalize.typed_orders(_corrected_orders(m))
+    part = F.pmod(F.xxhash64(*typed.columns), F.lit(3))
+    runs = [quality.key_sketch(typed.filter(part == i), "refined.orders", "order_id") for i in range(3)]
+    kept = reduce(DataFrame.unionByName, runs)
+    exact = quality.quality_orders(typed).select("table_name", "total_rows", "duplicate_rows")
+    estimate = quality.merged_duplicates(kept).drop("total_rows")
+    off = F.abs(F.col("duplicate_estimate") - F.col("duplicate_rows"))
+    return exact.join(estimate, "table_name").select(
+        "table_name", "total_rows", "duplicate_rows", (off <= F.col("error_bound")).alias("estimate_within_bound")
+    )
+
+
+@query
+def rekeyed_customers(m: Marts) -> DataFrame:
+    """Orders masked under two keys, one of them on its way out: customers are whole again under the new one."""
+    orders = m.table("refined.orders")
+    early = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
+    old, new = (rekey.MaskKey(i, s.encode()) for i, s in MASK_KEYS)
+    both = rekey.mask_with_key(orders.filter(early), old).unionByName(rekey.mask_with_key(orders.filter(~early), new))
+    moved = rekey.rekeyed(both, rekey.rekey_map(orders, old, new), new.key_id)
+    counted = moved.groupBy("customer_id_masked", "mask_key_id").agg(
+        F.count("*").alias("total_orders"), F.sum("amount").alias("total_amount")
+    )
+    return rounded(counted, "total_amount")
+
+
 # --- pipelines ----------------------------------------------------------------------------
 
 

@@ -1,6 +1,7 @@
 from sellerlens.functions.columns import (
     as_of_column,
     cleaned,
+    keyed_mask,
     masked,
     masked_prefix,
     open_interval,
@@ -24,6 +25,7 @@ __all__ = [
     "as_of_column",
     "cleaned",
     "complaint_colour",
+    "keyed_mask",
     "label_background",
     "label_colour",
     "label_text_colour",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date, datetime
 
 from pyspark.sql import Column
@@ -64,3 +65,15 @@ def masked(c: Column | str, salt: str | None = None) -> Column:
 
 def masked_prefix(c: Column | str, length: int = 8, salt: str | None = None) -> Column:
     return F.substring(masked(c, salt), 1, length)
+
+
+def keyed_mask(c: Column | str, secret: bytes) -> Column:
+    """HMAC-SHA256 of the text as hex digits; null stays null.
+
+    Unlike a salted digest it says nothing without the secret, which stands in the query's plan: keep plans
+    and event logs where the secret may be.
+    """
+    key = (hashlib.sha256(secret).digest() if len(secret) > 64 else secret).ljust(64, b"\0")
+    inner, outer = (F.lit(bytearray(b ^ pad for b in key)) for pad in (0x36, 0x5C))
+    digest = F.sha2(F.concat(inner, F.encode(_col(c), "UTF-8")), 256)
+    return F.sha2(F.concat(outer, F.unhex(digest)), 256)

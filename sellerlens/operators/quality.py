@@ -44,3 +44,39 @@ def quality_returns(returns: DataFrame) -> DataFrame:
 def quality_complaints(complaints: DataFrame) -> DataFrame:
     missing = F.col("complaint_id").isNull() | F.col("seller_id").isNull()
     return quality(complaints, "refined.complaints", "complaint_id", missing)
+
+
+# Base-2 logarithm of a sketch's registers: 16,384 of them, about 16 kB a run and table.
+SKETCH_LG = 14
+# Four standard errors of an estimate from merged sketches.
+SKETCH_ERROR = 4 * 1.04 / 2 ** (SKETCH_LG / 2)
+
+
+def key_sketch(df: DataFrame, table: str, key: str) -> DataFrame:
+    """One row to keep from a run: its rows, those without a key, and a sketch of its different keys.
+
+    Sketches of several runs merge into that of all their rows, so that duplicates across runs are
+    estimated without reading any run again.
+    """
+    return df.agg(
+        F.count("*").alias("total_rows"),
+        F.count_if(F.col(key).isNull()).alias("null_rows"),
+        F.hll_sketch_agg(key, SKETCH_LG).alias("sketch"),
+    ).select(F.lit(table).alias("table_name"), "total_rows", "null_rows", "sketch")
+
+
+def merged_duplicates(sketches: DataFrame) -> DataFrame:
+    """Rows and estimated duplicates per table over the runs that ``sketches`` has a row of.
+
+    ``error_bound`` is how far the estimate may be off (four standard errors). Rows without a key count as copies of one another,
+    as in ``quality``.
+    """
+    merged = sketches.groupBy("table_name").agg(
+        F.sum("total_rows").alias("total_rows"), F.sum("null_rows").alias("null_rows"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("keys"),
+    )
+    different = F.col("keys") + F.when(F.col("null_rows") > 0, 1).otherwise(0)
+    return merged.select(
+        "table_name", "total_rows", F.greatest(F.col("total_rows") - different, F.lit(0)).alias("duplicate_estimate"),
+        F.ceil(F.col("keys") * SKETCH_ERROR).alias("error_bound"),
+    )
