@@ -1,7 +1,7 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
 A block matches a template when it holds at least THRESHOLD of the template's different words, or all
-of a short template's.
+of a short template's, close together.
 Words are ordered by how many documents have them, rare ones first, counted over all documents.
 A match of at least ``need`` of a template's n words has one of the first n - need + 1 in that
 order, so only those are indexed (prefix filter); blocks with too few words are passed over (length
@@ -46,8 +46,8 @@ TEMPLATES = (
     ("reserved", "copyright all rights reserved"),
 )
 THRESHOLD = 0.8
-# Shorter templates hang on single words and have to be there as a whole.
-SHORT_TEMPLATE = 12
+# Templates of fewer words hang on single ones: they have to be there as a whole, with so many others between at most.
+SHORT_TEMPLATE, SHORT_SLACK = 12, 3
 # A line is a block, and so are all lines as one, because a hard-wrapped notice goes over several; more words
 # are cut into windows of so many, half overlapping. A notice of half a window, which is
 # longer than any template by half, is in one window as a whole wherever it starts.
@@ -89,6 +89,17 @@ def base_places(words: list[bytes], present: set[bytes]) -> list[tuple[int, str]
     return found
 
 
+def close_together(words: list[bytes], wanted: set[bytes], span: int) -> bool:
+    """Whether some ``span`` words in a row hold all that are wanted, in any order."""
+    last: dict[bytes, int] = {}
+    for at, word in enumerate(words):
+        if word in wanted:
+            last[word] = at
+            if len(last) == len(wanted) and at - min(last.values()) < span:
+                return True
+    return False
+
+
 class TemplateIndex:
     """Templates in the order of word frequency, with the index over their prefixes."""
 
@@ -97,9 +108,14 @@ class TemplateIndex:
         order = sorted(set().union(*sets), key=lambda w: (frequency.get(w, 0), w))
         self.place = {w: i for i, w in enumerate(order)}
         self.labels = [label for label, _ in templates]
+        # How many words in a row a short template may take up.
+        self.short = {
+            t: (words, len(_WORD.findall(text.encode().lower())) + SHORT_SLACK)
+            for t, (words, (_, text)) in enumerate(zip(sets, templates, strict=True)) if len(words) < SHORT_TEMPLATE
+        }
         self.words = [sorted(self.place[w] for w in s) for s in sets]
         self.need = [
-            math.ceil(threshold * len(s) - 1e-9) if len(s) >= SHORT_TEMPLATE else len(s) for s in sets
+            math.ceil(threshold * len(s) - 1e-9) if t not in self.short else len(s) for t, s in enumerate(sets)
         ]
         self.prefix: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, (words, need) in enumerate(zip(self.words, self.need, strict=True)):
@@ -121,7 +137,7 @@ class TemplateIndex:
                     continue
                 seen.add(t)
                 common = 1 + len(set(words[position + 1 :]).intersection(mine[i + 1 :]))
-                if common >= need:
+                if common >= need and (t not in self.short or close_together(block, *self.short[t])):
                     found[t] = common / len(words)
         return found
 

@@ -362,9 +362,16 @@ def test_packed_documents(untidy, nothing):
 # --- licenses ---------------------------------------------------------------------------------
 
 
+def together(words, wanted, count):
+    """A short template's words have to stand within its length and the slack."""
+    span = count + license_scan.SHORT_SLACK
+    return any(wanted <= set(words[i : i + span]) for i in range(max(1, len(words) - span + 1)))
+
+
 def test_licenses_by_definition():
     index = license_scan.TemplateIndex({})
-    sets = [set(re.findall(rb"[0-9a-z\x80-\xff]+", t.encode().lower())) for _, t in license_scan.TEMPLATES]
+    lists = [re.findall(rb"[0-9a-z\x80-\xff]+", t.encode().lower()) for _, t in license_scan.TEMPLATES]
+    sets = list(map(set, lists))
     rng = random.Random(1)
     pool = sorted(set().union(*sets)) + [b"noise%d" % i for i in range(10)]
     for _ in range(3_000):
@@ -373,11 +380,24 @@ def test_licenses_by_definition():
         rng.shuffle(block)
         want = {}
         for i, (s, need) in enumerate(zip(sets, index.need, strict=True)):
-            if len(s & set(block)) >= need:
+            near = len(s) >= license_scan.SHORT_TEMPLATE or together(block, s, len(lists[i]))
+            if len(s & set(block)) >= need and near:
                 want[i] = len(s & set(block)) / len(s)
         assert index.matches(block) == want
 
 
+def test_words_of_short_templates_far_apart_are_no_notice():
+    index = license_scan.TemplateIndex({})
+    for text in (
+        "The license of this club is issued under the city rules; the MIT alumni licensed it",
+        "all human rights must be reserved, says the copyright office",
+        "licensed plumbers under the bridge told the MIT students that no license is needed",
+    ):
+        assert license_scan.scan_text(text, index)[5:] == ("", 0.0)
+    for text in ("Licensed under the terms of the MIT License.", "Copyright (c) 2020 X. All rights\nreserved."):
+        assert license_scan.scan_text(text, index)[6] == 1.0
+
+
 NOTICES = {
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
            "associated documentation files (the \"Software\"), to deal in the Software without restriction",
@@ -393,7 +413,7 @@ NOTICES = {
 @pytest.mark.parametrize("label", NOTICES)
 def test_wrapped_notices_at_every_offset(label):
     index = license_scan.TemplateIndex({})
-    templates = [(x, set(re.findall(r"[0-9a-z]+", t.lower()))) for x, t in license_scan.TEMPLATES]
+    templates = [(x, re.findall(r"[0-9a-z]+", t.lower())) for x, t in license_scan.TEMPLATES]
     notice = textwrap.wrap(NOTICES[label], 60)
     assert len(notice) > 1 and label in license_scan.scan_text("\n".join(notice), index)[5].split(",")
     stretch = license_scan.BLOCK_WORDS // 2
@@ -404,7 +424,8 @@ def test_wrapped_notices_at_every_offset(label):
         places = [set(words[i : i + stretch]) for i in range(len(words) - stretch + 1)]
         want = {
             x for x, t in templates
-            if max(len(t & p) for p in places) >= (math.ceil(0.8 * len(t) - 1e-9) if len(t) >= 12 else len(t))
+            if (max(len(set(t) & p) for p in places) >= math.ceil(0.8 * len(set(t)) - 1e-9) if len(set(t)) >= 12
+                else together(words, set(t), len(t)))
         }
         got = license_scan.scan_text(text, index)
         assert label in want <= set(got[5].split(",")), before
