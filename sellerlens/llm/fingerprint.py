@@ -204,7 +204,8 @@ def _with_next(docs: DataFrame) -> DataFrame:
     return (
         placed.select("doc_id", "text", F.explode(copies).alias("to"))
         .select("to.block", "doc_id", "text", "to.last")
-        .repartition(parts, "block")
+        # A partition each: hashed numbers would put several into one.
+        .repartitionById(parts, F.col("block"))
         .sortWithinPartitions("block", "last", F.col("doc_id").desc_nulls_last(), "text")
     )
 
