@@ -530,3 +530,44 @@ def test_forgetting_terms_changes_nothing(monkeypatch):
     monkeypatch.setattr(fingerprint, "_BLOCK", 7)
     small = fingerprint.Sampler()
     assert [small.fingerprint(t) for t in texts] == want
+
+
+def test_out_of_place_distance_by_definition():
+    """Every n-gram, rank, distance, tie and score once more, in plain Python."""
+    rng = random.Random(21)
+
+    def grams(text):
+        gapped = "\x01" + re.sub("\x01+", "\x01", "".join(c if c.isalpha() else "\x01" for c in text.lower())).strip("\x01") + "\x01"
+        counts = Counter(gapped[i : i + n] for n in (1, 2, 3) for i in range(len(gapped) - n + 1))
+        del counts["\x01"]
+        return counts
+
+    def ranked(counts):
+        def code(gram):
+            number = 0
+            for c in gram:
+                number = number << 21 | ord(c)
+            return number
+
+        return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], code(x[0])))[: lang_id.PROFILE]]
+
+    def words(alphabet, count):
+        return " ".join("".join(rng.choices(alphabet, k=rng.randint(1, 7))) for _ in range(count))
+
+    alphabets = {"aa": "etaoinshr", "bb": "enisratdü", "cc": "етаоинср", "dd": "etaoinshr"}
+    learned = {lang: words(a, 900) for lang, a in alphabets.items() if lang != "dd"}
+    learned["dd"] = learned["aa"]  # a tie: the first in alphabetical order wins
+    lists = {lang: ranked(grams(text)) for lang, text in learned.items()}
+    profiles = lang_id.Profiles({x: lang_id.ranked_codes(*lang_id.ngram_counts(t)) for x, t in learned.items()})
+    texts = [words(rng.choice(list(alphabets.values())), rng.randint(1, 300)) for _ in range(120)]
+    texts += ["a", "ü", "Ж", "zzz qqq", "x " * 500, "Е" * 50 + "e", "I'm 3 o'clock"]
+    for text in texts:
+        mine = ranked(grams(text))
+        distance = {}
+        for lang, profile in lists.items():
+            place = {g: i for i, g in enumerate(profile)}
+            distance[lang] = sum(abs(place[g] - i) if g in place else lang_id.PROFILE for i, g in enumerate(mine))
+        best = min(sorted(distance), key=distance.get)
+        lang, score = profiles.predict(text)
+        assert lang == best != "dd" and score == pytest.approx(1 - distance[best] / (lang_id.PROFILE * len(mine)))
+    assert profiles.predict(" 12 !") == (lang_id.UNKNOWN, 0.0)
