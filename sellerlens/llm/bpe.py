@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -36,6 +37,11 @@ LONG_WORD = 200
 
 _NEVER = 1 << 60
 
+# Texts of ASCII and small Latin-1 letters need no Unicode properties: the standard library's expressions, which
+# know none, split them the same way and faster. The four separators 1C to 1F are white space to one of the two only.
+_LETTERS = "A-Za-z\u00df-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(f"[^\\x00-\\x1b\\x20-\\x7f{_LETTERS}]")
+
 
 def _byte_letters() -> list[str]:
     """The printable stand-in of each byte: itself where printable, else the next free one from 256."""
@@ -58,7 +64,10 @@ class WordBpe:
         self.names.update({i: t for t, i in self.special.items()})
         self.letters = _byte_letters()
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"], regex.V1)
+        pattern = split["pattern"]["Regex"]
+        self.words = regex.compile(pattern, regex.V1)
+        plain = pattern.replace(r"\p{L}", _LETTERS).replace(r"\p{N}", "0-9")
+        self.plain_words = None if r"\p" in plain else re.compile(plain)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
 
         size = max(self.names) + 1
@@ -231,12 +240,17 @@ class WordBpe:
     def split(self, text: str) -> list[str]:
         """Words and special tokens of a text; the latter are found before anything else."""
         if "<|" not in text or not self.marks.search(text):
-            return self.words.findall(self.normal(text))
+            return self.words_of(self.normal(text))
         found = []
         for piece in self.marks.split(text):
-            found += [piece] if piece in self.special else self.words.findall(self.normal(piece))
+            found += [piece] if piece in self.special else self.words_of(self.normal(piece))
         return found
 
+    def words_of(self, normal: str) -> list[str]:
+        if self.plain_words is not None and not _PLAIN.search(normal):
+            return self.plain_words.findall(normal)
+        return self.words.findall(normal)
+
     def decode(self, ids: list[int]) -> str:
         """Without a decoder in the file, tokens are written as they are, one space apart."""
         return " ".join(self.names[i] for i in ids)

@@ -251,6 +251,19 @@ def test_word_bpe_equals_the_library():
     assert mine.digest_batch(texts) == [digests(t) for t in texts]
 
 
+def test_plain_texts_are_split_as_by_unicode_properties():
+    mine = bpe.WordBpe(public_tokenizers.path(bpe.VOCABULARY))
+    rng = random.Random(8)
+    chars = [chr(c) for c in [*range(0x20), *range(0x20, 0x100)]] + list("abcäöü'stld 0123  \n") * 12
+    assert mine.plain_words is not None
+    plain = 0
+    for _ in range(20_000):
+        text = mine.normal("".join(rng.choices(chars, k=rng.randint(0, 12))))
+        plain += not bpe._PLAIN.search(text)
+        assert mine.words_of(text) == mine.words.findall(text)
+    assert plain > 5_000
+
+
 def test_accepted_guesses_equal_exact_merging():
     mine = bpe.WordBpe(public_tokenizers.path(bpe.VOCABULARY))
     rng = random.Random(3)
