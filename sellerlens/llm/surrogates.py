@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sellerlens.llm.common import read
@@ -336,23 +336,41 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 def entities_of(hit: DataFrame) -> DataFrame:
     """(text_key, place, kind, surface, canon) of every entity in ``body``, once for equal texts.
 
-    Places count the entities of a text from 0. A mention takes the kind that its name has where it stands behind a title
-    first; one that is no name of its text, and what only looked like a card, has no kind.
+    Places count the odd parts of a text from 0. A mention takes the kind that its name has where it stands behind a title
+    first; one that is no name of its text, and what only looked like a card, is left out.
     """
-    texts = _once(hit.select(F.sha2("body", 256).alias("text_key"), "body"), parts_of(F.col("body")), "parts")
+    # Equal texts meet before they are taken apart, and the parts of a text stay where it is: the window adds no shuffle.
+    once = hit.groupBy(F.sha2("body", 256).alias("text_key")).agg(F.first("body").alias("body"))
+    texts = _once(once, parts_of(F.col("body")), "parts")
     odd = F.filter("parts", lambda p, i: i % 2 == 1)
-    each = texts.select("text_key", F.posexplode(odd).alias("place", "part"))
-    found = materialize(
-        _once(each, entity_of(F.col("part")), "e").select("text_key", "place", "e.*").distinct(), "entities-found"
+    each = _once(
+        texts.select("text_key", F.posexplode(odd).alias("place", "part")), entity_of(F.col("part")), "e"
+    ).select("text_key", "place", "e.*")
+    titled = F.when(F.col("kind").isin("given_m", "given_f", "surname"), F.struct("place", F.col("kind").alias("of")))
+    named = F.min(titled).over(Window.partitionBy("text_key", "canon"))["of"]
+    return each.withColumn("kind", F.when(F.col("kind") == MENTION, named).otherwise(F.col("kind"))).filter(
+        "kind IS NOT NULL"
     )
-    names = (
-        found.filter(F.col("kind").isin("given_m", "given_f", "surname"))
-        .groupBy("text_key", "canon").agg(F.min_by("kind", "place").alias("named"))
-        .withColumn("kind", F.lit(MENTION))
-    )
-    kind = F.when(F.col("kind") == MENTION, F.col("named")).otherwise(F.col("kind"))
-    return found.join(names, ["text_key", "canon", "kind"], "left").select(
-        "text_key", "place", kind.alias("kind"), "surface", "canon"
+
+
+def _own_parts(parts: Column) -> Column:
+    """The parts as they stand in the text."""
+    return F.transform(parts, lambda p: _own(F.replace(p, F.lit(_BETWEEN), F.lit(""))))
+
+
+def _filled(parts: str, entities: Column) -> Column:
+    """The text of ``parts`` with what is ``written`` at the places of ``entities``, which are sorted."""
+
+    def upto(entity: Column, k: Column) -> Column:
+        """What stands before an entity and behind the one before it. Place p is part 2 * p + 2, counted from 1."""
+        start = F.when(k == 0, 1).otherwise(2 * F.get(entities, k - 1)["place"] + 3)
+        between = F.slice(parts, start, 2 * entity["place"] + 2 - start)
+        return F.concat(F.array_join(between, ""), entity["written"])
+
+    last = 2 * F.element_at(entities, -1)["place"] + 3
+    rest = F.array_join(F.slice(parts, last, F.size(parts) - last + 1), "")
+    return F.when(entities.isNotNull(), F.concat(F.array_join(F.transform(entities, upto), ""), rest)).otherwise(
+        F.array_join(parts, "")
     )
 
 
@@ -368,26 +386,19 @@ def replace_entities(docs: DataFrame, key: str, count: str | None = None) -> Dat
     packed = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), F.col("text").alias("body"))
     hit = packed.filter(has_entity(F.col("body")))
     found = materialize(entities_of(hit), "entities")
-    known = found.filter("kind IS NOT NULL").select("kind", "canon").distinct()
-    given = assign(materialize(known, "entities-distinct"), key)
-    written = F.coalesce(
-        F.when(F.col("surrogate").isNotNull(), render(F.col("kind"), F.col("surface"), F.col("surrogate"))),
-        F.col("surface"),
-    )
+    given = assign(materialize(found.select("kind", "canon").distinct(), "entities-distinct"), key)
+    written = render(F.col("kind"), F.col("surface"), F.col("surrogate"))
     # As many as a text has entities, each at its place.
     by_text = (
-        found.join(given, ["kind", "canon"], "left")
-        .select("text_key", "place", written.alias("written"), F.col("surrogate").isNotNull().alias("new"))
-        .groupBy("text_key").agg(
-            F.sort_array(F.collect_list(F.struct("place", "written"))).alias("entities"), F.count_if("new").alias("n")
-        )
+        found.join(given, ["kind", "canon"]).select("text_key", F.struct("place", written.alias("written")).alias("e"))
+        .groupBy("text_key").agg(F.sort_array(F.collect_list("e")).alias("entities"))
+    )
+    texts = hit.withColumn("text_key", F.sha2("body", 256)).join(by_text, "text_key", "left")
+    texts = _once(texts, _own_parts(parts_of(F.col("body"))), "own")
+    changed = texts.select(
+        "row", _filled("own", F.col("entities")).alias("new"),
+        F.coalesce(F.size("entities"), F.lit(0)).cast("long").alias("n"),
     )
-    texts = _once(hit, F.sha2("body", 256), "text_key").join(by_text, "text_key", "left")
-    texts = _once(texts, F.filter(parts_of(F.col("body")), lambda p, i: i % 2 == 0), "between")
-    filled = F.transform("between", lambda p, i: F.concat(
-        _own(p), F.coalesce(F.get("entities", i)["written"], F.lit(""))
-    ))
-    changed = texts.select("row", F.array_join(filled, "").alias("new"), F.coalesce("n", F.lit(0)).alias("n"))
     same = packed.filter(~has_entity(F.col("body"))).select(
         "row", F.col("body").alias("new"), F.lit(0).cast("long").alias("n")
     )
