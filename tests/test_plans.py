@@ -99,6 +99,13 @@ def test_spikes_cut_a_seller_with_very_many_days(table):
     assert re.search(r"Window \[collect_list.*\], \[seller_id#\d+, stretch#\d+L\]", text)
 
 
+def test_spikes_are_judged_once(table):
+    """No sort of a day's counts inside the loop over them, and only spikes are looked at for the ranges of the last sort."""
+    text = plan(investigate.daily_spikes(table("refined.orders")))
+    assert "array_sort" not in text and text.count("collect_list") < 12
+    assert re.search(r"Exchange hashpartitioning\(order_date#\d+, \d+\), REPARTITION_BY_COL", text)
+
+
 def test_metrics_scan_no_id_columns(spark, tmp_path, table):
     lake = Lake(str(tmp_path))
     facts = []
