@@ -4,8 +4,8 @@ The rows of a conversation are collected and sorted, neighbouring rows of one ro
 its marks and texts are concatenated. What looks like a mark inside a text gets a backslash behind its
 first character, one more if it has some already, so reading back takes away exactly one.
 
-A conversation of very many rows or characters is formatted in segments of bounded size; a turn on
-their border is closed and opened again.
+A conversation of very many rows or characters is formatted in segments of bounded size. They are cut between
+messages, inside a turn too, and put one after the other they are the text of the whole conversation, wherever the cuts are.
 """
 
 from __future__ import annotations
@@ -141,7 +141,8 @@ def _clean(conversations: DataFrame) -> DataFrame:
 
 
 def _segments(rows: DataFrame, segment_rows: int, segment_chars: int) -> DataFrame:
-    """``rows`` with block and part: the segments of each conversation, in their order.
+    """``rows`` with block and part: the segments of each conversation, in their order, and with inside and
+    open: the role of the turn that a segment begins inside of, if it does, and whether its last turn goes on behind it.
 
     Conversations that need several are numbered by a range sort, which cuts them between tasks wherever
     they are long; the rest is one segment each.
@@ -154,7 +155,8 @@ def _segments(rows: DataFrame, segment_rows: int, segment_chars: int) -> DataFra
     )
     same = F.col("conv_id").eqNullSafe(F.col("_large"))
     whole = rows.join(large, same, "left_anti").select(
-        "*", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("part")
+        "*", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("part"),
+        F.lit(None).cast("string").alias("inside"), F.lit(False).alias("open"),
     )
     if large.isEmpty():
         return whole
@@ -167,48 +169,68 @@ def _segments(rows: DataFrame, segment_rows: int, segment_chars: int) -> DataFra
     cut = places.withColumn("block", block).withColumn(
         "part", F.call_function("div", chars, F.lit(max(1, segment_chars)))
     )
-    return whole.unionByName(cut.select(whole.columns))
+    return whole.unionByName(_with_borders(cut).select(whole.columns))
+
+
+def _with_borders(cut: DataFrame) -> DataFrame:
+    """Numbered rows in segments with the roles on their borders, from a table of one row a segment."""
+    key = ("conv_id", "block", "part")
+    order = Window.partitionBy("conv_id").orderBy("block", "part")
+    ends = cut.groupBy(*key).agg(F.min_by("role", "_rank").alias("first"), F.max_by("role", "_rank").alias("last"))
+    borders = ends.select(
+        *[F.col(c).alias(f"_{c}") for c in key],
+        F.when(F.lag("last").over(order) == F.col("first"), F.col("first")).alias("inside"),
+        F.coalesce(F.lead("first").over(order) == F.col("last"), F.lit(False)).alias("open"),
+    )
+    return cut.join(borders, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]))
 
 
 def format_chats(
     conversations: DataFrame, template: Template = DEFAULT,
     segment_rows: int = SEGMENT_ROWS, segment_chars: int = SEGMENT_CHARS,
 ) -> DataFrame:
-    """(conv_id, block, part, formatted, loss_spans): each conversation's segments.
+    """(conv_id, block, part, inside, formatted, loss_spans): each conversation's segments.
 
+    ``formatted`` of a conversation's segments, by block and part, joined with nothing between is its text, which
+    ``segment_rows`` and ``segment_chars`` do not change. ``inside`` is the role of the turn that a segment goes on with, null
+    if it begins with a turn's mark.
     ``loss_spans`` holds (start, end) of every text of the learned role in ``formatted``, in code points. Rows go by
     turn, then role and text, null turns first; repeated rows are messages of their own. Null roles and texts count
     as empty. Rows without ``conv_id`` are one conversation. An empty table gives an empty result; other
     columns are not looked at.
     """
     rows = _segments(_clean(conversations), segment_rows, segment_chars)
-    collected = rows.groupBy("conv_id", "block", "part").agg(
+    collected = rows.groupBy("conv_id", "block", "part", "inside", "open").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("rows")
     )
-    pieces = collected.select(
-        "conv_id", "block", "part", pieces_of(merged_turns(F.col("rows")), template).alias("pieces")
+    every = pieces_of(merged_turns(F.col("rows")), template)
+    # A turn that goes on has its mark and role in the segment before, its end mark in one behind.
+    before, behind = F.when(F.col("inside").isNotNull(), 2).otherwise(0), F.when(F.col("open"), 1).otherwise(0)
+    pieces = collected.select("*", every.alias("every")).select(
+        "conv_id", "block", "part", "inside", F.slice("every", before + 1, F.size("every") - before - behind).alias("pieces")
     )
     return pieces.select(
-        "conv_id", "block", "part",
+        "conv_id", "block", "part", "inside",
         _glued(F.transform("pieces", lambda p: p["text"])).alias("formatted"),
         learned_spans(F.col("pieces")).alias("loss_spans"),
     )
 
 
-def messages_in(formatted: Column, template: Template = DEFAULT) -> Column:
-    """The messages (role, text) of a formatted text, unescaped."""
+def messages_in(formatted: Column, template: Template = DEFAULT, inside: Column | None = None) -> Column:
+    """The messages (role, text) of a formatted text, unescaped; ``inside`` is the role of a turn it begins inside of."""
 
     def parts(text: Column, mark: str) -> Column:
-        """What stands before each ``mark``."""
-        found = F.split(text, re.escape(mark), -1)
-        return F.slice(found, F.lit(1), F.size(found) - 1)
+        """What stands before each ``mark``, and behind the last one."""
+        return F.split(text, re.escape(mark), -1)
 
     def messages(turn: Column) -> Column:
-        body = F.substr(turn, F.lit(len(template.turn) + 1))
+        # Without its own mark a turn begins with a message: one opened in an earlier segment.
+        own = F.startswith(turn, F.lit(template.turn))
+        body = F.when(own, F.substr(turn, F.lit(len(template.turn) + 1))).otherwise(turn)
         opened = F.split(body, re.escape(template.message), 2)
-        role = template.unescape(opened[0])
-        rest = F.substr(body, F.length(opened[0]) + 1)
-        return F.transform(parts(rest, template.message_end), lambda m: F.struct(
+        role = F.when(own, template.unescape(opened[0])).otherwise(F.lit(None) if inside is None else inside)
+        rest = parts(F.substr(body, F.length(opened[0]) + 1), template.message_end)
+        return F.transform(F.slice(rest, F.lit(1), F.size(rest) - 1), lambda m: F.struct(
             role.alias("role"), template.unescape(F.substr(m, F.lit(len(template.message) + 1))).alias("text")
         ))
 
@@ -268,7 +290,7 @@ def read_back(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
     )
     read_out = segments.select(
         "conv_id", "block", "part",
-        messages_in(F.col("formatted"), template).alias("messages"),
+        messages_in(F.col("formatted"), template, F.col("inside")).alias("messages"),
         _glued(learned_texts(F.col("formatted"), F.col("loss_spans"), template)).alias("learned"),
         F.length("formatted").cast("long").alias("chars"),
     ).select(

@@ -291,6 +291,22 @@ def test_chats_read_back_as_they_were(spark, segment_rows, segment_chars):
         assert length[r["conv_id"]] == r["n"]
 
 
+@pytest.mark.parametrize(("segment_rows", "segment_chars"), [(4, 1 << 20), (50, 30), (1, 0)])
+def test_segments_joined_are_the_same_text_wherever_they_are_cut(spark, segment_rows, segment_chars):
+    df = chats(spark, untidy_chats())
+
+    def texts(*limits):
+        found = defaultdict(list)
+        for r in chat_format.format_chats(df, chat_format.DEFAULT, *limits).collect():
+            found[r["conv_id"]].append((r["block"], r["part"], r["formatted"]))
+        return {conv: "".join(text for *_, text in sorted(parts)) for conv, parts in found.items()}
+
+    assert texts(segment_rows, segment_chars) == texts(1 << 30, 1 << 40)
+    cut = chat_format.read_back(chat_format.format_chats(df, chat_format.DEFAULT, segment_rows, segment_chars))
+    whole = chat_format.read_back(chat_format.format_chats(df, chat_format.DEFAULT, 1 << 30, 1 << 40))
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_chat_sql_states_the_definition(spark):
     rows = untidy_chats()
     marked = [(-7, i, role, chat_format.MARKED[2]) for i, role in enumerate(("user", "assistant"))]
