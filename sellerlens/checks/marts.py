@@ -13,6 +13,9 @@ from sellerlens.sources.files import Lake, export_json
 from sellerlens.sources.scratch import scratch_path
 from sellerlens.sources.starschema import AS_OF, RAW
 
+# JSON repeats its field names and much else: a sixth or less of it is written.
+LANDED_AS = "gzip"
+
 _lock = threading.RLock()
 _marts: dict[tuple[str, str], Marts] = {}
 
@@ -38,16 +41,16 @@ class Marts:
             self._build(name)
         return self.run.read(name)
 
-    def landed(self) -> Lake:
-        """The four raw tables as JSON lines."""
+    def landed(self, *tables: str) -> Lake:
+        """The raw tables as compressed JSON lines, all four or those that are named."""
         with _lock:
-            if "landed" not in self._done:
-                side_by_side(self.spark, self._land, RAW)
-                self._done.add("landed")
+            missing = [t for t in tables or RAW if f"landed.{t}" not in self._done]
+            side_by_side(self.spark, self._land, missing)
+            self._done.update(f"landed.{t}" for t in missing)
         return self.run.lake
 
     def _land(self, name: str) -> None:
-        export_json(self.raw(name), self.run.lake.path("raw", name))
+        export_json(self.raw(name), self.run.lake.path("raw", name), LANDED_AS)
 
     def published(self) -> Catalog:
         """Refined and curated tables in a catalog of their own."""

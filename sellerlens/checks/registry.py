@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerlens.checks.marts import Marts, marts
+from sellerlens.checks.marts import LANDED_AS, Marts, marts
 from sellerlens.operators import fraud, metrics, normalize, quality, rejects, rekey, roles, scoring
 from sellerlens.plans import activity, by_name, governance, history, investigate, pipeline, reports
 from sellerlens.schemas import RAW_TABLES
@@ -30,7 +30,7 @@ from sellerlens.sources.files import (
     read_table,
     write_table,
 )
-from sellerlens.sources.scratch import scratch_path
+from sellerlens.sources.scratch import materialize, scratch_path
 from sellerlens.sources.starschema import AS_OF, untidy_orders
 from sellerlens.streaming.encode import encode_events
 from sellerlens.streaming.ingest import file_topic, ingest_stream
@@ -80,7 +80,7 @@ def _typed_amount(raw: DataFrame) -> DataFrame:
 
 @query
 def scan_raw_json(m: Marts) -> DataFrame:
-    return _typed_amount(read_json_lines(m.spark, m.landed().path("raw", "orders"), "orders"))
+    return _typed_amount(read_json_lines(m.spark, m.landed("orders").path("raw", "orders"), "orders"))
 
 
 @query
@@ -103,16 +103,16 @@ def raw_tables_by_name(m: Marts) -> DataFrame:
 @query
 def raw_orders_by_name(m: Marts) -> DataFrame:
     """Some orders land as files, the rest comes by stream; the name holds both, once each."""
-    raw, lake = m.raw("orders"), Lake(scratch_path(m.spark, "both"))
+    raw, lake = materialize(m.raw("orders"), "raw-orders"), Lake(scratch_path(m.spark, "both"))
     streamed = F.pmod(F.crc32("order_id"), F.lit(3)) == 0
-    export_json(raw.filter(~streamed), lake.path("raw", "orders"))
+    export_json(raw.filter(~streamed), lake.path("raw", "orders"), LANDED_AS)
     topic, offsets = scratch_path(m.spark, "topic"), scratch_path(m.spark, "offsets")
-    encode_events(raw.filter(streamed), "orders").write.text(topic)
+    encode_events(raw.filter(streamed), "orders").write.text(topic, compression=LANDED_AS)
     catalog = m.catalog("b")
     catalog.register_raw(lake)
     for _ in range(2):  # a restart adds nothing
         messages = file_topic(m.spark, topic, max_files_per_trigger=8)
-        ingest_stream(messages, lake.stream_path("orders"), offsets).awaitTermination()
+        ingest_stream(messages, lake.stream_path("orders"), offsets, LANDED_AS).awaitTermination()
     return catalog.table("raw.orders").withColumn("amount", F.col("amount").cast("double"))
 
 
@@ -144,7 +144,7 @@ def sellers_by_name(m: Marts) -> DataFrame:
 @query
 def land_files_query(m: Marts) -> DataFrame:
     target = scratch_path(m.spark, "landed")
-    land_files(m.spark, m.landed().path("raw", "complaints"), target)
+    land_files(m.spark, m.landed("complaints").path("raw", "complaints"), target)
     return read_json_lines(m.spark, target, "complaints").drop("_corrupt_record")
 
 
@@ -154,11 +154,12 @@ _registry["land_files"] = _registry.pop("land_files_query")
 def _ingested(m: Marts, kind: str) -> DataFrame:
     topic = scratch_path(m.spark, "topic")
     lake = Lake(scratch_path(m.spark, "ingest"))
-    encode_events(m.raw(kind), kind).write.text(topic)
+    encode_events(m.raw(kind), kind).write.text(topic, compression=LANDED_AS)
     ingest_stream(
         file_topic(m.spark, topic, max_files_per_trigger=8),
         lake.stream_path(kind),
         scratch_path(m.spark, "offsets"),
+        LANDED_AS,
     ).awaitTermination()
     return read_raw(m.spark, lake, kind).drop("_corrupt_record")
 
@@ -635,8 +636,9 @@ def rekeyed_customers(m: Marts) -> DataFrame:
 def pipeline_run(m: Marts) -> DataFrame:
     """JSON landing to curated tables, checked, published and exported."""
     base = scratch_path(m.spark, "pipeline")
+    landed = m.landed()
     for table in RAW_TABLES:
-        land_files(m.spark, m.landed().path("raw", table), f"{base}/raw/{table}/{table}.json")
+        land_files(m.spark, landed.path("raw", table), f"{base}/raw/{table}/{table}.json", LANDED_AS)
     catalog = Catalog(m.spark, f"p{base.rsplit('-', 1)[-1][:8]}_", f"{base}/warehouse")
     return pipeline.run_pipeline(
         m.spark, base, AS_OF, catalog=catalog, export_path=f"{base}/export"

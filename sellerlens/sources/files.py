@@ -205,16 +205,17 @@ def read_ranged(spark: SparkSession, lake: Lake, layer: str, table: str, value:
     return spark.read.schema(every).parquet(*paths).where(F.col(range_column(whole)) == value)
 
 
-def export_json(df: DataFrame, path: str) -> str:
+def export_json(df: DataFrame, path: str, compression: str = "none") -> str:
     """One JSON object per row, written by the executors; null fields are spelled out."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    writer = df.write.mode("overwrite").option("ignoreNullFields", "false").option("compression", compression)
+    writer.json(path)
     return path
 
 
-def land_files(spark: SparkSession, source: str, target: str) -> str:
+def land_files(spark: SparkSession, source: str, target: str, compression: str = "none") -> str:
     """Copy text files line by line, unparsed, and replace what lies at ``target``."""
     lines = spark.read.option("lineSep", "\n").text(source)
-    lines.write.mode("overwrite").option("lineSep", "\n").text(target)
+    lines.write.mode("overwrite").option("lineSep", "\n").option("compression", compression).text(target)
     return target
 
 

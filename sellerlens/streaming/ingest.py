@@ -48,7 +48,9 @@ def landable(messages: DataFrame) -> DataFrame:
     )
 
 
-def ingest_stream(messages: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def ingest_stream(
+    messages: DataFrame, target: str, checkpoint: str, compression: str = "none"
+) -> StreamingQuery:
     """Take everything that has arrived since the last run into ``target`` and stop.
 
     Offsets live in ``checkpoint`` and the sink logs its commits, so a restart neither repeats
@@ -59,6 +61,7 @@ def ingest_stream(messages: DataFrame, target: str, checkpoint: str) -> Streamin
         .writeStream.format("text")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
+        .option("compression", compression)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()

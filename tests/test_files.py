@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 from dataclasses import replace
 from datetime import timedelta
 
 import pytest
 
+from sellerlens.checks.marts import marts
 from sellerlens.plans import by_name
 from sellerlens.plans.pipeline import PUBLISHED, Run, published_counts, run_pipeline
 from sellerlens.schemas import LAYERS, columns, tables
@@ -403,3 +405,17 @@ def test_sizes_follow_the_input_within_bounds(size, split, partitions):
     conf = sized_for(size)
     assert int(conf["spark.sql.files.maxPartitionBytes"]) == split
     assert int(conf["spark.sql.shuffle.partitions"]) == partitions
+
+
+def test_raw_tables_land_compressed_and_only_those_asked_for(spark, tmp_path):
+    sf = str(tmp_path / "sf")
+    shutil.copytree("/root/testdata/sf0.001", sf)
+    m = marts(spark, sf)
+    lake = m.landed("orders")
+    assert read_json_lines(spark, lake.path("raw", "orders"), "orders").count() == m.raw("orders").count()
+    assert not os.path.exists(lake.path("raw", "returns"))
+    copied = land_files(spark, lake.path("raw", "orders"), str(tmp_path / "copy"), "gzip")
+    for folder in (lake.path("raw", "orders"), copied):
+        data = [name for name in os.listdir(folder) if name.startswith("part-")]
+        assert data and all(name.endswith(".gz") for name in data)
+    assert spark.read.text(copied).count() == m.raw("orders").count()
