@@ -28,6 +28,8 @@ from sellerlens.sources.scratch import materialize
 
 # A bucket with files of so many versions is written anew when it is next added to.
 MOST_VERSIONS = 8
+# A bucket is written by up to so many tasks.
+BUCKET_SHARES = 8
 # Between the moment and the batch in a version's name.
 _BY = "="
 
@@ -117,12 +119,15 @@ class FactHistory:
         clean = materialize(NORMALIZERS[self.table](raw).withColumn("bucket", self._bucket()), "history-batch")
         held = self.files()
         touched = {r.bucket for r in clean.select("bucket").distinct().collect()}
-        earlier = self._of({b: vs for b, vs in held.items() if b in touched}).withColumn("bucket", self._bucket())
+        met = {b: vs for b, vs in held.items() if b in touched}
+        earlier = self._of(met).withColumn("bucket", self._bucket())
 
         # Only earlier rows whose key came again are compared. Of equal rows the earlier one stays.
         again = materialize(earlier.join(clean.select(key), key, "left_semi").select(clean.columns), "history-again")
         contest = clean.withColumn("_new", F.lit(True)).unionByName(again.withColumn("_new", F.lit(False)))
-        added = materialize(latest_per_key(contest, key, "event_ts").filter("_new").drop("_new"), "history-added")
+        won = latest_per_key(contest, key, "event_ts").filter("_new").drop("_new")
+        # Where nothing is held the batch is new as it is.
+        added = materialize(won, "history-added") if met else clean
         replaced = again.join(added.select(key), key, "left_semi").select(clean.columns)
 
         anew = {r.bucket for r in replaced.select("bucket").distinct().collect()}
@@ -130,7 +135,9 @@ class FactHistory:
         anew |= {b for b in grown if len(held.get(b, ())) >= MOST_VERSIONS}
         kept = self._of({b: vs for b, vs in held.items() if b in anew}).withColumn("bucket", self._bucket())
         kept = kept.join(added.select(key), key, "left_anti").select(clean.columns)
-        out = added.unionByName(kept).repartition("bucket").sortWithinPartitions("bucket", key)
+        # A bucket is the work of several tasks and may have several files a version; small ones are merged.
+        share = F.pmod(F.hash(key), F.lit(BUCKET_SHARES))
+        out = added.unionByName(kept).repartition(F.col("bucket"), share).sortWithinPartitions("bucket", key)
         out.write.partitionBy("bucket").parquet(f"{self.root}/files/{version}")
 
         rows = [(b, v) for b, vs in held.items() if b not in anew for v in vs] + [(b, version) for b in anew | grown]

@@ -7,6 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from sellerlens.checks import registry
+from sellerlens.checks.marts import marts
 from sellerlens.operators import ranking
 from sellerlens.operators.dedupe import latest_per_key
 from sellerlens.operators.metrics import seller_aggregates
@@ -149,3 +151,8 @@ def test_priorities_sort_the_sellers_once_in_all_their_jobs(table, monkeypatch):
     assert len(written) == 2
     assert sum(text.count("rangepartitioning") for text in [*written, last]) == 1
     assert "SinglePartition" not in written[0]
+
+
+def test_corrected_orders_are_put_together_once(spark):
+    text = plan(registry._corrected_orders(marts(spark, "/root/testdata/sf0.001")))
+    assert len(re.findall(r"FileScan parquet", text)) == 3
