@@ -7,11 +7,11 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from sellerlens.plans.pipeline import PUBLISHED, Run, side_by_side
-from sellerlens.session import pin_utc
+from sellerlens.session import pin_utc, widen_shuffles
 from sellerlens.sources.catalog import Catalog
 from sellerlens.sources.files import Lake, export_json
 from sellerlens.sources.scratch import scratch_path
-from sellerlens.sources.starschema import AS_OF, RAW
+from sellerlens.sources.starschema import AS_OF, RAW, source_bytes
 
 # JSON repeats its field names and much else: a sixth or less of it is written.
 LANDED_AS = "gzip"
@@ -27,6 +27,7 @@ class Marts:
         self.spark = spark
         self.sf_dir = sf_dir
         self.run = Run(spark, Lake(scratch_path(spark, "marts")), AS_OF)
+        self.source_bytes = source_bytes(spark, sf_dir)
         self._raw: dict[str, DataFrame] = {}
         self._done: set[str] = set()
 
@@ -96,4 +97,6 @@ def marts(spark: SparkSession, sf_dir: str) -> Marts:
     with _lock:
         if key not in _marts:
             _marts[key] = Marts(spark, sf_dir)
+        # Each time: the session may have been set up anew between two queries.
+        widen_shuffles(spark, _marts[key].source_bytes)
         return _marts[key]

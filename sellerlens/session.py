@@ -39,6 +39,18 @@ def size_session(spark: SparkSession, input_bytes: int) -> SparkSession:
     return spark
 
 
+def widen_shuffles(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Raise a running session's number of shuffle partitions to fit so much Parquet input; it is never lowered.
+
+    A sorted row takes some twenty times its bytes in a Parquet file. With a number that does not grow with the input
+    a partition outgrows a task's memory at some size, and from there on every sort and aggregation spills.
+    """
+    wanted = min(input_bytes // (8 * _MB), 40_000)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return spark
+
+
 def build_session(app: str = "sellerlens", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC, ANSI and adaptive execution on; ``conf`` overrides win."""
     builder = SparkSession.builder.appName(app)

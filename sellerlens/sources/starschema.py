@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sellerlens.sources.files import folder_bytes
+
 AS_OF = "2002-01-01 00:00:00"
 
 # The enumerations of the domain.
@@ -27,6 +29,15 @@ COMPLAINT_CATEGORY = {
 }
 
 
+# The tables that raw ones are derived from.
+SOURCES = ("lineitem", "orders", "part", "events", "supplier", "nation", "region")
+
+
+def source_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Size of the files that raw tables are derived from."""
+    return sum(folder_bytes(spark, f"{sf_dir.rstrip('/')}/{table}.parquet") for table in SOURCES)
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
@@ -56,11 +67,13 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(" cancelled")
     )
     lines = _read(spark, sf_dir, "lineitem")
-    heads = _read(spark, sf_dir, "orders")
     parts = _read(spark, sf_dir, "part")
+    # Lines of one order meet last, so that most repeats of an id go before the next shuffle; and they are hashed, not
+    # sorted: of many lines a sort spills, while the heads of a partition are few and narrow.
+    heads = _read(spark, sf_dir, "orders").hint("shuffle_hash")
     return (
-        lines.join(heads, lines.l_orderkey == heads.o_orderkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
+        lines.join(parts, lines.l_partkey == parts.p_partkey)
+        .join(heads, lines.l_orderkey == heads.o_orderkey)
         .select(
             _id("O", _line_key()).alias("order_id"),
             _id("S", "l_suppkey").alias("seller_id"),

@@ -156,3 +156,24 @@ def test_priorities_sort_the_sellers_once_in_all_their_jobs(table, monkeypatch):
 def test_corrected_orders_are_put_together_once(spark):
     text = plan(registry._corrected_orders(marts(spark, "/root/testdata/sf0.001")))
     assert len(re.findall(r"FileScan parquet", text)) == 3
+
+
+def test_lines_meet_their_orders_last_and_unsorted(spark):
+    """Repeats of an order id are side by side before they are shuffled by it; lines are not sorted to be joined."""
+    text = plan(marts(spark, SF).raw("orders"))
+    joins = re.findall(r"(\w+Join) \[([a-z]_\w+)#", text)
+    assert joins[0] == ("ShuffledHashJoin", "l_orderkey") and [key for _, key in joins] == ["l_orderkey", "l_partkey"]
+    assert "Sort [l_orderkey" not in text
+
+
+def test_shuffles_are_as_wide_as_the_source_tables_are_large(spark, monkeypatch):
+    name, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    m = marts(spark, SF)
+    try:
+        assert spark.conf.get(name) == before  # small tables change nothing
+        for size, wanted in ((60 * 2**23, "60"), (10 * 2**23, "60"), (1000 * 2**40, "40000")):
+            monkeypatch.setattr(m, "source_bytes", size)
+            marts(spark, SF)
+            assert spark.conf.get(name) == wanted
+    finally:
+        spark.conf.set(name, before)
