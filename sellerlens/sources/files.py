@@ -181,12 +181,22 @@ def write_laid_out(
     pointers.remove(spark, index)
     ranged = df.repartitionByRange(*by) if files is None else df.repartitionByRange(files, *by)
     ranged.sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
-    held = read_table(spark, lake, layer, table).groupBy(F.col("_metadata.file_name").alias("file"))
-    found = held.agg(F.min(by[0]).alias("first"), F.max(by[0]).alias("last"), F.count("*").alias("row_count"))
-    found.coalesce(1).write.mode("overwrite").parquet(index)
+    held = read_table(spark, lake, layer, table).withColumn("file", F.col("_metadata.file_name"))
+    file_spans(held, by[0]).coalesce(1).write.mode("overwrite").parquet(index)
     return path
 
 
+def file_spans(held: DataFrame, column: str) -> DataFrame:
+    """Least and greatest value of a text column, and rows, of each ``file``.
+
+    Counted per value first, which needs no sort; the least of texts, found from all rows, would sort them all.
+    """
+    counted = held.groupBy("file", column).agg(F.count("*").alias("n"))
+    return counted.groupBy("file").agg(
+        F.min(column).alias("first"), F.max(column).alias("last"), F.sum("n").alias("row_count")
+    )
+
+
 def read_ranged(spark: SparkSession, lake: Lake, layer: str, table: str, value: str) -> DataFrame:
     """The rows of a laid-out table whose first range column is ``value``.
 

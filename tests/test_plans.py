@@ -13,7 +13,7 @@ from sellerlens.operators import ranking
 from sellerlens.operators.dedupe import latest_per_key
 from sellerlens.operators.metrics import seller_aggregates
 from sellerlens.plans import activity, investigate, reports
-from sellerlens.sources.files import Lake, read_ranged, read_table, write_laid_out, write_table
+from sellerlens.sources.files import Lake, file_spans, read_ranged, read_table, write_laid_out, write_table
 from sellerlens.checks.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
@@ -177,3 +177,11 @@ def test_shuffles_are_as_wide_as_the_source_tables_are_large(spark, monkeypatch)
             assert spark.conf.get(name) == wanted
     finally:
         spark.conf.set(name, before)
+
+
+def test_file_spans_do_not_sort_the_rows(spark):
+    data = [("a", "S2"), ("a", "S10"), ("a", "S2"), ("b", "S3")]
+    spans = file_spans(spark.createDataFrame(data, "file STRING, seller_id STRING"), "seller_id")
+    of_rows = plan(spans).split("Exchange")[-1]
+    assert "HashAggregate" in of_rows and "Sort" not in of_rows
+    assert sorted(map(tuple, spans.collect())) == [("a", "S10", "S2", 3), ("b", "S3", "S3", 1)]
