@@ -19,6 +19,7 @@ from sellerlens.checks.marts import LANDED_AS, Marts, marts
 from sellerlens.operators import fraud, metrics, normalize, quality, rejects, rekey, roles, scoring
 from sellerlens.plans import activity, by_name, governance, history, investigate, pipeline, reports
 from sellerlens.schemas import RAW_TABLES
+from sellerlens.session import shuffles_freed
 from sellerlens.sources.catalog import Catalog
 from sellerlens.sources.files import (
     Lake,
@@ -30,7 +31,7 @@ from sellerlens.sources.files import (
     read_table,
     write_table,
 )
-from sellerlens.sources.scratch import materialize, scratch_path
+from sellerlens.sources.scratch import materialize, passing_tables, scratch_path
 from sellerlens.sources.starschema import AS_OF, untidy_orders
 from sellerlens.streaming.encode import encode_events
 from sellerlens.streaming.ingest import file_topic, ingest_stream
@@ -267,7 +268,10 @@ def _corrected_orders(m: Marts) -> DataFrame:
 
     Both rows come from one pass, so that the orders are put together once.
     """
-    raw = m.raw("orders")
+    return _with_corrections(m.raw("orders"))
+
+
+def _with_corrections(raw: DataFrame) -> DataFrame:
     later = {
         "timestamp": F.concat(F.lit("2"), F.substring("timestamp", 2, 100)),
         "amount": F.col("amount") / 2,
@@ -315,23 +319,32 @@ def incremental_aggregates(m: Marts) -> DataFrame:
 def streamed_orders(m: Marts) -> DataFrame:
     """A topic into raw and on into refined, in micro-batches; a restart of either adds nothing.
 
-    A compressed file is one task's from end to end, so there are several a core; a micro-batch of the second stream takes
-    half of them, however large they are.
+    The topic is sent in two halves, with rows of one key in any of them, and either stream takes half of its files at a
+    time, however large they are.
     """
     topic, offsets, seen = (scratch_path(m.spark, n) for n in ("topic", "offsets", "seen"))
     lake = Lake(scratch_path(m.spark, "streamed"))
-    files = max(6, 4 * m.spark.sparkContext.defaultParallelism)
-    sent = encode_events(_corrected_orders(m).repartition(files), "orders")
-    sent.write.text(topic, compression=LANDED_AS)
     kept = history.FactHistory(m.spark, lake.path("history", "orders"), "orders", buckets=16)
-    for _ in range(2):
-        messages = file_topic(m.spark, topic, max_files_per_trigger=files)
-        ingest_stream(messages, lake.stream_path("orders"), offsets, LANDED_AS).awaitTermination()
-        rows = history.raw_stream(m.spark, lake.stream_path("orders"), "orders", max_files_per_trigger=files // 2)
-        kept.follow(rows, seen).awaitTermination()
+    with shuffles_freed(m.spark):
+        with passing_tables(m.spark) as written:
+            # Written once, and dealt to the halves without a shuffle of all messages.
+            sent = _with_corrections(written(m.raw("orders"), "sent"))
+            half = F.pmod(F.xxhash64(*sent.columns), F.lit(2))
+            for i in range(2):
+                encode_events(sent.filter(half == i), "orders").write.mode("append").text(topic, compression=LANDED_AS)
+        landed = lake.stream_path("orders")
+        for _ in range(2):
+            messages = file_topic(m.spark, topic, max_files_per_trigger=_half_of_files(m.spark, topic))
+            ingest_stream(messages, landed, offsets, LANDED_AS).awaitTermination()
+            rows = history.raw_stream(m.spark, landed, "orders", max_files_per_trigger=_half_of_files(m.spark, landed))
+            kept.follow(rows, seen).awaitTermination()
     return kept.read()
 
 
+def _half_of_files(spark: SparkSession, path: str) -> int:
+    return max(1, (len(spark.read.text(path).inputFiles()) + 1) // 2)
+
+
 # --- metrics and joins --------------------------------------------------------------------
 
 

@@ -23,8 +23,9 @@ from sellerlens.operators.dedupe import latest_per_key
 from sellerlens.operators.metrics import with_metrics
 from sellerlens.operators.normalize import NORMALIZERS
 from sellerlens.schemas import CORRUPT, schema
+from sellerlens.session import shuffles_freed
 from sellerlens.sources import pointers
-from sellerlens.sources.scratch import materialize
+from sellerlens.sources.scratch import passing_tables
 
 # A bucket with files of so many versions is written anew when it is next added to.
 MOST_VERSIONS = 8
@@ -60,6 +61,10 @@ FACTS = {
 }
 
 
+def _per_bucket(rows: DataFrame) -> dict[int, int]:
+    return {r.bucket: r.n for r in rows.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+
+
 class FactHistory:
     """The survivors of one fact table under ``root``.
 
@@ -108,44 +113,74 @@ class FactHistory:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.fact.key), F.lit(self.buckets)).cast("int")
 
+    def _rows(self, held: dict[int, list[str]]) -> DataFrame:
+        return self._of(held).withColumn("bucket", self._bucket())
+
     # --- a batch --------------------------------------------------------------------------------
 
     def absorb(self, raw: DataFrame, batch: str) -> None:
-        """Make the raw rows part of the history; a batch of the same name is taken once."""
+        """Make the raw rows part of the history; a batch of the same name is taken once.
+
+        What a batch writes on its way, tables and shuffles, is deleted as soon as it is not read any more.
+        """
         if batch in self.batches():
             return
-        key, done = self.fact.key, self.versions()
+        done = self.versions()
         version = f"{pointers.later_than(done[-1].split(_BY)[0] if done else None)}{_BY}{batch}"
-        clean = materialize(NORMALIZERS[self.table](raw).withColumn("bucket", self._bucket()), "history-batch")
-        held = self.files()
-        touched = {r.bucket for r in clean.select("bucket").distinct().collect()}
-        met = {b: vs for b, vs in held.items() if b in touched}
-        earlier = self._of(met).withColumn("bucket", self._bucket())
-
-        # Only earlier rows whose key came again are compared. Of equal rows the earlier one stays.
-        again = materialize(earlier.join(clean.select(key), key, "left_semi").select(clean.columns), "history-again")
-        contest = clean.withColumn("_new", F.lit(True)).unionByName(again.withColumn("_new", F.lit(False)))
-        won = latest_per_key(contest, key, "event_ts").filter("_new").drop("_new")
-        # Where nothing is held the batch is new as it is.
-        added = materialize(won, "history-added") if met else clean
-        replaced = again.join(added.select(key), key, "left_semi").select(clean.columns)
-
-        anew = {r.bucket for r in replaced.select("bucket").distinct().collect()}
+        with (
+            shuffles_freed(self.spark), shuffles_freed(raw.sparkSession),
+            passing_tables(self.spark) as written,
+        ):
+            self._add_version(raw, version, written)
+        pointers.add_entry(self.spark, self.log, version)
+
+    def _add_version(self, raw: DataFrame, version: str, written: Callable[[DataFrame, str], DataFrame]) -> None:
+        key, held = self.fact.key, self.files()
+        clean = NORMALIZERS[self.table](raw).withColumn("bucket", self._bucket())
+        if held:
+            added, anew = self._contested(clean, held, version, written)
+        else:
+            # Where nothing is held the batch is new as it is.
+            added, anew = written(clean, "history-added"), set()
+            self._sums(added.withColumn("_sign", F.lit(1))).write.parquet(f"{self.root}/sums/{version}")
+
         grown = {r.bucket for r in added.select("bucket").distinct().collect()}
         anew |= {b for b in grown if len(held.get(b, ())) >= MOST_VERSIONS}
-        kept = self._of({b: vs for b, vs in held.items() if b in anew}).withColumn("bucket", self._bucket())
-        kept = kept.join(added.select(key), key, "left_anti").select(clean.columns)
         # A bucket is the work of several tasks and may have several files a version; small ones are merged.
-        share = F.pmod(F.hash(key), F.lit(BUCKET_SHARES))
-        out = added.unionByName(kept).repartition(F.col("bucket"), share).sortWithinPartitions("bucket", key)
+        share, dealt = F.pmod(F.hash(key), F.lit(BUCKET_SHARES)), ("bucket", "_share")
+        out = added.withColumn("_share", share).repartition(*dealt)
+        if anew:
+            # Rows of a bucket that is written anew go to the task of their share together, and there the added ones win again.
+            kept = self._rows({b: vs for b, vs in held.items() if b in anew})
+            both = added.withColumn("_new", F.lit(True)).unionByName(kept.withColumn("_new", F.lit(False)))
+            out = latest_per_key(both.withColumn("_share", share).repartition(*dealt), key, "event_ts", dealt)
+        out = out.select(added.columns).sortWithinPartitions("bucket", key)
         out.write.partitionBy("bucket").parquet(f"{self.root}/files/{version}")
 
         rows = [(b, v) for b, vs in held.items() if b not in anew for v in vs] + [(b, version) for b in anew | grown]
         lists = self.spark.createDataFrame(rows, "bucket int, version string").coalesce(1)
         lists.write.parquet(f"{self.root}/lists/{version}")
-        changes = added.withColumn("_sign", F.lit(1)).unionByName(replaced.withColumn("_sign", F.lit(-1)))
-        self._sums(changes).write.parquet(f"{self.root}/sums/{version}")
-        pointers.add_entry(self.spark, self.log, version)
+
+    def _contested(
+        self, clean: DataFrame, held: dict[int, list[str]], version: str, written: Callable[[DataFrame, str], DataFrame]
+    ) -> tuple[DataFrame, set[int]]:
+        """The rows of a clean batch that win, and the buckets in which one of them replaces an earlier row."""
+        key = self.fact.key
+        with passing_tables(self.spark) as briefly:
+            clean = briefly(clean, "history-batch")
+            touched = {r.bucket for r in clean.select("bucket").distinct().collect()}
+            earlier = self._rows({b: vs for b, vs in held.items() if b in touched})
+
+            # Only earlier rows whose key came again are compared. Of equal rows the earlier one stays.
+            again = briefly(earlier.join(clean.select(key), key, "left_semi").select(clean.columns), "history-again")
+            contest = clean.withColumn("_new", F.lit(True)).unionByName(again.withColumn("_new", F.lit(False)))
+            won = written(latest_per_key(contest, key, "event_ts"), "history-won")
+            # Earlier rows that won come and go.
+            changes = won.drop("_new").withColumn("_sign", F.lit(1)).unionByName(again.withColumn("_sign", F.lit(-1)))
+            self._sums(changes).write.parquet(f"{self.root}/sums/{version}")
+            stayed = _per_bucket(won.filter(~F.col("_new")))
+            anew = {b for b, n in _per_bucket(again).items() if n > stayed.get(b, 0)}
+        return won.filter("_new").drop("_new"), anew
 
     def _sums(self, changes: DataFrame) -> DataFrame:
         """Sums per seller after the changes: those before, plus what came, less what went."""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -51,6 +55,35 @@ def widen_shuffles(spark: SparkSession, input_bytes: int) -> SparkSession:
     return spark
 
 
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock = threading.Lock()
+# Of each session that is inside: how often, and its setting before.
+_inside: dict[int, tuple[int, str]] = {}
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the query that wrote them ends, not when the driver comes to collect its garbage.
+
+    For work in many queries, whose shuffles would else lie on the disks side by side. A DataFrame that is run
+    again inside shuffles again. A stream that is started inside keeps to it.
+    """
+    session = spark._jsparkSession.hashCode()
+    with _lock:
+        depth, before = _inside.get(session, (0, spark.conf.get(_FREED, "false")))
+        _inside[session] = (depth + 1, before)
+        spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            depth, before = _inside.pop(session)
+            if depth > 1:
+                _inside[session] = (depth - 1, before)
+            else:
+                spark.conf.set(_FREED, before)
+
+
 def build_session(app: str = "sellerlens", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC, ANSI and adaptive execution on; ``conf`` overrides win."""
     builder = SparkSession.builder.appName(app)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sellerlens.sources import pointers
+
 _local_roots: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
 
@@ -64,3 +66,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``materialize`` for tables that are needed inside only: they are deleted at the end, and no other thread's are."""
+    made: list[str] = []
+
+    def written(df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(spark, label)
+        made.append(path)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield written
+    finally:
+        for path in made:
+            pointers.remove(spark, path)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import random
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,9 @@ from sellerlens.operators import metrics
 from sellerlens.operators.normalize import NORMALIZERS
 from sellerlens.plans import history
 from sellerlens.schemas import schema
+from sellerlens.session import shuffles_freed
 from sellerlens.sources import pointers
+from sellerlens.sources.scratch import passing_tables, scratch_path, scratch_root
 from tests.conftest import dicts
 
 
@@ -161,3 +165,61 @@ def test_a_stream_is_absorbed_in_micro_batches_and_a_restart_adds_nothing(spark,
     land("c", [order("C"), order("A", amount="30", day=2)])
     drain()
     assert {(r.order_id, r.amount) for r in orders.read().collect()} == {("A", 20.0), ("B", 10.0), ("C", 10.0)}
+
+
+def shuffle_files(spark):
+    disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (disks.apply(i).getName() for i in range(disks.size())) if n.startswith("shuffle_")}
+
+
+def gone_after_a_while(find):
+    until = time.time() + 20
+    while find() and time.time() < until:
+        time.sleep(0.2)
+    return not find()
+
+
+def test_a_batch_leaves_its_version_and_nothing_else(spark, orders):
+    scratch = scratch_root(spark)
+    os.makedirs(scratch, exist_ok=True)
+    before, shuffled = set(os.listdir(scratch)), shuffle_files(spark)
+    orders.absorb(raw_orders(spark, [order(f"O{i}") for i in range(40)]).repartition(3), "first")
+    orders.absorb(raw_orders(spark, [order(f"O{i}", amount="11", day=2) for i in range(20, 60)]).repartition(3), "second")
+    assert set(os.listdir(scratch)) == before
+    assert gone_after_a_while(lambda: shuffle_files(spark) - shuffled)
+    assert sorted((r.order_id, r.amount) for r in orders.read().collect()) == sorted(
+        (f"O{i}", 11.0 if i >= 20 else 10.0) for i in range(60)
+    )
+    assert [r.total_orders for r in orders.metrics().collect()] == [60]
+
+
+def test_shuffles_are_freed_inside_only_though_threads_and_calls_overlap(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, entered, left = spark.conf.get(name), threading.Event(), threading.Event()
+
+    def other():
+        with shuffles_freed(spark):
+            entered.set()
+            left.wait(20)
+
+    thread = threading.Thread(target=other)
+    with shuffles_freed(spark):
+        thread.start()
+        assert entered.wait(20)
+        with shuffles_freed(spark):
+            pass
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name) == "true"
+    left.set()
+    thread.join(20)
+    assert spark.conf.get(name) == before
+
+
+def test_passing_tables_go_also_after_a_failure_and_others_stay(spark):
+    other = scratch_path(spark, "stays")
+    with pytest.raises(ZeroDivisionError), passing_tables(spark) as written:
+        spark.range(3).write.parquet(other)
+        (file, *_) = written(spark.range(5), "goes").inputFiles()
+        assert os.path.exists(file.removeprefix("file://"))
+        raise ZeroDivisionError
+    assert not os.path.exists(file.removeprefix("file://")) and spark.read.parquet(other).count() == 3

@@ -29,6 +29,14 @@ def test_dedupe_limits_groups_on_both_sides_of_the_one_shuffle(table):
     assert steps == ["Window", "WindowGroupLimit", "Exchange", "WindowGroupLimit"]
 
 
+def test_dedupe_leaves_rows_where_they_are_dealt_by_what_the_key_determines(table):
+    rows = [{"order_id": f"O{i % 7}", "seller_id": f"S{i}", "customer_id": f"C{i % 3}"} for i in range(40)]
+    orders = table("refined.orders", *rows).withColumn("_share", F.pmod(F.hash("order_id"), F.lit(3)))
+    dealt = latest_per_key(orders.repartition("_share"), "order_id", "event_ts", ("_share",))
+    assert plan(dealt).count("Exchange") == 1
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, latest_per_key(orders, "order_id", "event_ts").collect()))
+
+
 def test_aggregates_shuffle_each_fact_once(spark, table):
     facts = [table(f"refined.{t}") for t in ("sellers", "orders", "returns", "complaints")]
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from sellerlens.checks import registry
+from sellerlens.checks.marts import marts
 from sellerlens.operators.normalize import normalize_orders
 from sellerlens.schemas import columns
 from sellerlens.sources.files import Lake, export_json, read_json_lines, read_raw
+from sellerlens.sources.scratch import scratch_root
 from sellerlens.streaming.encode import encode_events
 from sellerlens.streaming.ingest import file_topic, ingest_stream, landable
 from tests.conftest import by, dicts
@@ -132,3 +137,27 @@ def test_encoded_events_read_back_as_the_same_rows(spark, table, tmp_path):
     encode_events(raw, "complaints").write.text(str(tmp_path / "events"))
     back = read_json_lines(spark, str(tmp_path / "events"), "complaints").drop("_corrupt_record")
     assert back.collect() == raw.collect()
+
+
+def test_streamed_orders_take_two_micro_batches_and_leave_topic_raw_and_history(spark, table, tmp_path):
+    m, scratch = marts(spark, str(tmp_path)), scratch_root(spark)
+    rows = [
+        {"order_id": f"O{i % 50}", "seller_id": f"S{i % 4}", "amount": str(i + 1.5), "timestamp": f"1999-01-{1 + i % 28:02d}T00:00:00"}
+        for i in range(80)
+    ]
+    m._raw["orders"] = table("raw.orders", *rows).withColumn("amount", F.col("amount").cast("double"))
+    os.makedirs(scratch, exist_ok=True)
+    before = set(os.listdir(scratch))
+    want = normalize_orders(read_back(encode_events(registry._corrected_orders(m), "orders"), spark, tmp_path))
+    assert sorted(map(str, registry.streamed_orders(m).collect())) == sorted(map(str, want.collect()))
+    made = {name.rsplit("-", 1)[0]: f"{scratch}/{name}" for name in set(os.listdir(scratch)) - before}
+    assert set(made) == {"topic", "offsets", "seen", "streamed"}
+    versions = [f for f in os.listdir(f"{made['streamed']}/history/orders/versions") if f.endswith(".txt")]
+    assert sorted(f.split("=")[1] for f in versions) == ["stream-0.txt", "stream-1.txt"]
+    sent = spark.read.text(made["topic"]).count()
+    assert sent == registry._corrected_orders(m).count() == spark.read.text(f"{made['streamed']}/raw_stream/orders").count()
+
+
+def read_back(messages, spark, tmp_path):
+    messages.write.text(str(tmp_path / "events"))
+    return read_json_lines(spark, str(tmp_path / "events"), "orders").drop("_corrupt_record")
